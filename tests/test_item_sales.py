@@ -1,0 +1,166 @@
+from __future__ import annotations
+
+import pytest
+from fixtures import EXPECTED, HEADER, ITEMS, OUTPUT_COLUMNS, report, write_csv, write_xlsx
+from pyspark.sql import functions as F
+
+from tillgrid.operators.header import file_meta, missing_key_files
+from tillgrid.operators.spec import ITEM_SALES
+from tillgrid.plans import item_sales as plan
+from tillgrid.sources import csv_grid, xlsx_grid
+
+RUN = "20260416T102300_a1b2c3d4"
+
+
+def sales_rows(df):
+    return [tuple(r) for r in df.orderBy("file_id", "row_idx").drop("file_id", "row_idx").collect()]
+
+
+def by_route(spark, folder, route):
+    """Report rows through one of the three readers of text files."""
+    if route == "whole":
+        return plan.rows_of_files(csv_grid.whole_files(spark, str(folder)))
+    if route == "grid":
+        return plan.rows_of_grid(csv_grid.read_csv_grid(spark, str(folder)))
+    return plan.rows_of_grid(csv_grid.split_grid(spark, str(folder), limit=0), max_rows=0)
+
+
+@pytest.mark.parametrize("route", ["whole", "grid", "split"])
+def test_golden_csv(spark, tmp_path, route):
+    write_csv(tmp_path / f"{RUN}_Harbour_Grill_raw.csv", report())
+    out = plan.item_sales(by_route(spark, tmp_path, route))
+    assert out.columns[2:] == OUTPUT_COLUMNS
+    assert [t for _, t in out.dtypes[2:]] == [
+        "string", "bigint", "string", "bigint", "double", "double", "double", "string", "string",
+    ]
+    assert sales_rows(out) == EXPECTED
+
+
+@pytest.mark.parametrize("route", ["chunks", "grid"])
+def test_golden_xlsx(spark, tmp_path, route):
+    write_xlsx(tmp_path / f"{RUN}_Harbour_Grill_raw.xlsx", report())
+    if route == "chunks":
+        rows = plan.rows_of_workbooks(xlsx_grid.workbooks(spark, str(tmp_path)))
+    else:
+        rows = plan.rows_of_grid(xlsx_grid.read_xlsx_grid(spark, str(tmp_path)))
+    assert sales_rows(plan.item_sales(rows)) == EXPECTED
+
+
+def test_xlsx_date_cell(spark, tmp_path):
+    rows = report()
+    rows[0][1] = 46127  # 15 April 2026 as a serial number
+    write_xlsx(tmp_path / "a_raw.xlsx", rows, frozenset({(0, 1)}))
+    assert sales_rows(plan.item_sales(plan.rows_of_workbooks(xlsx_grid.workbooks(spark, str(tmp_path))))) == EXPECTED
+
+
+@pytest.mark.parametrize("kind", ["csv", "xlsx"])
+@pytest.mark.parametrize("fillers, header_row", [(0, 5), (2, 7), (14, 19)])
+def test_header_and_date(spark, tmp_path, kind, fillers, header_row):
+    rows = report("20/04/2026", fillers=fillers)
+    if kind == "csv":
+        write_csv(tmp_path / "a_raw.csv", rows)
+        grid = csv_grid.read_csv_grid(spark, str(tmp_path))
+    else:
+        write_xlsx(tmp_path / "a_raw.xlsx", rows)
+        grid = xlsx_grid.read_xlsx_grid(spark, str(tmp_path))
+    meta = file_meta(grid).first()
+    assert (meta.header_row, meta.business_date) == (header_row, "20/04/2026")
+    assert list(meta.header) == HEADER
+
+
+def test_unpadded_preamble(spark, tmp_path):
+    write_csv(tmp_path / "a_raw.csv", report(), padded=False)
+    assert sales_rows(plan.item_sales(by_route(spark, tmp_path, "whole"))) == EXPECTED
+
+
+@pytest.mark.parametrize("route", ["whole", "grid", "split"])
+def test_many_files_one_job(spark, tmp_path, route):
+    write_csv(tmp_path / "a_raw.csv", report("01/01/2026"))
+    write_csv(tmp_path / "b_raw.csv", report("2026-01-02", fillers=3))
+    write_csv(tmp_path / "c_raw.csv", report(None))
+    two = report("05/02/2026")
+    two.insert(0, ["Business Dates", "01/02/2026"] + [""] * 10)
+    write_csv(tmp_path / "d_raw.csv", two)
+    write_csv(tmp_path / "e_raw.csv", [HEADER, *ITEMS])
+    write_csv(tmp_path / "f_raw.csv", report(fillers=30))
+    write_csv(tmp_path / "g_raw.csv", report("nan"))
+    out = plan.item_sales(by_route(spark, tmp_path, route))
+    dates = {
+        r.name: (r["Sales Date *"], r.n)
+        for r in out.groupBy(F.regexp_extract("file_id", r"(\w)_raw", 1).alias("name"), "`Sales Date *`")
+        .agg(F.count("*").alias("n")).collect()
+    }
+    assert dates == {
+        "a": ("01-Jan-2026", 3), "b": ("2026-01-02", 3), "c": ("", 3), "d": ("05-Feb-2026", 3), "e": ("", 3), "g": ("", 3),
+    }
+
+
+def test_missing_key_fails_only_its_file(spark, tmp_path):
+    write_csv(tmp_path / "a_raw.csv", report())
+    write_csv(tmp_path / "b_raw.csv", report(header=[c.replace("Menu Item #", "Number") for c in HEADER]))
+    meta = file_meta(csv_grid.read_csv_grid(spark, str(tmp_path)))
+    bad = missing_key_files(meta, ITEM_SALES.key).collect()
+    assert [r.file_id.endswith("b_raw.csv") for r in bad] == [True]
+    assert plan.item_sales(by_route(spark, tmp_path, "whole")).count() == 3
+
+
+@pytest.mark.parametrize("route", ["whole", "grid", "split"])
+def test_ragged_and_dirty_rows(spark, tmp_path, route):
+    items = [
+        ITEMS[0],
+        ["Section", "Drinks"],
+        ["Long", 5, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, "too", "many"],
+        ["Short", " 6 ", 1, 1, "2.9"],
+        ["Dirty", "7", 1, 1, "1,234", 0, 0, 0, "AED 1,234.50", 0, "(12.30)", "--"],
+        ["N/A", "8", 1, 1, "x", 0, 0, 0, "", 0, "abc", "-5"],
+        ['Quoted, "XL"', "9", 1, 1, "3", 0, 0, 0, "1", 0, "2", "3"],
+        ["Bad key", "12d", 1, 1, "3"],
+        ["Nan key", "NaN", 1, 1, "3"],
+    ]
+    write_csv(tmp_path / "a_raw.csv", report(items=items))
+    rows = by_route(spark, tmp_path, route)
+    got = sales_rows(plan.item_sales(rows).drop("Sales Date *", "Order ID", "Sales Type Code"))
+    assert got == [
+        (10000003, "Original Beef Slider", 215, -192.0, 7626.67, 8008.0),
+        (6, "Short", 2, 0.0, 0.0, 0.0),
+        (7, "Dirty", 0, 12.3, 1234.5, 0.0),
+        (8, None, 0, 0.0, 0.0, -5.0),
+        (9, 'Quoted, "XL"', 3, 2.0, 1.0, 3.0),
+    ]
+    assert [r.cells[0] for r in plan.rejected_rows(rows).collect()] == ["Long"]
+
+
+def test_quoted_line_break(spark, tmp_path):
+    write_csv(tmp_path / "a_raw.csv", report(items=[["Two\nlines", "1", 1, 1, "4"], ITEMS[0]]))
+    got = sales_rows(plan.item_sales(by_route(spark, tmp_path, "whole")))
+    assert [(r[1], r[2], r[3]) for r in got] == [(1, "Two\nlines", 4), (10000003, "Original Beef Slider", 215)]
+
+
+def test_header_names(spark, tmp_path):
+    header = [" Menu Item Name", "Menu Item # ", "Qty Sold", "X", "X", "X.1", "", "Unnamed: 7", "X", "Discounts", "Discounts"]
+    write_csv(tmp_path / "a_raw.csv", report(header=header, items=[["a", 1, 2, "p", "q", "r", "s", "t", "u", 5, 6]]))
+    grid = csv_grid.read_csv_grid(spark, str(tmp_path))
+    meta = file_meta(grid).first()
+    assert list(meta.header)[:11] == [
+        "Menu Item Name", "Menu Item #", "Qty Sold", "X", "X.2", "X.1", None, None, "X.3", "Discounts", "Discounts.1",
+    ]
+    out = plan.item_sales_with_extras(grid).first().asDict()
+    assert {k: out[k] for k in ("X", "X.1", "X.2", "X.3", "Discounts.1")} == {
+        "X": "p", "X.1": "r", "X.2": "q", "X.3": "u", "Discounts.1": "6",
+    }
+    assert out["Total Discount Value"] == 5.0
+    assert out["Total sales incl. tax *"] is None  # the column is absent from the file
+    mapped = plan.item_sales(plan.rows_of_grid(grid), extras="map").first().extras
+    assert mapped == {"X": "p", "X.1": "r", "X.2": "q", "X.3": "u", "Discounts.1": "6"}
+
+
+def test_mixed_folder(spark, tmp_path, monkeypatch):
+    write_csv(tmp_path / "a_raw.csv", report("01/01/2026"))
+    write_csv(tmp_path / "b_raw.csv", report("02/01/2026", items=ITEMS * 20))
+    write_xlsx(tmp_path / "c_raw.xlsx", report("03/01/2026"))
+    monkeypatch.setattr(csv_grid, "WHOLE_FILE_BYTES", 1500)
+    for fn in (csv_grid.whole_files, csv_grid.split_grid):
+        monkeypatch.setattr(fn, "__defaults__", (*fn.__defaults__[:-1], 1500))
+    out = plan.item_sales(plan.read_report_rows(spark, str(tmp_path)))
+    counts = {r["Sales Date *"]: r["count"] for r in out.groupBy("`Sales Date *`").count().collect()}
+    assert counts == {"01-Jan-2026": 3, "02-Jan-2026": 60, "03-Jan-2026": 3}
