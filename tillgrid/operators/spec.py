@@ -138,13 +138,14 @@ def target_columns(spec: ReportSpec, available: list[str] | None = None) -> list
 
 
 def extra_names(meta: DataFrame, spec: ReportSpec, limit: int = 500) -> list[str]:
-    """Raw names outside the spec over all files, sorted: the schema of the extras.
+    """Raw names outside the spec over all files that have the key, sorted: the schema of the extras.
 
     Only distinct names reach the driver; more than ``limit`` of them is an
     error, since a table cannot take them as columns.
     """
     names = (
-        meta.select(F.explode("header").alias("name"))
+        meta.where(F.array_contains(F.array_compact("header"), spec.key))
+        .select(F.explode("header").alias("name"))
         .where(F.col("name").isNotNull() & ~F.col("name").isin(spec.known))
         .distinct()
     )

@@ -13,15 +13,12 @@ OK_MARK, NO_DATA_MARK, FAILED_MARK = "✅", "–", "❌"
 ERROR_CHARS = 40
 LABEL_CHARS = 45
 
-OK, NO_DATA = F.col("ok"), F.col("no_data")
-
-
 def status_of(ok: Column, no_data: Column) -> Column:
     return F.when(ok, "ok").when(no_data, "no_data").otherwise("failed")
 
 
 def run_status(results: DataFrame) -> DataFrame:
-    return results.withColumn("status", status_of(OK, NO_DATA))
+    return results.withColumn("status", status_of(F.col("ok"), F.col("no_data")))
 
 
 def _count_columns() -> list[Column]:
@@ -31,7 +28,7 @@ def _count_columns() -> list[Column]:
         F.count_if(status == "no_data").alias("no_data"),
         F.count_if(status == "failed").alias("failed"),
         F.count("*").alias("total"),
-        F.coalesce(F.bool_or(OK), F.lit(False)).alias("success"),
+        F.coalesce(F.bool_or("ok"), F.lit(False)).alias("success"),
     ]
 
 
@@ -43,7 +40,7 @@ def status_counts(results: DataFrame, keys: list[str] | None = None) -> DataFram
 def ok_counts(results: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Two-way counts of the KPI run."""
     return results.groupBy(*(keys or [])).agg(
-        F.count_if(OK).alias("ok"), F.count_if(~OK).alias("fail"), F.count("*").alias("total")
+        F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("fail"), F.count("*").alias("total")
     )
 
 
@@ -65,8 +62,8 @@ def report_date(results: DataFrame) -> DataFrame:
 def status_text(error: Column | None = None) -> Column:
     error = F.coalesce(F.col("error") if error is None else error, F.lit(""))
     return (
-        F.when(OK, F.concat(F.lit(f"{OK_MARK}  "), thousands(F.col("row_count")), F.lit(" rows")))
-        .when(NO_DATA, F.lit(f"{NO_DATA_MARK}  no data"))
+        F.when(F.col("ok"), F.concat(F.lit(f"{OK_MARK}  "), thousands(F.col("row_count")), F.lit(" rows")))
+        .when(F.col("no_data"), F.lit(f"{NO_DATA_MARK}  no data"))
         .otherwise(F.concat(F.lit(f"{FAILED_MARK}  "), clip(error, ERROR_CHARS)))
     )
 
@@ -78,9 +75,14 @@ def digest_lines(results: DataFrame) -> DataFrame:
     return lines.orderBy("label", "ordinal")
 
 
+def run_summary(results: DataFrame) -> DataFrame:
+    """One row: the counts, the verdict and the date of a run."""
+    return run_status(results).agg(*_count_columns(), _first_date())
+
+
 def digest_head(results: DataFrame, run_id: str, title: str = "Daily Run Summary") -> DataFrame:
     """The lines above the location lines, in order: ``position, line``."""
-    facts = run_status(results).agg(*_count_columns(), _first_date())
+    facts = run_summary(results)
     rule = F.lit("─" * 60)
     lines = F.array(
         F.concat(F.lit(f"{title} — "), "report_date"),
@@ -100,7 +102,7 @@ def digest_head(results: DataFrame, run_id: str, title: str = "Daily Run Summary
 
 def kpi_digest_lines(results: DataFrame) -> DataFrame:
     """KPI digest: mark, code and label, in run order. Wants ``ordinal, code, label, ok``."""
-    mark = F.when(OK, OK_MARK).otherwise(FAILED_MARK)
+    mark = F.when(F.col("ok"), OK_MARK).otherwise(FAILED_MARK)
     line = F.concat(mark, F.lit("  "), pad(F.col("code"), 8), F.lit("  "), F.col("label"))
     return results.select("ordinal", line.alias("line")).orderBy("ordinal")
 
