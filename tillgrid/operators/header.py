@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillgrid.functions.naming import suffix_of
 from tillgrid.functions.text import MISSING_TEXTS, strip
 
 # Fixed values of the report layout.
@@ -78,19 +79,35 @@ def clean_header(header_cells: Column) -> Column:
     return F.transform(unique, lambda name: F.when((name != "") & ~name.startswith(UNNAMED), name))
 
 
+def with_header(files: DataFrame, ragged: Column) -> DataFrame:
+    """Add what the rows need of their file: header row, date, column names and the width limit.
+
+    ``ragged`` says whether rows longer than the header are bad (text files) or
+    cannot occur (sheets, whose width is common).
+    """
+    meta = with_report_meta(files).withColumn("header", clean_header(F.col("header_cells")))
+    return meta.withColumn("width", F.when(ragged, F.size("header"))).drop("header_cells", "preview")
+
+
+def is_ragged(file_name: Column) -> Column:
+    return ~F.coalesce(suffix_of(file_name), F.lit("")).isin("xlsx", "xls")
+
+
 def preview_by_file(raw_rows: DataFrame, size: int = PREVIEW_ROWS) -> DataFrame:
-    """``(file_id, preview)`` from grid rows; only the first rows of each file are shuffled."""
+    """``(file_id, file_name, preview)`` from grid rows; only the first rows of each file are shuffled."""
     return (
         raw_rows.where(F.col("row_idx") < size)
         .groupBy("file_id")
-        .agg(F.sort_array(F.collect_list(F.struct("row_idx", "cells"))).alias("preview"))
+        .agg(
+            F.max("file_name").alias("file_name"),
+            F.sort_array(F.collect_list(F.struct("row_idx", "cells"))).alias("preview"),
+        )
     )
 
 
 def file_meta(raw_rows: DataFrame) -> DataFrame:
-    """One row per file: ``file_id, header_row, business_date, header``."""
-    meta = with_report_meta(preview_by_file(raw_rows))
-    return meta.select("file_id", "header_row", "business_date", clean_header(F.col("header_cells")).alias("header"))
+    """One row per file: ``file_id, header_row, business_date, header, width``."""
+    return with_header(preview_by_file(raw_rows), is_ragged(F.col("file_name"))).drop("file_name")
 
 
 def header_columns(meta: DataFrame) -> DataFrame:

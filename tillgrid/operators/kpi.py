@@ -50,13 +50,22 @@ def entry_text(payload: Column) -> Column:
 
 
 def kpi_extract(reports: DataFrame, payload: str = "payload") -> DataFrame:
-    """Replace the payload by its parsed ``entry``; null for an empty report."""
-    text = entry_text(F.col(payload))
-    return reports.withColumn("entry", F.from_json(text, ENTRY_SCHEMA)).drop(payload)
+    """Replace the payload by ``entry_json`` and the parsed ``entry``; both null for an empty report.
+
+    The one-element explode keeps all rows. It makes the entry text a column of
+    its own, so that a filter on it does not search the payload a second time.
+    """
+    kept = [c for c in reports.columns if c != payload]
+    found = reports.select(*kept, F.explode(F.array(entry_text(F.col(payload)))).alias("entry_json"))
+    return found.withColumn("entry", F.from_json("entry_json", ENTRY_SCHEMA))
+
+
+def with_entry(extracted: DataFrame) -> DataFrame:
+    return extracted.where(F.col("entry_json").isNotNull())
 
 
 def kpi_empty(extracted: DataFrame) -> DataFrame:
-    return extracted.where(F.col("entry").isNull()).drop("entry")
+    return extracted.where(F.col("entry_json").isNull()).drop("entry", "entry_json")
 
 
 def _zero(value: Column) -> Column:
@@ -92,7 +101,7 @@ def kpi_flatten(extracted: DataFrame) -> DataFrame:
 
     Wants ``report_date, code, label, pos_name, entry``. Absent and null values give 0.
     """
-    return extracted.where(F.col("entry").isNotNull()).select(
+    return with_entry(extracted).select(
         F.col("report_date").cast("string").alias("Date"),
         F.col("code").alias("Code"),
         F.col("label").alias("Location"),
@@ -106,7 +115,7 @@ def kpi_flatten(extracted: DataFrame) -> DataFrame:
 
 def kpi_long(extracted: DataFrame, keys: list[str]) -> DataFrame:
     """One row per report and category that occurs in it, with the category's label."""
-    rows = extracted.where(F.col("entry").isNotNull()).select(
+    rows = with_entry(extracted).select(
         *keys, F.explode("entry.categories").alias("category", "figures")
     )
     return rows.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillgrid.functions.dates import reformat_date
 from tillgrid.functions.numbers import to_int, to_money
-from tillgrid.operators.header import cell_at
+from tillgrid.operators.header import cell_at, present
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,10 @@ class ReportSpec:
     def mapped(self) -> list[ColumnSpec]:
         return [c for c in self.columns if c.raw and c.target and not c.drop and not c.inject]
 
+    @property
+    def injected(self) -> list[ColumnSpec]:
+        return [c for c in self.columns if c.target and c.inject]
+
     @property
     def known(self) -> list[str]:
         """Raw names that the spec maps or drops; any other raw name is an extra."""
@@ -100,8 +104,10 @@ CASTS: dict[str, Callable[[Column], Column]] = {"int": to_int, "float": to_money
 
 
 def with_positions(meta: DataFrame, spec: ReportSpec, extras: list[str] | None = None) -> DataFrame:
-    """Add ``pos``: for every mapped or extra raw name its 0-based place in the file, null if absent.
+    """Add what the spec takes from a file as a whole.
 
+    ``pos`` has, for every mapped or extra raw name, its 0-based place in the
+    file, null if absent; ``injected`` has the columns that are not in the file.
     Done once per file, so that rows only fetch cells by position.
     """
 
@@ -110,15 +116,19 @@ def with_positions(meta: DataFrame, spec: ReportSpec, extras: list[str] | None =
 
     mapped = [place(c.raw).alias(f"p{i}") for i, c in enumerate(spec.mapped)]
     more = [place(name).alias(f"e{i}") for i, name in enumerate(extras or [])]
-    return meta.withColumn("pos", F.struct(*mapped, *more))
+    strategies = {**INJECTORS, **spec.injectors}
+    injected = [strategies[c.inject](spec).alias(f"i{i}") for i, c in enumerate(spec.injected)]
+    meta = meta.withColumn("pos", F.struct(*mapped, *more))
+    return meta.withColumn("injected", F.struct(*injected)) if injected else meta
 
 
 def raw_cell(spec: ReportSpec, raw: str) -> Column:
+    """The cell of a mapped raw column as it is in the file."""
     index = [c.raw for c in spec.mapped].index(raw)
-    return cell_at(F.col("cells"), F.col(f"pos.p{index}"))
+    return F.get(F.col("cells"), F.col(f"pos.p{index}"))
 
 
-def target_columns(spec: ReportSpec, available: list[str] | None = None) -> list[Column]:
+def target_columns(spec: ReportSpec, only: list[str] | None = None) -> list[Column]:
     """Output columns in their final order.
 
     A mapped column that the file lacks stays null, while a blank cell of a
@@ -126,15 +136,13 @@ def target_columns(spec: ReportSpec, available: list[str] | None = None) -> list
     """
     built: dict[str, Column] = {}
     for i, c in enumerate(spec.mapped):
-        cell = cell_at(F.col("cells"), F.col(f"pos.p{i}"))
         cast = CASTS.get(c.dtype)
-        built[c.target] = F.when(F.col(f"pos.p{i}").isNotNull(), cast(cell)) if cast else cell
-    injectors = {**INJECTORS, **spec.injectors}
-    for c in spec.columns:
-        if c.inject:
-            built[c.target] = injectors[c.inject](spec)
+        cell = raw_cell(spec, c.raw)
+        built[c.target] = F.when(F.col(f"pos.p{i}").isNotNull(), cast(cell)) if cast else present(cell)
+    for i, c in enumerate(spec.injected):
+        built[c.target] = F.col(f"injected.i{i}")
     names = [n for n in spec.order if n in built] + [n for n in built if n not in spec.order]
-    return [built[n].alias(n) for n in names if available is None or n in available]
+    return [built[n].alias(n) for n in names if only is None or n in only]
 
 
 def extra_names(meta: DataFrame, spec: ReportSpec, limit: int = 500) -> list[str]:

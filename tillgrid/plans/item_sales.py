@@ -1,21 +1,22 @@
 """Item sales: landed reports of all locations and days to one upload-ready table.
 
 ``report rows`` are grid rows with what is known of their file: ``header``,
-``header_row``, ``business_date`` and the column positions ``pos``.
+``width``, ``header_row``, ``business_date``, the column positions ``pos`` and
+the ``injected`` columns.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.functions.dates import business_day_key, parse_date
-from tillgrid.functions.naming import location_tag_of, suffix_of
-from tillgrid.functions.numbers import number
+from tillgrid.functions.naming import location_tag_of
+from tillgrid.functions.numbers import is_number
 from tillgrid.functions.text import sanitize
-from tillgrid.operators.header import file_meta
+from tillgrid.operators.header import file_meta, present
 from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join
 from tillgrid.operators.spec import (
     ITEM_SALES,
@@ -31,14 +32,14 @@ from tillgrid.sources import csv_grid, xlsx_grid
 from tillgrid.sources.landing import landed_files
 
 FILE_COLUMNS = ["file_id", "file_name", "modified_at"]
+META_COLUMNS = ["header", "width", "header_row", "business_date", "pos", "injected"]
 
 
 def rows_of_files(files: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None) -> DataFrame:
     """Report rows of whole text files; header and rows are taken in one pass without a shuffle."""
     meta = with_positions(csv_grid.files_with_meta(files), spec, extras)
     rows = meta.select(
-        *FILE_COLUMNS, "header", "header_row", "business_date", "pos",
-        F.posexplode("records").alias("row_idx", "line"),
+        *FILE_COLUMNS, *META_COLUMNS, F.posexplode("records").alias("row_idx", "line"),
     ).where(F.col("row_idx") > F.col("header_row"))
     return rows.withColumn("cells", csv_grid.cells(F.col("line"))).drop("line")
 
@@ -75,29 +76,25 @@ def read_report_rows(spark: SparkSession, path: str, spec: ReportSpec = ITEM_SAL
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def is_too_long(rows: DataFrame) -> Column:
-    """Text rows with more fields than the header; a sheet has no such rows, its width is common."""
-    text_file = ~suffix_of(F.col("file_name")).isin("xlsx", "xls")
-    return text_file & (F.size("cells") > F.size("header"))
-
-
 def rejected_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(is_too_long(rows)).select(*FILE_COLUMNS, "row_idx", "cells")
+    """Rows with more fields than the header of their file."""
+    return rows.where(F.size("cells") > F.col("width")).select(*FILE_COLUMNS, "row_idx", "cells")
 
 
 def strip_totals(rows: DataFrame, spec: ReportSpec = ITEM_SALES) -> DataFrame:
     """Drop totals rows: those without a key."""
-    return rows.where(raw_cell(spec, spec.key).isNotNull())
+    return rows.where(present(raw_cell(spec, spec.key)).isNotNull())
 
 
 def strip_subheaders(rows: DataFrame, spec: ReportSpec = ITEM_SALES) -> DataFrame:
-    """Drop rows whose key is no number."""
-    return rows.where(number(raw_cell(spec, spec.key)).isNotNull())
+    """Drop rows whose key is no number. That takes the totals rows as well."""
+    return rows.where(is_number(raw_cell(spec, spec.key)))
 
 
 def item_rows(rows: DataFrame, spec: ReportSpec = ITEM_SALES) -> DataFrame:
     """Report rows that are items. Files without the key column have none."""
-    return strip_subheaders(strip_totals(rows.where(~is_too_long(rows)), spec), spec)
+    fitting = rows.where(F.col("width").isNull() | (F.size("cells") <= F.col("width")))
+    return strip_subheaders(fitting, spec)
 
 
 def item_sales(rows: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str | list[str] = "drop",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join
-from tillgrid.operators.kpi import kpi_extract, kpi_flatten
+from tillgrid.operators.kpi import kpi_extract, kpi_flatten, with_entry
 from tillgrid.operators.locations import resolve_cascade
 
 
@@ -24,7 +24,7 @@ def reports_of_codes(reports: DataFrame, codes: DataFrame) -> DataFrame:
 def kpi_report(reports: DataFrame, codes: DataFrame, workplaces: DataFrame) -> DataFrame:
     """The wide KPI row of every code and day that has a report."""
     known = resolved_codes(codes, workplaces)
-    return kpi_flatten(reports_of_codes(kpi_extract(reports), known))
+    return kpi_flatten(kpi_extract(reports_of_codes(reports, known)))
 
 
 def kpi_status(requests: DataFrame, codes: DataFrame, workplaces: DataFrame, reports: DataFrame,
@@ -36,8 +36,7 @@ def kpi_status(requests: DataFrame, codes: DataFrame, workplaces: DataFrame, rep
     """
     known = resolved_codes(codes, workplaces).select("code", "workplace_id").withColumn("_known", F.lit(True))
     landed = (
-        kpi_extract(reports)
-        .where(F.col("entry").isNotNull())
+        with_entry(kpi_extract(reports))
         .select("workplace_id", "report_date")
         .distinct()
         .withColumn("_landed", F.lit(True))

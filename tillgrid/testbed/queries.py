@@ -49,7 +49,7 @@ def _joined(cells: str = "cells") -> Column:
 @query
 def src_csv_grid(spark, sf):
     path = scratch_dir(spark, "landing")
-    t.land_csv(t.report_grid(spark, sf), path)
+    t.land_csv(t.landed(spark, sf, t.report_grid), path)
     grid = csv_grid.read_csv_grid(spark, path, "*.txt")
     return grid.select(t.landed_id(F.col("file_id")).alias("file_id"), "row_idx",
                        F.size("cells").cast("bigint").alias("n_cells"), _joined())
@@ -63,7 +63,7 @@ def _workbook(report: pd.DataFrame) -> pd.DataFrame:
 @query
 def src_xlsx_grid(spark, sf):
     """Workbooks are made per report (a report is bounded) and decoded again."""
-    grid = t.report_grid(spark, sf).select("file_id", "row_idx", "cells")
+    grid = t.landed(spark, sf, t.report_grid).select("file_id", "row_idx", "cells")
     books = grid.groupBy("file_id").applyInPandas(_workbook, "file_id string, file_name string, content binary")
     books = books.withColumn("modified_at", F.lit(None).cast("timestamp"))
     rows = xlsx_grid.chunks_to_rows(xlsx_grid.decode_workbooks(books))
@@ -82,18 +82,18 @@ def dim_code(spark, sf):
 
 @query
 def kpi_extract(spark, sf):
-    entries = kpi.kpi_extract(t.kpi_reports(spark, sf))
+    entries = kpi.kpi_extract(t.landed(spark, sf, t.kpi_reports))
     return entries.select("workplace_id", F.col("report_date").cast("string").alias("report_date"),
-                          F.col("entry").isNotNull().alias("has_entry"), F.col("entry.total.turnover").alias("turnover"))
+                          F.col("entry_json").isNotNull().alias("has_entry"), F.col("entry.total.turnover").alias("turnover"))
 
 
 def _workplaces(spark, sf) -> DataFrame:
-    return locations.workplace_dedup(payloads.workplace_rows(t.workplace_pages(spark, sf)))
+    return locations.workplace_dedup(payloads.workplace_rows(t.landed(spark, sf, t.workplace_pages)))
 
 
 @query
 def workplace_pages(spark, sf):
-    pages = t.workplace_pages(spark, sf)
+    pages = t.landed(spark, sf, t.workplace_pages)
     # One row says whether the list is whole; it goes with every entry.
     whole = payloads.pages_complete(pages).select(F.lit(True).alias("_all"), F.col("complete"))
     rows = payloads.workplace_rows(pages).withColumn("_all", F.lit(True))
@@ -121,7 +121,7 @@ def file_provenance(spark, sf):
 
 @query
 def sink_report(spark, sf):
-    grid = t.report_grid(spark, sf)
+    grid = t.landed(spark, sf, t.report_grid)
     keep = ("file_id", "file_name", "row_idx", "business_date")
     items = sales.item_sales(sales.rows_of_grid(grid), keep=keep)
     located = sales.with_location(items, locations.active_locations(t.location_dim(spark, sf)))
@@ -134,7 +134,7 @@ def sink_report(spark, sf):
 
 
 def _kpi_rows(spark, sf) -> DataFrame:
-    return kpi_report.kpi_report(t.kpi_reports(spark, sf), t.code_dim(spark, sf), _workplaces(spark, sf))
+    return kpi_report.kpi_report(t.landed(spark, sf, t.kpi_reports), t.code_dim(spark, sf), _workplaces(spark, sf))
 
 
 @query
@@ -147,7 +147,7 @@ def sink_kpi(spark, sf):
 @query
 def audit_rows(spark, sf):
     """Rows and outcome of each report, appended to the audit log and read back."""
-    grid = t.report_grid(spark, sf)
+    grid = t.landed(spark, sf, t.report_grid)
     meta = header.file_meta(grid).checkpoint()
     counts = sales.item_rows(sales.rows_of_grid(grid, meta=meta)).groupBy("file_id").agg(F.count("*").alias("rows"))
     failed = header.missing_key_files(meta, ITEM_SALES.key)
@@ -167,7 +167,7 @@ def audit_rows(spark, sf):
 @query
 def ingest_incremental(spark, sf):
     landed, table = scratch_dir(spark, "landing"), scratch_dir(spark, "table")
-    t.land_csv(t.report_grid(spark, sf), landed)
+    t.land_csv(t.landed(spark, sf, t.report_grid), landed)
     key = t.landed_id(F.col("_metadata.file_path"))
     name = t.raw_file_name(key, F.regexp_extract(key, r"loc(\d+)-", 1).cast("bigint"))
     dim = locations.active_locations(t.location_dim(spark, sf))
@@ -184,12 +184,12 @@ def ingest_incremental(spark, sf):
 
 
 def _report_rows(spark, sf) -> DataFrame:
-    return sales.rows_of_grid(t.report_grid(spark, sf))
+    return sales.rows_of_grid(t.landed(spark, sf, t.report_grid))
 
 
 @query
 def header_clean(spark, sf):
-    return header.header_columns(header.file_meta(t.report_grid(spark, sf)))
+    return header.header_columns(header.file_meta(t.landed(spark, sf, t.report_grid)))
 
 
 @query
@@ -224,12 +224,12 @@ _QUERIES["inject_empty"] = _targets(["Order ID", "Sales Type Code"])
 
 @query
 def reorder_extras(spark, sf):
-    return sales.item_sales_with_extras(t.report_grid(spark, sf))
+    return sales.item_sales_with_extras(t.landed(spark, sf, t.report_grid))
 
 
 @query
 def missing_key_files(spark, sf):
-    return header.missing_key_files(header.file_meta(t.report_grid(spark, sf)), ITEM_SALES.key)
+    return header.missing_key_files(header.file_meta(t.landed(spark, sf, t.report_grid)), ITEM_SALES.key)
 
 
 def _lines(spark, sf) -> DataFrame:
@@ -307,7 +307,7 @@ def pick_codes(spark, sf):
 
 @query
 def kpi_empty(spark, sf):
-    empty = kpi.kpi_empty(kpi.kpi_extract(t.kpi_reports(spark, sf)))
+    empty = kpi.kpi_empty(kpi.kpi_extract(t.landed(spark, sf, t.kpi_reports)))
     return empty.withColumn("report_date", F.col("report_date").cast("string"))
 
 
@@ -348,7 +348,7 @@ def run_status(spark, sf):
 
 def _kpi_status(spark, sf) -> DataFrame:
     return kpi_report.kpi_status(
-        t.code_requests(spark, sf), t.code_dim(spark, sf), _workplaces(spark, sf), t.kpi_reports(spark, sf)
+        t.code_requests(spark, sf), t.code_dim(spark, sf), _workplaces(spark, sf), t.landed(spark, sf, t.kpi_reports)
     )
 
 
@@ -410,12 +410,12 @@ def result_labels(spark, sf):
 
 @query
 def detect_header(spark, sf):
-    return header.file_meta(t.report_grid(spark, sf)).select("file_id", "header_row")
+    return header.file_meta(t.landed(spark, sf, t.report_grid)).select("file_id", "header_row")
 
 
 @query
 def detect_business_date(spark, sf):
-    return header.file_meta(t.report_grid(spark, sf)).select("file_id", "business_date")
+    return header.file_meta(t.landed(spark, sf, t.report_grid)).select("file_id", "business_date")
 
 
 @query
@@ -467,14 +467,14 @@ def _spec_names(meta: DataFrame, names: list[str]) -> DataFrame:
 
 @query
 def spec_diff(spark, sf):
-    meta = header.file_meta(t.report_grid(spark, sf)).checkpoint()
+    meta = header.file_meta(t.landed(spark, sf, t.report_grid)).checkpoint()
     found = header.header_columns(meta).select("file_id", "name")
     return sets.both_differences(_spec_names(meta, ITEM_SALES.known), found, "spec", "report")
 
 
 @query
 def spec_required(spark, sf):
-    meta = header.file_meta(t.report_grid(spark, sf)).checkpoint()
+    meta = header.file_meta(t.landed(spark, sf, t.report_grid)).checkpoint()
     found = header.header_columns(meta).select("file_id", "name")
     return sets.missing_required(_spec_names(meta, ["Menu Item #", "Menu Item Name", "Gross after Disc."]), found)
 
@@ -509,7 +509,7 @@ for _name in ("sanitize", "norm_a", "norm_b"):
 
 @query
 def kpi_long_labels(spark, sf):
-    long = kpi.kpi_long(kpi.kpi_extract(t.kpi_reports(spark, sf)), ["workplace_id", "report_date"])
+    long = kpi.kpi_long(kpi.kpi_extract(t.landed(spark, sf, t.kpi_reports)), ["workplace_id", "report_date"])
     return long.withColumn("report_date", F.col("report_date").cast("string"))
 
 
@@ -577,7 +577,7 @@ def item_sales_text(spark: SparkSession, sf: str) -> DataFrame:
     """From whole texts, as landed files are read: header and rows in one pass."""
     line = F.struct("row_idx", t.csv_line(F.col("cells")).alias("line"))
     # A report is bounded, so its text is too.
-    texts = t.report_grid(spark, sf).groupBy("file_id", "file_name").agg(
+    texts = t.landed(spark, sf, t.report_grid).groupBy("file_id", "file_name").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").alias("text")
     )
     files = texts.withColumn("modified_at", F.lit(None).cast("timestamp"))

@@ -7,11 +7,15 @@ from events, run results from orders. Nothing is filtered out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrid.functions.text import sanitize
 from tillgrid.operators.joins import lookup_join
+from tillgrid.session import scratch_dir
 
 # A report holds at most this many menu items; a supplier with more has several reports.
 ITEMS_PER_REPORT = 10_000
@@ -23,6 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A derived input as a table in the shared scratch folder, written once per application.
+
+    The operators then read it as they would read what has landed, and their
+    plans hold nothing of how the input was made.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+    if key not in _LANDED:
+        path = scratch_dir(spark, build.__name__)
+        build(spark, sf_dir).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def text(value: Column) -> Column:
     return value.cast("string")
 
@@ -36,9 +57,7 @@ def whole_div(value: Column, by: int) -> Column:
 
 
 def money_text(cents: Column) -> Column:
-    size = F.abs(cents)
-    sign = F.when(cents < 0, "-").otherwise("")
-    return F.concat(sign, text(whole_div(size, 100)), F.lit("."), F.lpad(text(size % 100), 2, "0"))
+    return text((cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(20,2)"))
 
 
 # ---- reports ---------------------------------------------------------------------------------
