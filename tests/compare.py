@@ -34,6 +34,11 @@ def difference(spark, con, name: str, sf_dir: str) -> str:
     want = con.sql(entry.oracle_sql()[name])
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} / {sorted(want.columns)}"
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    left_types = {c: kinds.get(k, k) for c, k in got.dtypes}
+    right_types = dict(zip(want.columns, map(str, want.types)))
+    if left_types != right_types:
+        return f"types { {c: (left_types[c], right_types[c]) for c in left_types if left_types[c] != right_types[c]} }"
     left = got.collect()
     left = rows_of(pd.DataFrame([tuple(r) for r in left], columns=got.columns, dtype=object))
     right = rows_of(pd.DataFrame(want.fetchall(), columns=want.columns, dtype=object))

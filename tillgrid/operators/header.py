@@ -113,7 +113,7 @@ def file_meta(raw_rows: DataFrame) -> DataFrame:
 def header_columns(meta: DataFrame) -> DataFrame:
     """One row per kept column of each file: ``file_id, position, name``."""
     exploded = meta.select("file_id", F.posexplode("header").alias("position", "name"))
-    return exploded.where(F.col("name").isNotNull())
+    return exploded.where(F.col("name").isNotNull()).withColumn("position", F.col("position").cast("bigint"))
 
 
 def missing_key_files(meta: DataFrame, key: str) -> DataFrame:

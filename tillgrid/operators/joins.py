@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only after a count showed that it has no more rows than this.
@@ -33,41 +33,41 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str
     return spread_join(facts, dim, keys, how)
 
 
-def spread_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Shuffle join whose hot keys are salted.
+def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hashes of the keys that hold a large share of the rows, at most ``1 / HOT_SHARE`` of them.
 
-    The hot keys come from a mergeable top-k sketch over the key column alone,
-    so the list has at most ``1 / HOT_SHARE`` entries and may be broadcast. The
-    sketch steers only the spreading: an estimate that is off changes no row.
-    The salt is a hash of the row, not a random number, so a task that runs
-    again sends each row to the same place.
+    They come from a mergeable top-k sketch over the key columns alone. The
+    result steers only the spreading: an estimate that is off changes no row.
     """
-    key_hash = F.xxhash64(*keys)
     most = int(1 / HOT_SHARE)
-    sketch = facts.select(key_hash.alias("_key")).agg(
-        F.expr(f"approx_top_k(_key, {most}, {most * 16})").alias("_top"), F.count("*").alias("_rows")
+    sketch = facts.select(F.xxhash64(*keys).alias("_join_hash")).agg(
+        F.expr(f"approx_top_k(_join_hash, {most}, {most * 16})").alias("_top"), F.count("*").alias("_rows")
     )
-    hot = (
+    return (
         sketch.select(F.explode("_top").alias("_item"), "_rows")
         .where((F.col("_item.count") >= hot_rows) & (F.col("_item.count") >= F.col("_rows") * HOT_SHARE))
-        .select(F.col("_item.item").alias("_key"), F.lit(True).alias("_hot"))
-    )
-    hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*facts.columns)
-    salted_facts = (
-        facts.withColumn("_key", key_hash)
-        .join(hot, "_key", "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)))
-        .drop("_key", "_hot")
+        .select(F.col("_item.item").alias("_join_hash"), F.lit(True).alias("_join_hot"))
     )
-    salted_dim = (
-        dim.withColumn("_key", key_hash)
-        .join(hot, "_key", "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_key", "_hot")
-    )
-    return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")
+
+
+def spread_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
+                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Shuffle join whose hot keys are salted.
+
+    Rows of a hot key go to ``salts`` places by a hash of the row, and only the
+    few dimension rows of hot keys are repeated that often. A hash, unlike a
+    random number, sends a row to the same place when its task runs again. Rows
+    that are equal in every column stay together; Spark's skew join splits
+    those.
+    """
+    hot = F.broadcast(hot_keys(facts, keys, hot_rows))
+    is_hot = F.col("_join_hot")
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    every_salt = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+
+    def salted(side: DataFrame, value: Column) -> DataFrame:
+        marked = side.withColumn("_join_hash", F.xxhash64(*keys)).join(hot, "_join_hash", "left")
+        return marked.withColumn("_join_salt", value).drop("_join_hash", "_join_hot")
+
+    joined = salted(facts, salt).join(salted(dim, F.explode(every_salt)), [*keys, "_join_salt"], how)
+    return joined.drop("_join_salt")

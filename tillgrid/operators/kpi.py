@@ -43,21 +43,17 @@ ENTRY_SCHEMA = (
 EMPTY_ENTRIES = ["", "{}", "[]", "null", "0", "false"]
 
 
-def entry_text(payload: Column) -> Column:
-    """The first entry of a payload as JSON text; null where it is absent, empty or the payload is no JSON."""
-    text = F.get_json_object(payload, ENTRY_PATH)
-    return F.when(~text.isin(EMPTY_ENTRIES), text)
-
-
 def kpi_extract(reports: DataFrame, payload: str = "payload") -> DataFrame:
-    """Replace the payload by ``entry_json`` and the parsed ``entry``; both null for an empty report.
+    """Replace the payload by ``entry_json`` and the parsed ``entry``.
 
-    The one-element explode keeps all rows. It makes the entry text a column of
-    its own, so that a filter on it does not search the payload a second time.
+    Both are null where the entry is absent or empty or the payload is no JSON.
+    The one-element explode keeps all rows; it makes the text found a column of
+    its own, so that checks on it do not search the payload again.
     """
     kept = [c for c in reports.columns if c != payload]
-    found = reports.select(*kept, F.explode(F.array(entry_text(F.col(payload)))).alias("entry_json"))
-    return found.withColumn("entry", F.from_json("entry_json", ENTRY_SCHEMA))
+    found = reports.select(*kept, F.explode(F.array(F.get_json_object(payload, ENTRY_PATH))).alias("_found"))
+    text = F.when(~F.col("_found").isin(EMPTY_ENTRIES), F.col("_found"))
+    return found.withColumn("entry_json", text).withColumn("entry", F.from_json("_found", ENTRY_SCHEMA)).drop("_found")
 
 
 def with_entry(extracted: DataFrame) -> DataFrame:

@@ -36,12 +36,21 @@ META_COLUMNS = ["header", "width", "header_row", "business_date", "pos", "inject
 
 
 def rows_of_files(files: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None) -> DataFrame:
-    """Report rows of whole text files; header and rows are taken in one pass without a shuffle."""
+    """Report rows of whole text files; header and rows are taken in one pass without a shuffle.
+
+    The outer explode and the one-element explodes keep the optimizer from
+    repeating their input in filters pushed below them: each text and each line
+    is split once, each header looked up once.
+    """
     meta = with_positions(csv_grid.files_with_meta(files), spec, extras)
-    rows = meta.select(
-        *FILE_COLUMNS, *META_COLUMNS, F.posexplode("records").alias("row_idx", "line"),
+    once = meta.select(*FILE_COLUMNS, "records", F.explode(F.array(F.struct(*META_COLUMNS))).alias("_file"))
+    lines = once.select(
+        *FILE_COLUMNS, "_file.*", F.posexplode_outer("records").alias("row_idx", "line")
     ).where(F.col("row_idx") > F.col("header_row"))
-    return rows.withColumn("cells", csv_grid.cells(F.col("line"))).drop("line")
+    return lines.select(
+        *FILE_COLUMNS, *META_COLUMNS, F.col("row_idx").cast("bigint").alias("row_idx"),
+        F.explode(F.array(csv_grid.cells(F.col("line")))).alias("cells"),
+    )
 
 
 def rows_of_workbooks(books: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None) -> DataFrame:

@@ -18,7 +18,8 @@ def read_json_texts(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
 def workplace_rows(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``seq, name, id`` of all pages ``(page, payload)``; ``seq`` is the place in the whole list."""
     entries = pages.select("page", F.from_json("payload", PAGE_SCHEMA)["data"].alias("data"))
-    rows = entries.select("page", F.posexplode("data").alias("at", "entry"))
+    # Outer, so that no filter on the array makes Spark parse the payload twice.
+    rows = entries.select("page", F.posexplode_outer("data").alias("at", "entry")).where(F.col("at").isNotNull())
     return rows.select(
         (F.col("page") * page_size + F.col("at")).alias("seq"), F.col("entry.name").alias("name"),
         F.col("entry.id").alias("id"),

@@ -581,7 +581,7 @@ def item_sales_text(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["line"]), "\n").alias("text")
     )
     files = texts.withColumn("modified_at", F.lit(None).cast("timestamp"))
-    return sales.item_sales(sales.rows_of_files(files)).withColumn("row_idx", F.col("row_idx").cast("bigint"))
+    return sales.item_sales(sales.rows_of_files(files))
 
 
 _QUERIES["item_sales"] = item_sales
