@@ -32,7 +32,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "tillgrid-bench")
     begin = time.perf_counter()
-    for build in (tables.report_grid, tables.kpi_reports, tables.workplace_pages):
+    for build in (tables.report_grid, tables.kpi_reports, tables.workplace_pages, tables.landed_names):
         tables.landed(spark, sf_dir, build)
     landing = time.perf_counter() - begin
 

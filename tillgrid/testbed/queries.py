@@ -102,19 +102,19 @@ def workplace_pages(spark, sf):
 
 @query
 def latest_file(spark, sf):
-    named = landing.with_provenance(t.landed_names(spark, sf)).where(F.col("location_tag").isNotNull())
+    named = landing.with_provenance(t.landed(spark, sf, t.landed_names)).where(F.col("location_tag").isNotNull())
     return landing.latest_files(named, ["location_tag", "suffix"]).select("location_tag", "suffix", "file_id")
 
 
 @query
 def empty_files(spark, sf):
-    files = t.landed_names(spark, sf)
+    files = t.landed(spark, sf, t.landed_names)
     return landing.missing_or_empty(files.select("file_name"), files)
 
 
 @query
 def file_provenance(spark, sf):
-    return landing.with_provenance(t.landed_names(spark, sf)).select(
+    return landing.with_provenance(t.landed(spark, sf, t.landed_names)).select(
         "file_id", "file_name", "run_id", "location_tag", "suffix"
     )
 
@@ -169,8 +169,8 @@ def ingest_incremental(spark, sf):
     landed, table = scratch_dir(spark, "landing"), scratch_dir(spark, "table")
     t.land_csv(t.landed(spark, sf, t.report_grid), landed)
     key = t.landed_id(F.col("_metadata.file_path"))
-    name = t.raw_file_name(key, F.regexp_extract(key, r"loc(\d+)-", 1).cast("bigint"))
-    dim = locations.active_locations(t.location_dim(spark, sf))
+    name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(key)), F.lit("_raw.csv"))
+    dim = locations.active_locations(t.report_dim(spark, sf))
     ingest(spark, landed, dim, table, scratch_dir(spark, "unmatched"), scratch_dir(spark, "ingest"),
            glob="*.txt", file_name=name).awaitTermination()
     columns = [f"`{c}`" for c in ITEM_SALES.order]

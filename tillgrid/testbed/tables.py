@@ -225,6 +225,23 @@ def location_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_place(file_id: Column) -> Column:
+    """The name of the place a single report is about: store and menu part."""
+    s = F.regexp_extract(file_id, r"loc(\d+)-(\d+)", 1).cast("bigint")
+    return join_text(store_name(s), " menu ", F.regexp_extract(file_id, r"loc(\d+)-(\d+)", 2))
+
+
+def report_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ordinal, pos_name, label`` with one place per report, so that no report replaces another."""
+    s = F.regexp_extract("file_id", r"loc(\d+)-", 1).cast("bigint")
+    out_of_use = (s % 17).isin(3, 5, 7, 9, 11, 13)
+    reports = landed(spark, sf_dir, report_grid).select("file_id").distinct()
+    return reports.select(
+        F.xxhash64("file_id").alias("ordinal"), report_place(F.col("file_id")).alias("pos_name"),
+        F.when(out_of_use, "N/A").otherwise(join_text("Label ", F.col("file_id"))).alias("label"),
+    )
+
+
 def hub_name(c: Column) -> Column:
     kind = c % 5
     return (
