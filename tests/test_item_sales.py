@@ -134,6 +134,18 @@ def test_quoted_line_break(spark, tmp_path):
     write_csv(tmp_path / "a_raw.csv", report(items=[["Two\nlines", "1", 1, 1, "4"], ITEMS[0]]))
     got = sales_rows(plan.item_sales(by_route(spark, tmp_path, "whole")))
     assert [(r[1], r[2], r[3]) for r in got] == [(1, "Two\nlines", 4), (10000003, "Original Beef Slider", 215)]
+    # Where a file is read in splits the two halves are reported instead.
+    assert [r[2] for r in sales_rows(plan.item_sales(by_route(spark, tmp_path, "split")))] == ["Original Beef Slider"]
+    halves = csv_grid.unreadable_lines(spark, str(tmp_path), limit=0).orderBy("row_idx").collect()
+    assert [r.line[:5] for r in halves] == ['"Two', 'lines'] and csv_grid.unreadable_lines(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("route", ["whole", "split"])
+def test_quote_inside_bare_field(spark, tmp_path, route):
+    path = write_csv(tmp_path / "a_raw.csv", report(items=[["PIPE", "1", 1, 1, "4"], ITEMS[0]]))
+    path.write_text(path.read_text().replace("PIPE", '5" pipe'))
+    got = sales_rows(plan.item_sales(by_route(spark, tmp_path, route)))
+    assert [r[2] for r in got] == ['5" pipe', "Original Beef Slider"]
 
 
 def test_header_names(spark, tmp_path):
@@ -164,3 +176,57 @@ def test_mixed_folder(spark, tmp_path, monkeypatch):
     out = plan.item_sales(plan.read_report_rows(spark, str(tmp_path)))
     counts = {r["Sales Date *"]: r["count"] for r in out.groupBy("`Sales Date *`").count().collect()}
     assert counts == {"01-Jan-2026": 3, "02-Jan-2026": 60, "03-Jan-2026": 3}
+
+
+def test_sheet_details(spark, tmp_path):
+    """Skipped rows and cells, all cell kinds, many columns."""
+    rows = [["a", 1, 2.5, "é & <b>"], [], ["", "x", "", 7.0], [""] * 30 + ["last"]]
+    write_xlsx(tmp_path / "a_raw.xlsx", rows)
+    got = xlsx_grid.read_xlsx_grid(spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [list(r.cells) for r in got] == [["a", "1", "2.5", "é & <b>"], [], ["", "x", "", "7"], [""] * 30 + ["last"]]
+    cell = lambda xml: xlsx_grid._cell_text(xlsx_grid.ElementTree.fromstring(xml), ["s0"], {3}, "%d/%m/%Y")
+    assert [cell(x) for x in (
+        '<c t="inlineStr"><is><t>in</t></is></c>', '<c t="s"><v>0</v></c>', '<c t="b"><v>1</v></c>', '<c t="e"><v>#N/A</v></c>',
+        '<c t="str"><v>f</v></c>', '<c s="3"><v>46127</v></c>', "<c><v>1E2</v></c>", "<c/>",
+    )] == ["in", "s0", "True", "", "f", "15/04/2026", "100", ""]
+
+
+def test_sheet_chunks(spark, tmp_path, monkeypatch):
+    """A sheet longer than a chunk gives each row once, with the header of its file."""
+    items = [[f"item {i}", i, 1, 1, i] for i in range(xlsx_grid.CHUNK_ROWS * 2)]
+    write_xlsx(tmp_path / "a_raw.xlsx", report(items=items))
+    out = plan.item_sales(plan.rows_of_workbooks(xlsx_grid.workbooks(spark, str(tmp_path))))
+    row = out.agg(F.count("*"), F.count_distinct("row_idx"), F.sum("`Sold QTY *`"), F.min("`Sales Date *`")).first()
+    n = len(items)
+    assert tuple(row) == (n, n, n * (n - 1) // 2, "15-Apr-2026")
+
+
+def test_large_file_is_read_in_splits(spark, tmp_path):
+    """Many splits of one file give the rows of the whole-file route, in order."""
+    items = [[f"item {i}", i, 1, 1, i % 100, 0, 0, 0, "1.5", 0, 0, 2] for i in range(20000)]
+    write_csv(tmp_path / "a_raw.csv", report(items=items))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        grid = csv_grid.split_grid(spark, str(tmp_path), limit=0)
+        split = plan.item_sales(plan.rows_of_grid(grid))
+        assert grid.count() == 20007
+        got = [r[0] for r in split.orderBy("row_idx").select("`POS Item ID *`").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == list(range(20000))
+
+
+def test_own_injector(spark, tmp_path):
+    from dataclasses import replace
+
+    from tillgrid.operators.spec import ColumnSpec
+
+    spec = replace(
+        ITEM_SALES, columns=[*ITEM_SALES.columns, ColumnSpec(None, "Source", inject="source")], order=[*ITEM_SALES.order, "Source"],
+        injectors={"source": lambda s: F.upper(F.col("business_date"))},
+    )
+    write_csv(tmp_path / "a_raw.csv", report("late"))
+    rows = plan.rows_of_files(csv_grid.whole_files(spark, str(tmp_path)), spec)
+    out = plan.item_sales(rows, spec)
+    assert out.columns[-1] == "Source" and {r.Source for r in out.collect()} == {"LATE"}
