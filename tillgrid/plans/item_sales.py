@@ -28,6 +28,7 @@ from tillgrid.operators.spec import (
     target_columns,
     with_positions,
 )
+from tillgrid.session import settle
 from tillgrid.sources import csv_grid, xlsx_grid
 from tillgrid.sources.landing import landed_files
 
@@ -67,7 +68,7 @@ def rows_of_grid(grid: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[st
     may be broadcast) does not read the grid again.
     """
     if meta is None:
-        meta = file_meta(grid).checkpoint()
+        meta = settle(file_meta(grid))
     rows = lookup_join(grid, with_positions(meta, spec, extras), "file_id", "inner", max_rows)
     return rows.where(F.col("row_idx") > F.col("header_row"))
 
@@ -125,7 +126,7 @@ def item_sales(rows: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str | lis
 def item_sales_with_extras(grid: DataFrame, spec: ReportSpec = ITEM_SALES,
                            keep: tuple[str, ...] = ("file_id", "row_idx")) -> DataFrame:
     """The upload table with every raw column outside the spec appended, null where a file lacks it."""
-    meta = file_meta(grid).checkpoint()
+    meta = settle(file_meta(grid))
     names = extra_names(meta, spec)
     return item_sales(rows_of_grid(grid, spec, names, meta), spec, names, keep)
 

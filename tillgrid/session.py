@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. They are all Spark SQL runtime settings, so
 # a cluster session can take them as they are; sizes are left to the cluster.
@@ -34,14 +34,27 @@ def local_session(cores: int | str = 8, app: str = "tillgrid", memory: str = "16
     return spark
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: the one that ``spark.checkpoint.dir`` names.
 
-    Only where the session names no such folder (a bare local session) a
-    temporary one is set.
+    Only where the session names none (a bare local session) a temporary one is
+    set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tillgrid-{purpose}-{uuid.uuid4().hex}"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared folder."""
+    return f"{shared_dir(spark)}/tillgrid-{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small result once and cut its lineage, in storage that outlives executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()

@@ -372,7 +372,9 @@ SQL: dict[str, str] = {
     "kpi_extract": f"""WITH {KPI} SELECT workplace_id, report_date::VARCHAR AS report_date, NOT is_empty AS has_entry,
         CASE WHEN NOT is_empty THEN cents / 100 END AS turnover FROM kpi""",
     "workplace_pages": f"""WITH {WORKPLACES} SELECT seq, name, id,
-        (count(*) OVER () % 500 <> 0) AS complete FROM listed""",
+        (count(*) OVER (PARTITION BY seq // 500))::INT AS entries FROM listed""",
+    "pages_complete": f"""WITH {WORKPLACES} SELECT count(DISTINCT seq // 500) AS pages, count(*) AS entries,
+        count(*) % 500 <> 0 AS complete FROM listed""",
     "latest_file": f"""WITH {PROVENANCE} SELECT location_tag, suffix,
         max_by(file_id, (modified_at, file_name)) AS file_id FROM provenance
         WHERE location_tag IS NOT NULL GROUP BY 1, 2""",

@@ -17,7 +17,7 @@ from tillgrid.operators.ordinal import number_rows
 from tillgrid.operators.spec import ITEM_SALES, raw_cell, target_columns
 from tillgrid.plans import item_sales as sales
 from tillgrid.plans import kpi_report
-from tillgrid.session import scratch_dir
+from tillgrid.session import scratch_dir, settle
 from tillgrid.sinks.tables import append_audit, write_kpi, write_report
 from tillgrid.sources import csv_grid, landing, payloads, xlsx_grid
 from tillgrid.streaming.incremental import ingest
@@ -93,11 +93,15 @@ def _workplaces(spark, sf) -> DataFrame:
 
 @query
 def workplace_pages(spark, sf):
+    """All entries of all pages, each with the size of its page."""
     pages = t.landed(spark, sf, t.workplace_pages)
-    # One row says whether the list is whole; it goes with every entry.
-    whole = payloads.pages_complete(pages).select(F.lit(True).alias("_all"), F.col("complete"))
-    rows = payloads.workplace_rows(pages).withColumn("_all", F.lit(True))
-    return rows.join(F.broadcast(whole), "_all").select("seq", "name", "id", "complete")
+    rows = payloads.workplace_rows(pages).withColumn("page", t.whole_div(F.col("seq"), payloads.PAGE_SIZE))
+    return rows.join(payloads.page_sizes(pages), "page").select("seq", "name", "id", "entries")
+
+
+@query
+def pages_complete(spark, sf):
+    return payloads.pages_complete(t.landed(spark, sf, t.workplace_pages))
 
 
 @query
@@ -148,7 +152,7 @@ def sink_kpi(spark, sf):
 def audit_rows(spark, sf):
     """Rows and outcome of each report, appended to the audit log and read back."""
     grid = t.landed(spark, sf, t.report_grid)
-    meta = header.file_meta(grid).checkpoint()
+    meta = settle(header.file_meta(grid))
     counts = sales.item_rows(sales.rows_of_grid(grid, meta=meta)).groupBy("file_id").agg(F.count("*").alias("rows"))
     failed = header.missing_key_files(meta, ITEM_SALES.key)
     facts = meta.select("file_id").join(counts, "file_id", "left").join(failed, "file_id", "left").select(
@@ -467,14 +471,14 @@ def _spec_names(meta: DataFrame, names: list[str]) -> DataFrame:
 
 @query
 def spec_diff(spark, sf):
-    meta = header.file_meta(t.landed(spark, sf, t.report_grid)).checkpoint()
+    meta = settle(header.file_meta(t.landed(spark, sf, t.report_grid)))
     found = header.header_columns(meta).select("file_id", "name")
     return sets.both_differences(_spec_names(meta, ITEM_SALES.known), found, "spec", "report")
 
 
 @query
 def spec_required(spark, sf):
-    meta = header.file_meta(t.landed(spark, sf, t.report_grid)).checkpoint()
+    meta = settle(header.file_meta(t.landed(spark, sf, t.report_grid)))
     found = header.header_columns(meta).select("file_id", "name")
     return sets.missing_required(_spec_names(meta, ["Menu Item #", "Menu Item Name", "Gross after Disc."]), found)
 
