@@ -230,3 +230,17 @@ def test_own_injector(spark, tmp_path):
     rows = plan.rows_of_files(csv_grid.whole_files(spark, str(tmp_path)), spec)
     out = plan.item_sales(rows, spec)
     assert out.columns[-1] == "Source" and {r.Source for r in out.collect()} == {"LATE"}
+
+
+@pytest.mark.parametrize("route", ["whole", "grid"])
+def test_spec_without_injected_columns(spark, tmp_path, route):
+    from dataclasses import replace
+
+    spec = replace(ITEM_SALES, columns=[c for c in ITEM_SALES.columns if not c.inject])
+    write_csv(tmp_path / "a_raw.csv", report())
+    if route == "whole":
+        rows = plan.rows_of_files(csv_grid.whole_files(spark, str(tmp_path)), spec)
+    else:
+        rows = plan.rows_of_grid(csv_grid.read_csv_grid(spark, str(tmp_path)), spec)
+    out = plan.item_sales(rows, spec)
+    assert out.columns[2:] == OUTPUT_COLUMNS[1:7] and out.count() == 3

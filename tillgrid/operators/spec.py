@@ -118,8 +118,8 @@ def with_positions(meta: DataFrame, spec: ReportSpec, extras: list[str] | None =
     more = [place(name).alias(f"e{i}") for i, name in enumerate(extras or [])]
     strategies = {**INJECTORS, **spec.injectors}
     injected = [strategies[c.inject](spec).alias(f"i{i}") for i, c in enumerate(spec.injected)]
-    meta = meta.withColumn("pos", F.struct(*mapped, *more))
-    return meta.withColumn("injected", F.struct(*injected)) if injected else meta
+    none = [F.lit(None).cast("string").alias("none")]
+    return meta.withColumn("pos", F.struct(*mapped, *more)).withColumn("injected", F.struct(*(injected or none)))
 
 
 def raw_cell(spec: ReportSpec, raw: str) -> Column:
