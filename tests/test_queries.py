@@ -18,10 +18,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.all_queries()) == set(entry.SQL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.all_queries()))
 def test_query(spark, con, name):
     assert difference(spark, con, name, SF_DIR) == ""
 
