@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,29 +67,77 @@ class Remembered(dict):
         return value
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """A-Z lower-cased, parted at ASCII blanks (which is what bytes.lower and bytes.split do)."""
-    return text.lower().split() if text else []
+def bytes_table(seed: int, n: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(seed)).integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def blended(x: np.ndarray) -> np.ndarray:
+    """Spread what differs between 64-bit numbers over all their bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 class Shingles:
-    """64-bit hashes of the shingles of ``width`` words; fewer words make one shingle, none make none."""
+    """64-bit hashes of the shingles of ``width`` words; fewer words make one shingle, none make none.
+
+    A-Z are lower-cased and words parted at ASCII blanks. Words are hashed all
+    at once: byte values weighed by powers of an odd number are summed up along
+    the text, and a word's hash is a difference of two sums. Texts are taken in
+    slices of some MB that end at blanks, so memory follows the slice.
+    """
+
+    SLICE = 1 << 20
+    BASE = 0x9E3779B97F4A7C17
+    FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+    INSIDE = bytes(chr(b) not in BLANKS for b in range(256))
+    GAPS = re.compile(rb"[\x20\x09-\x0D]")
 
     def __init__(self, width: int = 5):
         self.width = width
-        self.words = Remembered(xxhash.xxh3_64_intdigest)
+        self.values = bytes_table(7, 256)
+        self.grow(1 << 12)
+
+    def grow(self, n: int) -> None:
+        """Powers of the base and of its inverse modulo 2^64."""
+        inverse = pow(self.BASE, -1, 1 << 64)
+        self.powers, self.inverses = (
+            np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (self.BASE, inverse)
+        )
+
+    def word_hashes(self, text: bytes) -> np.ndarray:
+        data = np.frombuffer(text.translate(self.FOLD), np.uint8)
+        n = len(data)
+        if n >= len(self.powers):
+            self.grow(2 * n)
+        inside = np.frombuffer(b"\0" + text.translate(self.INSIDE) + b"\0", np.int8)
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.values.take(data) * self.powers[:n], out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * self.inverses[starts]
+        return blended(hashes + (ends - starts).astype(np.uint64))
+
+    def slices(self, text: bytes) -> Iterator[bytes]:
+        at = 0
+        while len(text) - at > self.SLICE:
+            gap = self.GAPS.search(text, at + self.SLICE)
+            end = gap.start() if gap else len(text)
+            yield text[at:end]
+            at = end
+        yield text[at:]
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        words = words_of(text)
-        hashes = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
-        width = min(self.width, len(words))
-        count = len(words) - width + 1 if words else 0
+        if not text:
+            return np.zeros(0, np.uint64)
+        hashes = np.concatenate([self.word_hashes(part) for part in self.slices(text)])
+        width = min(self.width, len(hashes))
+        count = len(hashes) - width + 1 if width else 0
         mixed = np.full(count, width, np.uint64)
         for i in range(width):
-            mixed = (mixed ^ hashes[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ hashes[i : i + count]) * np.uint64(self.BASE)
             mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        return mixed ^ (mixed >> np.uint64(32))
+        return blended(mixed)
 
 
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:

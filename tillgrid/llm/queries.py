@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.llm import bpe, language, licenses, line_dedup, minhash, mixing, token_orc, topk, warc
+from tillgrid.llm import bpe, jaccard, language, licenses, line_dedup, minhash, mixing, token_orc, topk, warc
 from tillgrid.llm.common import table
 from tillgrid.session import scratch_dir
 
@@ -28,6 +28,10 @@ def op2_topk_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where(F.col("vec_id") % topk.EVERY == 0))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.compared(table(spark, sf_dir, "documents"))
 
@@ -67,8 +71,8 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_source_mix, op2_topk_threshold, op4_fingerprints, op5_bpe, op6_line_dedup, op7_license_scan, op8_language_id, op9_warc,
-        op10_token_orc,
+        op1_source_mix, op2_topk_threshold, op3_jaccard_join, op4_fingerprints, op5_bpe, op6_line_dedup, op7_license_scan,
+        op8_language_id, op9_warc, op10_token_orc,
     )
 }
 
@@ -87,6 +91,27 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM pairs QUALIFY rank <= 5""",
+    "op3_jaccard_join": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+        ),
+        shingles AS (
+            SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END) AS s FROM words
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ),
+        links AS (
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+        ),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)""",
     "op6_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
