@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillgrid.llm.bpe import SPACE, packed_ids
-from tillgrid.llm.common import Batches, Remembered, batch_of, in_batches
+from tillgrid.llm.common import LONGEST, Batches, Remembered, batch_of, in_batches
 
+JOINED = 2_000  # runs encoded in one call
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 COLUMNS = "doc_id long, segment int, local_start long, n_tokens long, ids array<int>"
@@ -35,7 +36,9 @@ class Encoder:
     """The tokenizers library, asked once for each run of signs without white space that is remembered.
 
     Its vocabulary drops white space between words, so a text's ids are those
-    of its runs; texts with the mark of a special token are encoded as they are.
+    of its runs. The runs of some texts that are not known yet are joined by
+    blanks and encoded in one call, and the ids parted by their places in it.
+    Texts with the mark of a special token are encoded as they are.
     """
 
     def __init__(self, content: str):
@@ -45,17 +48,30 @@ class Encoder:
         self.own.no_truncation()
         self.own.no_padding()
         self.runs = re.compile(f"[^{SPACE}]+")
-        self.known = Remembered(self.ids)
+        self.fresh: dict[str, bytes] = {}
+        self.known = Remembered(lambda run: self.fresh.get(run) or self.ids(run))
 
     def ids(self, text: str) -> bytes:
         return packed_ids(self.own.encode(text, add_special_tokens=False).ids)
 
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text:
-            return self.ids(text)
-        return b"".join(map(self.known.__getitem__, self.runs.findall(text)))
+    def ask(self, runs: list[str]) -> None:
+        found = self.own.encode(" ".join(runs), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
+        owner = np.searchsorted(starts, np.array(found.offsets, np.int64)[:, 0], side="right") - 1
+        cuts = np.searchsorted(owner, np.arange(len(runs) + 1)) if (np.diff(owner) >= 0).all() else np.zeros(len(runs) + 1, int)
+        packed = packed_ids(found.ids)
+        for run, a, b in zip(runs, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist()):
+            self.fresh[run] = packed[a:b]  # nothing, if the places do not tell: the run is encoded alone
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        runs = [None if t and "<|" in t else self.runs.findall(t or "") for t in texts]
+        new = {r for own in runs if own for r in own if r not in self.known and r not in self.known.older and len(r) <= LONGEST}
+        ordered = sorted(new)
+        for at in range(0, len(ordered), JOINED):
+            self.ask(ordered[at : at + JOINED])
+        out = [self.ids(t) if own is None else b"".join(map(self.known.__getitem__, own)) for t, own in zip(texts, runs)]
+        self.fresh.clear()
+        return out
 
 
 _encoders: dict[int, Encoder] = {}
@@ -83,7 +99,7 @@ def write_ids(docs: DataFrame, content: str, path: str, end_id: int = 1, files:
         own, segment, start = encoder(shared.value), TaskContext.get().partitionId(), 0
         end = packed_ids([end_id])
         for batch in batches:
-            ids = [own(t) + end for t in batch.column(1).to_pylist()]
+            ids = [i + end for i in own(batch.column(1).to_pylist())]
             sizes = np.array([len(i) // 4 for i in ids], np.int64)
             ends = np.cumsum(sizes) + start
             flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
