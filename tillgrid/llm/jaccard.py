@@ -13,7 +13,8 @@ Documents are sets of hashed shingles of five words; two are linked when
    first in one order of all tokens (those known as common come last). Its
    cells are dealt out by token, packed in blocks. Where documents of different
    components meet in a token, the one of the rarer component becomes a query
-   to the other's group.
+   to the other's group. The tokens in which a query meets a group are added
+   up; only if there are as many as a link leaves at least do they go on.
 4. A group meets its queries in one task (in parts, if there are many). The
    overlap of a query with the union of the group's tokens bounds the overlap
    with each member; only a group whose bound reaches 0.8 of the query is
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tillgrid.llm.common import Batches, Shingles, batch_of, blended, in_batches, stored
 from tillgrid.llm.components import components
-from tillgrid.operators.joins import lookup_join
+from tillgrid.operators.joins import fits_broadcast, lookup_join
 
 WIDTH, PERCENT = 5, 80
 GROUP, QUERIES = 64, 256
@@ -48,7 +49,7 @@ SEEDS = (11, 23, 37, 53)  # of the MinHash values
 # Common tokens: at least so often in all, so many at most (their size when broadcast), so many kept in a task.
 COMMON_FROM, COMMON_TOKENS, COMMON_IN_TASK = 12, 1 << 16, 1 << 17
 CELLS_IN_BLOCK = 500_000
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS, BROADCAST_CELLS = 1_000_000, 300_000
 
 
 def least_overlap(n):
@@ -235,80 +236,127 @@ def opened(cell: pa.Table) -> pa.Table:
 
 def links_in(cells: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b: links found in cells (cell, part, doc, comp, query)."""
-    rows = cells.join(sets, "doc").select("cell", "part", "doc", "comp", "query", "tokens")
+    side = F.broadcast(cells) if fits_broadcast(cells, BROADCAST_CELLS) else cells
+    rows = sets.join(side, "doc").select("cell", "part", "doc", "comp", "query", "tokens")
     return rows.groupBy("cell", "part").applyInArrow(opened, "a long, b long")
 
 
 def labelled(docs: DataFrame, comps: DataFrame) -> DataFrame:
-    return docs.join(comps.select("doc", F.col("component").alias("_comp")), "doc", "left").withColumn("comp", F.coalesce("_comp", "doc")).drop("_comp")
+    """Add comp (a document alone is its own) and size, the number of documents in it."""
+    sizes = comps.groupBy("component").agg(F.count("*").alias("_size"))
+    labels = comps.join(sizes, "component").select("doc", F.col("component").alias("_comp"), "_size")
+    found = docs.join(labels, "doc", "left")
+    return found.withColumns({"comp": F.coalesce("_comp", "doc"), "size": F.coalesce("_size", F.lit(1))}).drop("_comp", "_size")
+
+
+COLUMNS = ("doc", "gid", "comp", "size", "n")
 
 
 def matrix_blocks(rows: DataFrame, blocks: int) -> DataFrame:
-    """block, cells (packed columns token, doc, gid, comp, n): the matrix dealt out by token; rows: doc, gid, comp, n, prefix."""
+    """block, cells (packed columns token and ``COLUMNS``): the matrix dealt out by token; rows: COLUMNS and prefix."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            prefix = [np.frombuffer(p, np.uint64) for p in batch.column(4).to_pylist()]
+            prefix = [np.frombuffer(p, np.uint64) for p in batch.column(len(COLUMNS)).to_pylist()]
             each = [len(p) for p in prefix]
             tokens = np.concatenate(prefix)
             block = (blended(tokens) % np.uint64(blocks)).astype(np.int64)
             by = np.argsort(block, kind="stable")
-            columns = [signed(tokens)[by]] + [np.repeat(batch.column(c).to_numpy(), each)[by] for c in range(4)]
-            cuts = np.flatnonzero(np.concatenate([[True], np.diff(block[by]) != 0, [True]])) if len(by) else np.zeros(1, np.int64)
+            columns = [signed(tokens)[by]] + [np.repeat(batch.column(c).to_numpy(), each)[by] for c in range(len(COLUMNS))]
+            cuts = np.flatnonzero(np.concatenate([[True], np.diff(block[by]) != 0, [True]]))
             out = [np.concatenate([c[a:b] for c in columns]).astype(np.int64).tobytes() for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(block[by][cuts[:-1]], pa.int64()), pa.array(out, pa.binary())], names=["block", "cells"])
 
-    return in_batches(rows.select("doc", "gid", "comp", "n", "prefix"), run, "block long, cells binary")
+    return in_batches(rows.select(*COLUMNS, "prefix"), run, "block long, cells binary")
+
+
+MEETING = ("doc", "gid", "n", "shared", "least", "most")
 
 
 def meetings(block: pa.Table) -> pa.Table:
-    """doc, gid: queries that meet a group of another component in a token of the block."""
-    parts = [np.frombuffer(c, np.int64).reshape(5, -1) for c in block.column("cells").to_pylist()]
-    token, doc, gid, comp, n = np.concatenate(parts, axis=1)
-    by = np.lexsort((doc, token))
-    token, doc, gid, comp, n = token[by], doc[by], gid[by], comp[by], n[by]
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(token) != 0, [True]]))
-    found = [np.zeros((2, 0), np.int64)]
-    for a, b in runs_of_several(cuts, comp):
-        found.append(pairs_of_run(doc[a:b], gid[a:b], comp[a:b], n[a:b]))
-        if len(found) > 5000:
-            found = [np.unique(np.concatenate(found, axis=1), axis=1)]
-    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-    return pa.Table.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["doc", "gid"])
-
-
-def runs_of_several(cuts: np.ndarray, comp: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Bounds of the runs of one token in which more than one component stands."""
-    if len(cuts) < 2:
-        return
-    starts = cuts[:-1]
-    several = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
-    yield from zip(starts[several].tolist(), cuts[1:][several].tolist())
-
-
-def pairs_of_run(doc: np.ndarray, gid: np.ndarray, comp: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """(query, group) for all rows of different components and like sizes; the rarer component asks.
-
-    For each asking component only the rows of components after it count, so a
-    large one is met by the few others and never by itself.
+    """Queries that meet a group of another component in tokens of the block.
+
+    doc, gid, n (of the query), shared (tokens they meet in), least and most
+    (sizes of the members met).
+    """
+    parts = [np.frombuffer(c, np.int64).reshape(1 + len(COLUMNS), -1) for c in block.column("cells").to_pylist()]
+    token, *rows = np.concatenate(parts, axis=1)
+    by = np.lexsort((rows[2], rows[3], token))  # in a token by size of the component, then component
+    token, rows = token[by], np.stack([r[by] for r in rows])
+    found = [added_up(pairs) for pairs in run_pairs(token, rows)]
+    total = summed(np.concatenate(found, axis=1)) if found else np.zeros((6, 0), np.int64)
+    return pa.Table.from_arrays([pa.array(c) for c in total], names=list(MEETING))
+
+
+def run_pairs(token: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Columns (run, doc, gid, n, m): in a token each document meets the documents of like size of components after its own.
+
+    The rarer component asks, so a large one is met by the few others and never
+    by itself. Runs of equal length are taken together.
+    """
+    cuts = np.flatnonzero(np.concatenate([[True], np.diff(token) != 0, [True]])) if len(token) else np.zeros(1, np.int64)
+    starts, lengths = cuts[:-1], np.diff(cuts)
+    several = rows[2][starts] != rows[2][cuts[1:] - 1]
+    starts, lengths = starts[several], lengths[several]
+    for length in np.unique(lengths):
+        firsts = starts[lengths == length]
+        together = max(1, 500_000 // int(length * length))
+        for at in range(0, len(firsts), together):
+            own = firsts[at : at + together]
+            for shift in range(1, length):
+                # every row with the one that stands ``shift`` after it in its run
+                one = (own[:, None] + np.arange(length - shift)).ravel()
+                pairs = paired(np.repeat(own, length - shift), one, one + shift, rows)
+                if pairs.shape[1]:
+                    yield pairs
+
+
+def paired(run: np.ndarray, one: np.ndarray, other: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    doc, gid, comp, _, n = rows
+    like = (comp[one] != comp[other]) & (100 * np.minimum(n[one], n[other]) >= PERCENT * np.maximum(n[one], n[other]))
+    return np.stack([run[like], doc[one[like]], gid[other[like]], n[one[like]], n[other[like]]])
+
+
+def added_up(pairs: np.ndarray) -> np.ndarray:
+    return np.stack([*pairs[:4], pairs[4], pairs[4]])
+
+
+def summed(found: np.ndarray) -> np.ndarray:
+    """From (run, doc, gid, n, least, most) the columns of ``MEETING``: a run counts once for a query and a group."""
+    run, doc, gid, n, least, most = found[:, np.lexsort((found[0], found[2], found[1]))]
+    if not len(run):
+        return np.zeros((6, 0), np.int64)
+    new_pair = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(gid) != 0)])
+    new_run = new_pair | np.concatenate([[True], np.diff(run) != 0])
+    starts = np.flatnonzero(new_pair)
+    return np.stack([
+        doc[starts], gid[starts], n[starts], np.add.reduceat(new_run.astype(np.int64), starts),
+        np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts),
+    ])
+
+
+def least_meetings(n, m):
+    """Tokens that the prefixes of linked sets of n and m share at least.
+
+    Linked sets share at least 80 / 180 of n + m. Of the two prefixes take the
+    one whose last token comes first: what its set shares beyond that prefix is
+    no more than the rest of the set.
+    """
+    shared = F.ceil((n + m) * PERCENT / (100 + PERCENT))
+    rest = F.greatest(F.ceil(n * PERCENT / 100), F.ceil(m * PERCENT / 100)) - 1
+    return F.greatest(F.lit(1), shared - rest)
+
+
+def qualified(met: DataFrame) -> DataFrame:
+    """doc, gid of the queries whose meetings in all blocks leave a link possible.
+
+    For given n the bound is lowest at the smallest or the largest member, as
+    it falls from m = n to both sides.
     """
-    names, at, sizes = np.unique(comp, return_inverse=True, return_counts=True)
-    rank = np.empty(len(names), np.int64)
-    rank[np.lexsort((names, sizes))] = np.arange(len(names))
-    by = np.argsort(rank[at], kind="stable")
-    doc, gid, rank, n = doc[by], gid[by], rank[at][by], n[by]
-    after = np.searchsorted(rank, rank, side="right")
-    out = []
-    for i in range(len(doc)):
-        if after[i] == len(doc):
-            break
-        others = slice(after[i], None)
-        like = 100 * np.minimum(n[others], n[i]) >= PERCENT * np.maximum(n[others], n[i])
-        met = np.unique(gid[others][like])
-        out.append(np.stack([np.full(len(met), doc[i]), met]))
-    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    sums = met.groupBy("doc", "gid").agg(F.first("n").alias("n"), F.sum("shared").alias("shared"), F.min("least").alias("least"), F.max("most").alias("most"))
+    return sums.where(F.col("shared") >= F.least(least_meetings(F.col("n"), F.col("least")), least_meetings(F.col("n"), F.col("most")))).select("doc", "gid")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -345,7 +393,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     cells_in_all = unique.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 8
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = matrix_blocks(grouped, max(count, -(-cells_in_all // CELLS_IN_BLOCK)))
-    asked = stored(blocks.groupBy("block").applyInArrow(meetings, "doc long, gid long").distinct(), "jaccard-queries")
+    met_in = blocks.groupBy("block").applyInArrow(meetings, ", ".join(f"{c} long" for c in MEETING))
+    asked = stored(qualified(met_in), "jaccard-queries")
 
     members = own_groups.union(unique.join(own_groups, "doc", "left_anti").select(F.col("doc").alias("gid"), "doc"))
     parts = asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
