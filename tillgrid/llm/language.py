@@ -29,13 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import Batches, Remembered, in_batches, stored
+from tillgrid.llm.common import REMEMBERED, Batches, batch_of, in_batches, stored
 
 MODEL_GRAMS = 50_000
 SWITCH = 12.0
 SMOOTH = 0.5
+COUNTED = 400_000  # distinct runs that a task counts before it passes on their trigrams
 USED = 0.01  # a language is written in a script that has at least this share of its letters
-TABLE_BYTES = 64 << 20  # of word scores that a worker remembers
 FLOOR = -30.0  # the score of a word for a language that is not written in its script
 
 # First code points of script ranges; "" is everything without a script of its own.
@@ -61,9 +61,13 @@ def script_of(word: str) -> str:
     return next((name for c in word if (name := NAMES[bisect_right(STARTS, ord(c)) - 1])), "")
 
 
-def grams_of(run: str) -> list[str]:
-    """Words of letters in a run without blanks, cut into trigrams with their edges."""
-    return [edged[i : i + 3] for word in LETTERS.findall(run.lower()) for edged in [f"^{word}$"] for i in range(len(edged) - 2)]
+def words_of(run: str) -> list[str]:
+    """Words of letters in a run without blanks."""
+    lowered = run.lower()
+    return [lowered] if lowered.isalpha() else LETTERS.findall(lowered)
+
+
+COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("item", pa.string()), ("n", pa.int64())])
 
 
 def learned_counts(docs: DataFrame) -> DataFrame:
@@ -71,26 +75,28 @@ def learned_counts(docs: DataFrame) -> DataFrame:
     rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Batches) -> Batches:
-        totals: Counter = Counter()
+        words: dict[str, Counter] = {}
 
         def out() -> pa.RecordBatch:
-            keys = list(zip(*totals)) or [[], [], []]
-            batch = pa.RecordBatch.from_arrays([*(pa.array(k, pa.string()) for k in keys), pa.array(totals.values(), pa.int64())], names=["lang", "kind", "item", "n"])
-            totals.clear()
-            return batch
+            totals: dict[tuple[str, str], Counter] = {}
+            for lang, found in words.items():
+                grams, scripts = totals.setdefault((lang, "gram"), Counter()), totals.setdefault((lang, "script"), Counter())
+                for run, n in found.items():
+                    parts = words_of(run)
+                    for word in parts:
+                        edged = f"^{word}$"
+                        for i in range(len(word)):
+                            grams[edged[i : i + 3]] += n
+                    if parts:
+                        scripts[script_of(parts[0])] += n * sum(map(len, parts))
+            words.clear()
+            rows = [(lang, kind, item, n) for (lang, kind), found in totals.items() for item, n in found.items()]
+            return batch_of(COUNTS, list(map(list, zip(*rows))) if rows else [[]] * 4)
 
         for batch in batches:
-            words: dict[str, Counter] = {}
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words.setdefault(lang, Counter()).update(text.split())
-            for lang, found in words.items():
-                for word, n in found.items():
-                    grams = grams_of(word)
-                    for gram in grams:
-                        totals[lang, "gram", gram] += n
-                    if grams:
-                        totals[lang, "script", script_of(word)] += n * len(grams)
-            if len(totals) > 500_000:
+            if sum(map(len, words.values())) > COUNTED:
                 yield out()
         yield out()
 
@@ -127,84 +133,99 @@ def learn(docs: DataFrame, model_grams: int = MODEL_GRAMS) -> Model:
 
 
 class Labeller:
+    """Scores of runs without blanks, remembered for ``REMEMBERED`` of them, and the best path through a text."""
+
     def __init__(self, model: Model, switch: float = SWITCH):
         self.model, self.switch = model, switch
-        self.rows = np.zeros((1024, len(model.langs)), np.float32)
-        self.facts = np.zeros((1024, 3), np.int64)  # letters, trigrams, trigrams that are known
-        self.used = 0
-        self.known = Remembered(self.place)
-
-    def place(self, run: str) -> int:
-        """The row of the tables for a run without blanks."""
-        if self.used == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
-        grams = grams_of(run)
-        find, unknown = self.model.grams.get, self.model.unknown
-        found = [find(g) for g in grams]
-        hits = [f for f in found if f is not None]
-        row = self.rows[self.used]
-        row[:] = (len(grams) - len(hits)) * unknown
-        if hits:
-            row += np.sum(hits, axis=0)
-        written = self.model.scripts.get(script_of(run)) if grams else None
-        if written is not None:
-            row[~written] += FLOOR
-        self.facts[self.used] = sum(map(len, LETTERS.findall(run))), len(grams), len(hits)
-        self.used += 1
-        return self.used - 1
+        self.gram_row = {gram: i for i, gram in enumerate(model.grams)}
+        self.matrix = np.stack([*model.grams.values(), model.unknown]) if model.grams else model.unknown[None, :]
+        self.forget()
 
     def forget(self) -> None:
-        self.known.clear()
-        self.known.older = {}
-        self.used = 0
-        self.rows, self.facts = self.rows[:1024].copy(), self.facts[:1024].copy()
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((0, len(self.model.langs)), np.float32)
+        self.facts = np.zeros((0, 3), np.int64)  # letters, trigrams, trigrams that are known
+
+    def meet(self, texts: list[str | None]) -> list[list[str]]:
+        """The runs of some texts; those not known yet are scored together."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        runs = [t.split() if t else [] for t in texts]
+        new = list({r for own in runs for r in own if r not in self.known})
+        find, unknown = self.gram_row.get, len(self.gram_row)
+        flat: list[int] = []
+        ends, letters, scripts = [], [], []
+        for run in new:
+            words = words_of(run)
+            for word in words:
+                edged = f"^{word}$"
+                flat += [find(edged[i : i + 3], unknown) for i in range(len(word))]
+            ends.append(len(flat))
+            letters.append(sum(map(len, words)))
+            scripts.append("latin" if words and words[0][0] < "\u02b0" else script_of("".join(words)))
+        if new:
+            at = np.array(flat, np.int64)
+            sums = np.vstack([np.zeros(self.matrix.shape[1]), np.cumsum(self.matrix[at].astype(np.float64), axis=0)])
+            hits = np.concatenate([[0], np.cumsum(at != unknown)])
+            upto = np.array(ends)
+            since = np.concatenate([[0], upto[:-1]])
+            rows = (sums[upto] - sums[since]).astype(np.float32)
+            for script in set(scripts):
+                written = self.model.scripts.get(script)
+                if written is not None and not written.all():
+                    chosen = (np.array(scripts) == script) & (upto > since)
+                    rows[np.ix_(chosen, ~written)] += FLOOR
+            self.known.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+            self.rows = np.concatenate([self.rows, rows])
+            self.facts = np.concatenate([self.facts, np.stack([letters, upto - since, hits[upto] - hits[since]], axis=1)])
+        return runs
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The best sequence of languages.
 
-        Staying in the best language overall is optimal where no stretch of
-        words gains more than half a switch by another language: of a path
-        with switches, at most twice as many stretches as switches differ.
+        Let one language be best overall. A path that leaves it gains, by each
+        stretch in another language, at most the largest gain of any stretch,
+        and pays a switch for each (one more for stretches inside); a path
+        without it gains its first and last stretch and pays one switch less.
+        Where no stretch gains more than a switch, and none at the start and
+        none at the end together more than one, staying is best.
         """
         best = int(scores.sum(axis=0, dtype=np.float64).argmax())
         gain = np.cumsum(scores.astype(np.float64) - scores[:, [best]], axis=0)
-        lowest = np.minimum(np.minimum.accumulate(np.vstack([np.zeros(gain.shape[1]), gain[:-1]]), axis=0), 0)
-        if (gain - lowest).max() <= self.switch / 2:
+        lowest = np.minimum(np.minimum.accumulate(gain, axis=0), 0)
+        inside = max(gain.max(), (gain[1:] - lowest[:-1]).max(initial=0.0))
+        last = (gain[-1] - lowest[:-1].min(axis=0, initial=0.0)).max() if len(gain) > 1 else 0.0
+        if inside <= self.switch and max(0.0, gain.max()) + max(0.0, last) <= self.switch:
             return np.full(len(scores), best)
-        value, back = scores[0].astype(np.float64), np.zeros(scores.shape, np.int32)
-        stay = np.arange(scores.shape[1])
-        for t in range(1, len(scores)):
-            top = int(value.argmax())
-            switched = value[top] - self.switch
-            back[t] = np.where(value >= switched, stay, top)
-            value = np.maximum(value, switched) + scores[t]
-        out = np.empty(len(scores), np.int64)
-        out[-1] = int(value.argmax())
-        for t in range(len(scores) - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
-        return out
+        langs = range(scores.shape[1])
+        value, back = scores[0].tolist(), []
+        for row in scores[1:].tolist():
+            most = max(value)
+            top, switched = value.index(most), most - self.switch
+            back.append([k if value[k] >= switched else top for k in langs])
+            value = [max(value[k], switched) + row[k] for k in langs]
+        out = [value.index(max(value))]
+        for step in reversed(back):
+            out.append(step[out[-1]])
+        return np.array(out[::-1], np.int64)
+
+    def places(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        facts = self.facts[at]
+        lettered = facts[:, 1] > 0
+        return at[lettered], facts[lettered]
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(first word, word after the last, language) over the words between blanks that have letters."""
-        places, _ = self.places(text)
-        if not len(places):
+        places, _ = self.places(self.meet([text])[0])
+        if not len(places) or not self.model.langs:
             return []
         path = self.path(self.rows[places])
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
         return [(a, b, self.model.langs[path[a]]) for a, b in zip(cuts, cuts[1:])]
 
-    def places(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        runs = text.split() if text else []
-        at = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
-        facts = self.facts[at]
-        lettered = facts[:, 1] > 0
-        return at[lettered], facts[lettered]
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        if self.rows.nbytes + self.facts.nbytes > TABLE_BYTES:
-            self.forget()
-        places, facts = self.places(text)
+    def label(self, runs: list[str]) -> tuple[str, float]:
+        places, facts = self.places(runs)
         if not len(places) or not self.model.langs:
             return "und", 0.0
         path = self.path(self.rows[places])
@@ -212,8 +233,8 @@ class Labeller:
         best = int(letters.argmax())
         return self.model.langs[best], float(letters[best] / letters.sum() * facts[:, 2].sum() / facts[:, 1].sum())
 
-
-PREDICTED = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        return [self.label(runs) for runs in self.meet(texts)]
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
@@ -225,7 +246,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     def run(batches: Batches) -> Batches:
         own = Labeller(shared.value)
         for batch in batches:
-            found = [own(t) for t in batch.column(len(keep)).to_pylist()]
+            found = own(batch.column(len(keep)).to_pylist())
             langs, scores = (pa.array([f[i] for f in found], t) for i, t in ((0, pa.string()), (1, pa.float64())))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], langs, scores], names=[*keep, "lang_pred", "score"])
 
