@@ -130,14 +130,50 @@ def test_ragged_and_dirty_rows(spark, tmp_path, route):
     assert [r.cells[0] for r in plan.rejected_rows(rows).collect()] == ["Long"]
 
 
-def test_quoted_line_break(spark, tmp_path):
-    write_csv(tmp_path / "a_raw.csv", report(items=[["Two\nlines", "1", 1, 1, "4"], ITEMS[0]]))
-    got = sales_rows(plan.item_sales(by_route(spark, tmp_path, "whole")))
-    assert [(r[1], r[2], r[3]) for r in got] == [(1, "Two\nlines", 4), (10000003, "Original Beef Slider", 215)]
-    # Where a file is read in splits the two halves are reported instead.
-    assert [r[2] for r in sales_rows(plan.item_sales(by_route(spark, tmp_path, "split")))] == ["Original Beef Slider"]
-    halves = csv_grid.unreadable_lines(spark, str(tmp_path), limit=0).orderBy("row_idx").collect()
-    assert [r.line[:5] for r in halves] == ['"Two', 'lines'] and csv_grid.unreadable_lines(spark, str(tmp_path)).count() == 0
+@pytest.mark.parametrize("route", ["whole", "split"])
+def test_quoted_line_break(spark, tmp_path, route):
+    write_csv(tmp_path / "a_raw.csv", report(items=[["Two\nlines", "1", 1, 1, "4"], ["a\nghost,77,1,1,9\nb", "2", 1, 1, "5"], ITEMS[0]]))
+    got = sales_rows(plan.item_sales(by_route(spark, tmp_path, route)))
+    assert [(r[1], r[2], r[3]) for r in got] == [
+        (1, "Two\nlines", 4), (2, "a\nghost,77,1,1,9\nb", 5), (10000003, "Original Beef Slider", 215),
+    ]
+
+
+@pytest.mark.parametrize("split", ["7", "23", "64", "100000"])
+def test_splits_give_the_rows_of_whole_files(spark, tmp_path, split):
+    """Random files with quotes, inch marks, doubled quotes and all line breaks, cut anywhere."""
+    import random
+
+    source = random.Random(4)
+    parts = ['"', '"', '""', ",", ",", "\n", "\r\n", "\r", "a", 'Pizza 12"', " ", "é", '"two\nlines"', '"x ""y"" z"', "\n\n"]
+    for i in range(40):
+        text = "".join(source.choice(parts) for _ in range(source.randrange(0, 60)))
+        (tmp_path / f"f{i}_raw.csv").write_bytes((("\ufeff" if i % 5 == 0 else "") + text).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = lambda grid: sorted((r.file_name, r.row_idx, tuple(r.cells)) for r in grid.collect())
+        whole = rows(csv_grid.files_to_rows(csv_grid.whole_files(spark, str(tmp_path))))
+        assert rows(csv_grid.split_grid(spark, str(tmp_path), limit=0)) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_suffixes_in_any_case(spark, tmp_path):
+    write_csv(tmp_path / "a_raw.CSV", report())
+    write_csv(tmp_path / "b_raw.txt", report())
+    write_xlsx(tmp_path / "c_raw.XLSX", report())
+    assert plan.item_sales(plan.read_report_rows(spark, str(tmp_path))).count() == 9
+
+
+def test_bad_workbook_holds_up_no_other_file(spark, tmp_path):
+    write_csv(tmp_path / "a_raw.csv", report())
+    good = write_xlsx(tmp_path / "b_raw.xlsx", report())
+    (tmp_path / "c_raw.xlsx").write_bytes(b"no workbook")
+    (tmp_path / "d_raw.xlsx").write_bytes(good.read_bytes()[:-300])
+    assert plan.item_sales(plan.read_report_rows(spark, str(tmp_path))).count() == 6
+    bad = xlsx_grid.unreadable_workbooks(xlsx_grid.workbooks(spark, str(tmp_path))).collect()
+    assert sorted(r.file_name for r in bad) == ["c_raw.xlsx", "d_raw.xlsx"] and all("BadZipFile" in r.error for r in bad)
 
 
 @pytest.mark.parametrize("route", ["whole", "split"])

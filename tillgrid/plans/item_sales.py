@@ -73,10 +73,10 @@ def rows_of_grid(grid: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[st
     return rows.where(F.col("row_idx") > F.col("header_row"))
 
 
-def read_report_rows(spark: SparkSession, path: str, spec: ReportSpec = ITEM_SALES,
+def read_report_rows(spark: SparkSession, path: str | list[str], spec: ReportSpec = ITEM_SALES,
                      extras: list[str] | None = None) -> DataFrame:
     """Report rows of everything that landed below a folder: small and large CSV files, workbooks."""
-    text_files = landed_files(spark, path, "*.csv")
+    text_files = landed_files(spark, path, None).where(~F.lower("file_name").rlike(csv_grid.WORKBOOK))
     parts = [
         rows_of_files(csv_grid.whole_files(spark, path), spec, extras),
         rows_of_workbooks(xlsx_grid.workbooks(spark, path), spec, extras),
