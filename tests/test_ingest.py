@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 
 import pytest
-from fixtures import EXPECTED, ITEMS, report, write_csv, write_xlsx
+from fixtures import EXPECTED, HEADER, ITEMS, report, write_csv, write_xlsx
 from pyspark.sql import functions as F
 
 from tillgrid.operators.spec import ITEM_SALES
 from tillgrid.plans import item_sales as plan
-from tillgrid.sinks.tables import append_audit, write_kpi, write_report, write_upload_csv
+from tillgrid.operators import status
+from tillgrid.sinks.tables import append_audit, write_digest, write_kpi, write_report, write_status, write_upload_csv
+from tillgrid.sources import csv_grid
+from tillgrid.sources.landing import landed_files
 from tillgrid.sources.mapping import locations_from_config
 from tillgrid.streaming import incremental
 
@@ -28,14 +31,12 @@ def run(spark, dim, tmp_path):
     landing, table, unmatched = (tmp_path / n for n in ("landing", "table", "unmatched"))
     landing.mkdir()
 
-    def ingest(kind="csv", **options):
-        query = incremental.ingest(
-            spark, str(landing), dim, str(table), str(unmatched), str(tmp_path / f"checkpoint-{kind}"), kind, **options
-        )
+    def ingest(**options):
+        query = incremental.ingest(spark, str(landing), dim, str(table), str(unmatched), str(tmp_path / "checkpoint"), **options)
         query.awaitTermination()
         return spark.read.parquet(str(table))
 
-    ingest.landing, ingest.table, ingest.unmatched = landing, str(table), str(unmatched)
+    ingest.landing, ingest.table, ingest.unmatched, ingest.rejects = landing, str(table), str(unmatched), f"{unmatched}-rejects"
     return ingest
 
 
@@ -83,13 +84,79 @@ def test_two_files_of_one_day_in_one_batch(run):
     assert counted(run()) == [("2026-04-15", "Bay-N", 1)]
 
 
-def test_other_kinds(run, monkeypatch):
-    land(run, f"{RUN}_Bay_North_raw.xlsx", report(), 1000, write_xlsx)
-    land(run, f"{RUN}_Hill_raw.csv", report(items=ITEMS * 4), 1000)
-    assert counted(run("xlsx")) == [("2026-04-15", "Bay-N", 3)]
-    stream = incremental.landing_stream
-    monkeypatch.setattr(incremental, "landing_stream", lambda *a, **k: stream(*a, **{**k, "limit": 100}))
-    assert counted(run("csv_large")) == [("2026-04-15", "Bay-N", 3), ("2026-04-15", "Hill_1", 12)]
+def test_all_kinds_and_sizes_in_one_stream(spark, run, monkeypatch):
+    monkeypatch.setattr(csv_grid, "WHOLE_FILE_BYTES", 1500)
+    for fn in (csv_grid.whole_files, csv_grid.split_grid):
+        monkeypatch.setattr(fn, "__defaults__", (*fn.__defaults__[:-1], 1500))
+    land(run, f"{RUN}_Bay_North_raw.XLSX", report(), 1000, write_xlsx)
+    land(run, f"{RUN}_Hill_raw.CSV", report(items=ITEMS * 20), 1000)
+    land(run, f"{NEXT}_Hill_raw.csv", report("16/04/2026", items=[*ITEMS, ["Long", 5, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, "too", "many"]]), 1000)
+    (run.landing / f"{NEXT}_Bay_North_raw.xlsx").write_bytes(b"no workbook")
+    os.utime(run.landing / f"{NEXT}_Bay_North_raw.xlsx", (1000, 1000))
+    land(run, f"{RUN}_Moon_raw.csv", report(header=["Menu Item Name", "Other"]), 1000)
+    assert counted(run()) == [("2026-04-15", "Bay-N", 3), ("2026-04-15", "Hill_1", 60), ("2026-04-16", "Hill_1", 3)]
+    assert [r.cells[0] for r in spark.read.parquet(f"{run.rejects}/rows").collect()] == ["Long"]
+    bad = {r.file_name: r.error for r in spark.read.parquet(f"{run.rejects}/files").collect()}
+    assert sorted(bad) == [f"{RUN}_Moon_raw.csv", f"{NEXT}_Bay_North_raw.xlsx"]
+    assert bad[f"{RUN}_Moon_raw.csv"] == "missing column: Menu Item #"
+    land(run, f"{RUN}_Bay_North_raw.csv", report("17/04/2026"), 3000)  # the next batch goes on
+    assert ("2026-04-17", "Bay-N", 3) in counted(run())
+
+
+def test_undated_reports_do_not_replace_each_other(run):
+    land(run, f"{RUN}_Bay_North_raw.csv", report(""), 1000)
+    land(run, f"{NEXT}_Bay_North_raw.csv", report("", items=ITEMS[:1]), 2000)
+    assert sorted(n for _, _, n in counted(run())) == [1, 3]
+
+
+def test_extras_are_kept(spark, run):
+    land(run, f"{RUN}_Bay_North_raw.csv", report(header=[*HEADER, "Cashier"], items=[[*i, "Kim"] for i in ITEMS]), 1000)
+    assert {r.extras["Cashier"] for r in run().collect()} == {"Kim"}
+
+
+def test_a_tag_of_two_names_is_attributed_to_none(spark, run, tmp_path):
+    dim = locations_from_config(spark, [{"pos_name": "Bay / North", "l": "A"}, {"pos_name": "Bay North", "l": "B"}, {"pos_name": "Hill", "l": "C"}], "l")
+    write_csv(tmp_path / f"{RUN}_Bay_North_raw.csv", report())
+    rows = plan.item_sales(plan.read_report_rows(spark, str(tmp_path)), keep=("file_id", "file_name"))
+    assert {r.label for r in plan.with_location(rows, dim).collect()} == {None}
+
+
+def test_batch_run_keeps_the_newest_file(spark, dim, tmp_path):
+    for name, items, at in ((RUN, ITEMS, 1000), (NEXT, ITEMS[:2], 2000)):
+        os.utime(write_csv(tmp_path / f"{name}_Bay_North_raw.csv", report(items=items)), (at, at))
+    write_csv(tmp_path / f"{RUN}_Moon_raw.csv", report())
+    table, unmatched = plan.sales_of_run(spark, str(tmp_path), dim)
+    assert table.count() == 2 and unmatched.count() == 3
+
+
+def test_status_of_a_run(spark, tmp_path):
+    names = ["Bay / North", "Hill", "Moon", "Void", "Twin/A", "Twin A", "Bad", "Gone", "Quiet"]
+    dim = locations_from_config(spark, [{"pos_name": n, "l": f"L {n}"} for n in names], "l")
+    for name, rows in (("Bay_North", report()), ("Hill", report("16/04/2026", items=ITEMS[:1])), ("Moon", report(header=["Menu Item Name", "x"])), ("Twin_A", report())):
+        write_csv(tmp_path / f"{RUN}_{name}_raw.csv", rows)
+    (tmp_path / f"{RUN}_Void_raw.csv").write_bytes(b"")
+    (tmp_path / f"{RUN}_Bad_raw.xlsx").write_bytes(b"zip?")
+    path = str(tmp_path)
+    files = landed_files(spark, path, None)
+    items = plan.item_sales(plan.read_report_rows(spark, path), keep=("file_id", "business_date"))
+    quiet = spark.createDataFrame([("Quiet", "no data for this day")], "pos_name string, error string")
+    got = plan.sales_status(dim, files, plan.failed_files(spark, path), items, quiet).orderBy("ordinal").collect()
+    assert [(r.pos_name, r.ok, r.no_data, r.stage, r.row_count, r.business_date) for r in got] == [
+        ("Bay / North", True, False, 4, 3, "15/04/2026"), ("Hill", True, False, 4, 1, "16/04/2026"), ("Moon", False, False, 3, 0, ""),
+        ("Void", False, False, 2, 0, ""), ("Twin/A", False, False, 3, 0, ""), ("Twin A", False, False, 3, 0, ""), ("Bad", False, False, 3, 0, ""),
+        ("Gone", False, False, 2, 0, ""), ("Quiet", False, True, 2, 0, ""),
+    ]
+    errors = {r.pos_name: r.error for r in got}
+    assert errors["Moon"] == "missing column: Menu Item #" and errors["Void"] == errors["Gone"] == "no file with content landed"
+    assert errors["Bad"].startswith("unreadable workbook") and errors["Twin A"] == "ambiguous location name"
+    results = spark.createDataFrame(got)
+    counts = status.status_counts(results).first()
+    assert (counts.succeeded, counts.no_data, counts.failed, counts.total, counts.success) == (2, 1, 6, 9, True)
+    write_status(results, RUN, str(tmp_path / "status"))
+    assert spark.read.parquet(str(tmp_path / "status")).count() == 9
+    write_digest(status.digest_head(results, RUN), status.digest_lines(results), str(tmp_path / "digest"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "digest")).collect()]
+    assert lines[1] == f"Run ID: {RUN}" and len(lines) == 11 + 9 and lines[11].startswith("L Bad ")
 
 
 def sold(spark, dim, tmp_path):
@@ -117,6 +184,7 @@ def test_kpi_and_audit_sinks(spark, tmp_path):
     path = str(tmp_path / "kpi")
     write_kpi(rows, path)
     write_kpi(rows.where("Date = '2026-04-16'"), path)
+    write_kpi(rows.where("Code = 'C1'"), path)
     assert spark.read.parquet(path).count() == 3
     log = str(tmp_path / "audit")
     for _ in range(2):

@@ -32,7 +32,15 @@ def day_before(run_date: Column) -> Column:
     return F.date_sub(run_date, 1)
 
 
+UNDATED = "undated"
+
+
+def before_run(day: Column, start: Column, run_date: Column) -> Column:
+    """Whole days from ``start`` up to the one before the run; times of that last day count."""
+    return (day >= start) & (day < run_date)
+
+
 def business_day_key(text: Column, raw_format: str = "%d/%m/%Y") -> Column:
     """Partition value of a report: ISO date, else the raw text, else ``undated``."""
     iso = F.date_format(parse_date(text, raw_format), "yyyy-MM-dd")
-    return F.coalesce(iso, F.nullif(text, F.lit("")), F.lit("undated"))
+    return F.coalesce(iso, F.nullif(text, F.lit("")), F.lit(UNDATED))

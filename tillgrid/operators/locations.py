@@ -40,7 +40,8 @@ def unknown_codes(requested: DataFrame, dim: DataFrame) -> DataFrame:
 
 def result_labels(results: DataFrame, dim: DataFrame) -> DataFrame:
     """Label of each result; an unknown code is its own label."""
-    labelled = lookup_join(results, dim.select("code", "label"), "code")
+    last = dim.groupBy("code").agg(F.max_by("label", "ordinal").alias("label"))  # of repeated entries the last counts
+    labelled = lookup_join(results, last, "code")
     return labelled.withColumn("label", F.coalesce("label", "code"))
 
 

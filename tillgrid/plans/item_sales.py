@@ -7,17 +7,18 @@ the ``injected`` columns.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.functions.dates import business_day_key, parse_date
+from tillgrid.functions.dates import UNDATED, business_day_key, parse_date
 from tillgrid.functions.naming import location_tag_of
 from tillgrid.functions.numbers import is_number
 from tillgrid.functions.text import sanitize
 from tillgrid.operators.header import file_meta, present
-from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join
+from tillgrid.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from tillgrid.operators.spec import (
     ITEM_SALES,
     ReportSpec,
@@ -29,8 +30,9 @@ from tillgrid.operators.spec import (
     with_positions,
 )
 from tillgrid.session import settle
+from tillgrid.sinks.tables import REPORT_PARTITIONS
 from tillgrid.sources import csv_grid, xlsx_grid
-from tillgrid.sources.landing import landed_files
+from tillgrid.sources.landing import landed_files, latest_files
 
 FILE_COLUMNS = ["file_id", "file_name", "modified_at"]
 META_COLUMNS = ["header", "width", "header_row", "business_date", "pos", "injected"]
@@ -73,19 +75,63 @@ def rows_of_grid(grid: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[st
     return rows.where(F.col("row_idx") > F.col("header_row"))
 
 
-def read_report_rows(spark: SparkSession, path: str | list[str], spec: ReportSpec = ITEM_SALES,
+def _is_book(path: str) -> bool:
+    return re.search(csv_grid.WORKBOOK, path.lower()) is not None
+
+
+def read_report_rows(spark: SparkSession, path: str | list[tuple[str, int]], spec: ReportSpec = ITEM_SALES,
                      extras: list[str] | None = None) -> DataFrame:
-    """Report rows of everything that landed below a folder: small and large CSV files, workbooks."""
-    text_files = landed_files(spark, path, None).where(~F.lower("file_name").rlike(csv_grid.WORKBOOK))
-    parts = [
-        rows_of_files(csv_grid.whole_files(spark, path), spec, extras),
-        rows_of_workbooks(xlsx_grid.workbooks(spark, path), spec, extras),
-    ]
-    if not text_files.where(F.col("length") > csv_grid.WHOLE_FILE_BYTES).isEmpty():
-        parts.append(rows_of_grid(csv_grid.split_grid(spark, path), spec, extras))
+    """Report rows of everything that landed below a folder, or of given files ``(path, bytes)``.
+
+    Small and large text files and workbooks; a file that is no workbook by its
+    suffix is read as text. ``failed_files`` lists what cannot be used.
+    """
+    if isinstance(path, str):
+        texts: str | list[str] = path
+        books: str | list[str] = path
+        large = not landed_files(spark, path, None).where(
+            ~F.lower("file_name").rlike(csv_grid.WORKBOOK) & (F.col("length") > csv_grid.WHOLE_FILE_BYTES)
+        ).isEmpty()
+    else:
+        texts = [p for p, _ in path if not _is_book(p)]
+        books = [p for p, _ in path if _is_book(p)]
+        large = any(size > csv_grid.WHOLE_FILE_BYTES for p, size in path if not _is_book(p))
+    parts = []
+    if texts:
+        parts.append(rows_of_files(csv_grid.whole_files(spark, texts), spec, extras))
+    if books:
+        parts.append(rows_of_workbooks(xlsx_grid.workbooks(spark, books), spec, extras))
+    if texts and large:
+        parts.append(rows_of_grid(csv_grid.split_grid(spark, texts), spec, extras))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def meta_of_files(spark: SparkSession, path: str | list[tuple[str, int]]) -> DataFrame:
+    """``file_id, file_name, header, header_row, business_date, error``: one row per landed file that has content."""
+    texts = path if isinstance(path, str) else [p for p, _ in path if not _is_book(p)]
+    books = path if isinstance(path, str) else [p for p, _ in path if _is_book(p)]
+    columns = ["file_id", "file_name", "header", "header_row", "business_date"]
+    parts = []
+    if texts:
+        whole = csv_grid.files_with_meta(csv_grid.whole_files(spark, texts)).select(*columns)
+        grid = csv_grid.split_grid(spark, texts)
+        names = grid.where("row_idx = 0").select("file_id", "file_name")
+        parts += [whole, file_meta(grid).join(names, "file_id").select(*columns)]
+    if books:
+        chunks = xlsx_grid.decode_workbooks(xlsx_grid.workbooks(spark, books))
+        parts.append(xlsx_grid.chunks_with_meta(chunks.where("first_row = 0 or error is not null")).select(*columns, "error"))
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every if books else every.withColumn("error", F.lit(None).cast("string"))
+
+
+def failed_files(spark: SparkSession, path: str | list[tuple[str, int]], spec: ReportSpec = ITEM_SALES) -> DataFrame:
+    """``file_id, file_name, error`` of files that give no rows: unreadable, or without the key column."""
+    meta = meta_of_files(spark, path)
+    lacks = ~F.coalesce(F.array_contains(F.array_compact("header"), spec.key), F.lit(False))
+    reason = F.coalesce("error", F.when(lacks, F.lit(f"missing column: {spec.key}")))
+    return meta.select("file_id", "file_name", reason.alias("error")).where(F.col("error").isNotNull())
+
+
 def rejected_rows(rows: DataFrame) -> DataFrame:
     """Rows with more fields than the header of their file."""
     return rows.where(F.size("cells") > F.col("width")).select(*FILE_COLUMNS, "row_idx", "cells")
@@ -131,29 +177,99 @@ def item_sales_with_extras(grid: DataFrame, spec: ReportSpec = ITEM_SALES,
     return item_sales(rows_of_grid(grid, spec, names, meta), spec, names, keep)
 
 
+def location_tags(dim: DataFrame) -> DataFrame:
+    """``location_tag, pos_name, label, names``: what each tag stands for; both null where several names come out equal."""
+    tags = dim.groupBy(sanitize(F.col("pos_name")).alias("location_tag")).agg(
+        F.min_by(F.struct("pos_name", "label"), "ordinal").alias("_loc"), F.count_distinct("pos_name").alias("names")
+    )
+    one = F.col("names") == 1
+    return tags.select("location_tag", F.when(one, F.col("_loc.pos_name")).alias("pos_name"), F.when(one, F.col("_loc.label")).alias("label"), "names")
+
+
 def with_location(reports: DataFrame, dim: DataFrame, file_name: str = "file_name") -> DataFrame:
     """Attach ``pos_name`` and ``label`` by the location tag in the file name; null if unknown.
 
-    File names carry the sanitized name, so that is the key of the lookup; the
-    first mapping entry wins where two names come out equal.
+    File names carry the sanitized name, so that is the key of the lookup. A tag
+    that several names share says nothing and is attributed to none of them.
     """
-    by_tag = (
-        dim.withColumn("location_tag", sanitize(F.col("pos_name")))
-        .groupBy("location_tag")
-        .agg(F.min_by(F.struct("pos_name", "label"), "ordinal").alias("_loc"))
-        .select("location_tag", "_loc.pos_name", "_loc.label")
-    )
     tagged = reports.withColumn("location_tag", location_tag_of(F.col(file_name)))
-    return lookup_join(tagged, by_tag, "location_tag")
+    return lookup_join(tagged, location_tags(dim).drop("names"), "location_tag")
 
 
 def for_sink(sales: DataFrame, spec: ReportSpec = ITEM_SALES) -> DataFrame:
     """Add the partition columns of the report table and the date as a date.
 
-    Wants ``business_date`` and ``label`` among the kept columns.
+    Wants ``business_date`` and ``label`` among the kept columns. Reports without
+    a date do not replace each other: their day names their file.
     """
+    name = F.col("file_name" if "file_name" in sales.columns else "file_id")
+    day = business_day_key(F.col("business_date"), spec.raw_date_format)
+    own = F.concat(F.lit(f"{UNDATED}_"), sanitize(F.element_at(F.split(name, "/"), -1)))
     return (
         sales.withColumn("sales_date", parse_date(F.col("business_date"), spec.raw_date_format))
-        .withColumn("business_day", business_day_key(F.col("business_date"), spec.raw_date_format))
+        .withColumn("business_day", F.when(day == UNDATED, own).otherwise(day))
         .withColumn("location_key", sanitize(F.coalesce(F.col("label"), F.lit(""))))
     )
+
+
+def newest_only(sales: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    """Keep, for each business day and location, the rows of the newest file.
+
+    ``done`` are the rows already in the table; an incoming file that is older
+    than what is there is left out.
+    """
+    stamp = F.struct("modified_at", "file_name")
+    newest = sales.groupBy(*REPORT_PARTITIONS).agg(F.max(stamp).alias("_newest"))
+    if done is not None:
+        # Partition columns only meet the keys of this batch, so other partitions are not read.
+        keys = newest.select(*REPORT_PARTITIONS)
+        touched = done.join(F.broadcast(keys) if fits_broadcast(keys) else keys, REPORT_PARTITIONS, "left_semi")
+        there = touched.groupBy(*REPORT_PARTITIONS).agg(F.max(stamp).alias("_there"))
+        newest = lookup_join(newest, there, REPORT_PARTITIONS).where(
+            F.col("_there").isNull() | (F.col("_newest") >= F.col("_there"))
+        ).drop("_there")
+    kept = lookup_join(sales, newest, REPORT_PARTITIONS, "inner")
+    return kept.where(stamp == F.col("_newest")).drop("_newest")
+
+
+def sales_of_run(spark: SparkSession, path: str, dim: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str = "map") -> tuple[DataFrame, DataFrame]:
+    """The report table of everything below a folder, the newest file of a location and day; and what matches no location."""
+    keep = (*FILE_COLUMNS, "business_date", "row_idx")
+    sales = for_sink(with_location(item_sales(read_report_rows(spark, path, spec), spec, extras, keep), dim), spec)
+    return newest_only(sales.where(F.col("label").isNotNull())), sales.where(F.col("label").isNull())
+
+
+def sales_status(dim: DataFrame, files: DataFrame, failed: DataFrame, items: DataFrame, no_data: DataFrame | None = None) -> DataFrame:
+    """Outcome of every expected location: ``ordinal, pos_name, label, ok, no_data, stage, error, row_count, business_date, bytes``.
+
+    ``files`` are landed files (file_id, file_name, modified_at, length) of one
+    run, ``failed`` those that give no rows (file_id, error), ``items`` the item
+    rows (file_id, business_date), ``no_data`` the names (pos_name, error) for
+    which the portal had none. The newest file of a location counts. Stage 2 is
+    the download (an empty file is none), 3 the transformation, 4 what comes
+    after both.
+    """
+    tags = location_tags(dim).select("location_tag", "names")
+    newest = latest_files(files.withColumn("location_tag", location_tag_of(F.col("file_name"))).where(F.col("location_tag").isNotNull()), ["location_tag"])
+    counts = items.groupBy("file_id").agg(F.count("*").alias("rows"), F.max("business_date").alias("date"))
+    reasons = failed.groupBy("file_id").agg(F.min("error").alias("reason"))
+    found = lookup_join(lookup_join(newest, counts, "file_id"), reasons, "file_id")
+    expected = dim.withColumn("location_tag", sanitize(F.col("pos_name")))
+    if no_data is None:
+        told = expected.withColumn("_told", F.lit(None).cast("string"))
+    else:
+        told = lookup_join(expected, no_data.groupBy("pos_name").agg(F.min("error").alias("_told")), "pos_name")
+    joined = lookup_join(lookup_join(told, tags, "location_tag"), found, "location_tag")
+    landed = F.col("file_id").isNotNull()
+    ambiguous = F.col("names") > 1
+    error = (
+        F.when(F.col("_told").isNotNull() & ~landed, F.col("_told"))
+        .when(ambiguous, "ambiguous location name").when(~landed, "no file with content landed")
+        .when(F.col("reason").isNotNull(), F.col("reason")).otherwise("")
+    )
+    stage = F.when(~landed, 2).when(ambiguous | F.col("reason").isNotNull(), 3).otherwise(4)
+    return joined.select(
+        "ordinal", "pos_name", "label", ((error == "") & landed).alias("ok"), (F.col("_told").isNotNull() & ~landed).alias("no_data"),
+        stage.alias("stage"), error.alias("error"), F.when(error == "", F.coalesce("rows", F.lit(0))).otherwise(0).alias("row_count"),
+        F.when(error == "", F.coalesce("date", F.lit(""))).otherwise("").alias("business_date"), F.coalesce("length", F.lit(0)).alias("bytes"),
+    )

@@ -34,7 +34,8 @@ def kpi_status(requests: DataFrame, codes: DataFrame, workplaces: DataFrame, rep
     A code outside the mapping, a name the portal does not know and an empty or
     missing report all count as failed.
     """
-    known = resolved_codes(codes, workplaces).select("code", "workplace_id").withColumn("_known", F.lit(True))
+    last = codes.groupBy("code").agg(F.max_by(F.struct(*[c for c in codes.columns if c != "code"]), "ordinal").alias("_c")).select("code", "_c.*")
+    known = resolved_codes(last, workplaces).select("code", "workplace_id").withColumn("_known", F.lit(True))
     landed = (
         with_entry(kpi_extract(reports))
         .select("workplace_id", "report_date")

@@ -37,12 +37,14 @@ def local_session(cores: int | str = 8, app: str = "tillgrid", memory: str = "16
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the one that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (a bare local session) a temporary one is
-    set.
+    A local session, whose executors are the driver, may do without one and gets
+    a temporary folder; a cluster must name it.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not context.getCheckpointDir():
         context.setCheckpointDir(base)

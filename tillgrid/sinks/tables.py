@@ -1,4 +1,4 @@
-"""Partitioned report tables, upload files and the audit log."""
+"""Partitioned report tables, upload files, run status, digests and the audit log."""
 
 from __future__ import annotations
 
@@ -6,52 +6,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REPORT_PARTITIONS = ["business_day", "location_key"]
-# Rows are spread over this many tasks per partition at most, so that a large
-# location does not end up in one task; small ones still give one file each.
-ROWS_PER_FILE = 5_000_000
 
 
-def write_report(sales: DataFrame, path: str) -> None:
-    """One folder per business day and location; writing a report again replaces its folder only.
+def _partitioned(rows: DataFrame, keys: list[str]):
+    """Rows together by key; Spark splits large keys over tasks and joins small ones by their size."""
+    return rows.hint("rebalance", *keys)
+
+
+def _overwriting(rows: DataFrame, keys: list[str]):
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
 
-    Rows go to the writers by partition and a slab of their row index: files
-    stay few, and a hot location is cut by rows.
-    """
-    slab = F.expr(f"row_idx div {ROWS_PER_FILE}")
-    (
-        sales.repartition(*REPORT_PARTITIONS, "file_id", slab)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*REPORT_PARTITIONS)
-        .parquet(path)
-    )
+
+def write_report(sales: DataFrame, path: str) -> None:
+    """One folder per business day and location; writing a report again replaces its folder only."""
+    _overwriting(_partitioned(sales, REPORT_PARTITIONS), REPORT_PARTITIONS).parquet(path)
 
 
 def write_upload_csv(sales: DataFrame, columns: list[str], path: str) -> None:
     """Upload files with exactly the report columns and a header."""
-    slab = F.expr(f"row_idx div {ROWS_PER_FILE}")
-    (
-        sales.repartition(*REPORT_PARTITIONS, "file_id", slab)
-        .sortWithinPartitions(*REPORT_PARTITIONS, "file_id", "row_idx")
-        .select(*[f"`{c}`" for c in columns], *REPORT_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .partitionBy(*REPORT_PARTITIONS)
-        .csv(path)
-    )
+    rows = _partitioned(sales, REPORT_PARTITIONS).sortWithinPartitions(*REPORT_PARTITIONS, "file_id", "row_idx")
+    _overwriting(rows.select(*[f"`{c}`" for c in columns], *REPORT_PARTITIONS), REPORT_PARTITIONS).option("header", True).csv(path)
+
+
+KPI_PARTITIONS = ["report_day", "report_code"]
 
 
 def write_kpi(rows: DataFrame, path: str) -> None:
-    """KPI rows of all codes, one folder per day."""
-    by_day = rows.withColumn("report_day", F.col("Date"))
-    (
-        by_day.repartition("report_day", F.pmod(F.xxhash64("Code"), F.lit(8)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_day")
-        .parquet(path)
-    )
+    """KPI rows, one folder per day and code; a rerun of one code leaves the others of its day."""
+    keyed = rows.withColumns({"report_day": F.col("Date"), "report_code": F.col("Code")})
+    _overwriting(_partitioned(keyed, KPI_PARTITIONS), KPI_PARTITIONS).parquet(path)
+
+
+def write_status(results: DataFrame, run_id: str, path: str) -> None:
+    """Outcomes of a run, one folder per run; writing a run again replaces it."""
+    _overwriting(results.withColumn("run", F.lit(run_id)), ["run"]).parquet(path)
+
+
+def write_digest(head: DataFrame, lines: DataFrame, path: str) -> None:
+    """A digest as one text file: its head ``(position, line)``, then the location lines in order."""
+    numbered = lines.select(F.lit(1).alias("part"), *[c for c in lines.columns if c != "line"], "line")
+    order = [c for c in numbered.columns if c != "line"]
+    body = head.select(F.lit(0).alias("part"), *[F.lit(None).cast(numbered.schema[c].dataType).alias(c) for c in order[1:]], "position", "line")
+    every = body.unionByName(numbered, allowMissingColumns=True)
+    # A line per location: few rows, and one file is what a digest is.
+    every.orderBy("part", F.col("position").asc_nulls_last(), *order[1:]).select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
 def append_audit(records: DataFrame, path: str) -> None:

@@ -15,6 +15,26 @@ def read_json_texts(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     return scan.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("payload"))
 
 
+def read_pages(spark: SparkSession, path: str, pattern: str = r"(\d+)\.json$") -> DataFrame:
+    """``page, payload`` of landed pages; the number at the end of a file's name is its page."""
+    texts = read_json_texts(spark, path)
+    return texts.select(F.regexp_extract("file_name", pattern, 1).try_cast("bigint").alias("page"), "payload")
+
+
+def read_kpi_reports(spark: SparkSession, path: str, pattern: str = r"^(\d+)_(\d{4}-\d{2}-\d{2})") -> DataFrame:
+    """``workplace_id, report_date, payload`` of landed KPI responses named ``{workplace}_{day}….json``.
+
+    Of several responses for a workplace and day the one with the greatest name
+    counts.
+    """
+    texts = read_json_texts(spark, path)
+    named = texts.select(
+        F.regexp_extract("file_name", pattern, 1).try_cast("bigint").alias("workplace_id"),
+        F.try_to_date(F.regexp_extract("file_name", pattern, 2)).alias("report_date"), "file_name", "payload",
+    ).where("workplace_id is not null and report_date is not null")
+    return named.groupBy("workplace_id", "report_date").agg(F.max_by("payload", "file_name").alias("payload"))
+
+
 def workplace_rows(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``seq, name, id`` of all pages ``(page, payload)``; ``seq`` is the place in the whole list."""
     entries = pages.select("page", F.from_json("payload", PAGE_SCHEMA)["data"].alias("data"))
@@ -34,7 +54,7 @@ def page_sizes(pages: DataFrame) -> DataFrame:
 def pages_complete(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """One row: how many pages and entries there are, and whether the list is whole.
 
-    It is whole when only the last page is short and no page is missing.
+    It is whole when only the last page is short and no page is missing or there twice.
     """
     return page_sizes(pages).agg(
         F.count("*").alias("pages"),
@@ -42,6 +62,7 @@ def pages_complete(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         (
             (F.max_by("entries", "page") < page_size)
             & (F.max("page") + 1 == F.count("*"))
+            & (F.count_distinct("page") == F.count("*"))
             & (F.count_if(F.col("entries") < page_size) == 1)
         ).alias("complete"),
     )

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.functions.dates import day_before, reformat_date
+from tillgrid.functions.dates import before_run, reformat_date
 from tillgrid.functions.naming import kpi_message, kpi_output_name, output_name, report_subject, summary_subject
 from tillgrid.functions.numbers import to_int, to_money
 from tillgrid.functions.text import is_no_data, norm_a, norm_b, or_all, sanitize
@@ -145,7 +145,7 @@ def _kpi_rows(spark, sf) -> DataFrame:
 def sink_kpi(spark, sf):
     path = scratch_dir(spark, "kpi")
     write_kpi(_kpi_rows(spark, sf), path)
-    return spark.read.parquet(path).drop("report_day")
+    return spark.read.parquet(path).drop("report_day", "report_code")
 
 
 @query
@@ -172,7 +172,7 @@ def audit_rows(spark, sf):
 def ingest_incremental(spark, sf):
     landed, table = scratch_dir(spark, "landing"), scratch_dir(spark, "table")
     t.land_csv(t.landed(spark, sf, t.report_grid), landed)
-    key = t.landed_id(F.col("_metadata.file_path"))
+    key = t.landed_id(F.col("file_id"))
     name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(key)), F.lit("_raw.csv"))
     dim = locations.active_locations(t.report_dim(spark, sf))
     ingest(spark, landed, dim, table, scratch_dir(spark, "unmatched"), scratch_dir(spark, "ingest"),
@@ -278,7 +278,7 @@ def date_reformat(spark, sf):
 def date_range(spark, sf):
     """Orders of a range that ends on the day before the run date."""
     start, run_date = F.lit("1998-03-01").cast("date"), F.lit("1998-04-01").cast("date")
-    in_range = F.col("o_orderdate").between(start, day_before(run_date))
+    in_range = before_run(F.col("o_orderdate"), start, run_date)
     return t.table(spark, sf, "orders").where(in_range).select(
         "o_orderkey", F.to_date("o_orderdate").cast("string").alias("day")
     )
