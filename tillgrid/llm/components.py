@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tillgrid.llm.common import stored
 
 ROUNDS = 50
+# So few links are stepped through in one task: no shuffle is worth its tasks then. The steps are the same.
+FEW = 200_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,12 +20,14 @@ def components(links: DataFrame) -> DataFrame:
     by an aggregate that combines before its shuffle. Links are written after
     each round; rounds grow with the logarithm of the longest chain.
     """
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges, before = stored(edges, "links"), None
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+    few, before = edges.count() <= FEW, None
     for _ in range(ROUNDS):
+        edges = edges.coalesce(1) if few else edges
         both = edges.union(edges.select("v", "u"))
+        both = both.coalesce(1) if few else both
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")

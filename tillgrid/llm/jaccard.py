@@ -4,25 +4,27 @@ Documents are sets of hashed shingles of five words; two are linked when
 100 * |intersection| >= 80 * |union|. The steps:
 
 1. Documents with equal sets are one (class); the smallest doc_id stands for it.
-2. Similar documents form groups of at most ``GROUP``: the rows are sorted by
-   MinHash values and cut where the value changes. Links within groups join
-   most copies at once, so that a family of copies of any size is one
-   component before any of its pairs is looked at.
-3. The token-group matrix holds, for each group, the tokens of its members
-   that can prove a link: of a set of n, any n - ceil(0.8 n) + 1 tokens that come
-   first in one order of all tokens (those known as common come last). Its
-   cells are dealt out by token, packed in blocks. Where documents of different
-   components meet in a token, the one of the rarer component becomes a query
-   to the other's group. The tokens in which a query meets a group are added
-   up; only if there are as many as a link leaves at least do they go on.
+2. Similar documents meet in groups of at most ``GROUP``: the rows are sorted by
+   MinHash values and cut where the value changes. Links within them join
+   most copies at once (each document stands in a group for each of several
+   MinHash values), so that a family of copies of any size is one component
+   before its pairs are looked at.
+3. A document's group is the largest it met in. The token-group matrix holds,
+   for each group, the tokens of its members that can prove a link: of a set of
+   n, any n - ceil(0.8 n) + 1 tokens that come first in one order of all tokens
+   (those known as common come last). Its cells are dealt out by token, packed
+   in blocks. Where documents of different components and groups meet in a
+   token, the one of the rarer component becomes a query to the other's group.
+   The tokens in which a query meets a group are added up; only if there are as
+   many as a link leaves at least do they go on.
 4. A group meets its queries in one task (in parts, if there are many). The
    overlap of a query with the union of the group's tokens bounds the overlap
    with each member; only a group whose bound reaches 0.8 of the query is
    opened and compared with its members, by exact counts.
 5. Links, and equal sets, give connected components.
 
-A link is left out only between documents that are known to be connected, so
-components are exact. Which tokens count as common steers the order alone.
+A link is left out only between documents that are known to be connected or
+were compared in a group before, so components are exact. Which tokens count as common steers the order alone.
 
 Null or blank texts have no shingles and link with nothing. Rows that share a
 doc_id are one document: their components are one. Rows with a null doc_id have
@@ -103,11 +105,14 @@ SIGNATURE = pa.schema([
 
 
 def signatures(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """doc, n (set size), k1, k2 (hash of the set), mins (MinHash values), prefix (tokens that can prove a link)."""
+    """doc, n (set size), k1, k2 (hash of the set), mins (MinHash values), prefix (tokens that can prove a link).
+
+    A task gives the last two once for a document's equal rows.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Batches) -> Batches:
-        shingles, known = Shingles(WIDTH), shared.value
+        shingles, known, seen = Shingles(WIDTH), shared.value, set()
         places = np.argsort(known)
         ordered = known[places]
         for batch in batches:
@@ -119,6 +124,11 @@ def signatures(texts: DataFrame, common: np.ndarray) -> DataFrame:
                     rows.append((doc, 0, None, None, None, None))
                     continue
                 digest = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64)
+                mark = doc, int(digest[0])
+                if mark in seen:
+                    rows.append((doc, n, int(digest[0]), int(digest[1]), None, None))
+                    continue
+                seen.add(mark)
                 mins = [int(signed(blended(tokens ^ np.uint64(seed)).min(keepdims=True))[0]) for seed in SEEDS]
                 if len(ordered):
                     at = np.minimum(np.searchsorted(ordered, tokens), len(ordered) - 1)
@@ -152,7 +162,7 @@ def sets_of(texts: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """gid, doc of groups with more than one document; rows: doc, seed (a number), least (its MinHash value).
+    """seed, gid, doc of groups with more than one document; rows: doc, seed (a number), least (its MinHash value).
 
     Ranges of (seed, value, a hash of the document) are read as streams and cut
     where the value changes or a group is full; gid is a group's first document
@@ -167,7 +177,8 @@ def groups(rows: DataFrame) -> DataFrame:
 
         def out(ready: list[list[int]]) -> pa.RecordBatch:
             gids = [xxhash.xxh3_64_intdigest(f"{s} {g[0]}".encode()) - (1 << 63) for s, g in ready for _ in g]
-            return pa.RecordBatch.from_arrays([pa.array(gids, pa.int64()), pa.array([d for _, g in ready for d in g], pa.int64())], names=["gid", "doc"])
+            seeds, docs = [s for s, g in ready for _ in g], [d for _, g in ready for d in g]
+            return pa.RecordBatch.from_arrays([pa.array(seeds, pa.int32()), pa.array(gids, pa.int64()), pa.array(docs, pa.int64())], names=["seed", "gid", "doc"])
 
         for batch in batches:
             ready = []
@@ -180,7 +191,7 @@ def groups(rows: DataFrame) -> DataFrame:
             yield out(ready)
         yield out([(key[0], held)] if len(held) > 1 else [])
 
-    return in_batches(dealt, run, "gid long, doc long")
+    return in_batches(dealt, run, "seed int, gid long, doc long")
 
 
 def overlaps(tokens: np.ndarray, inverted: tuple, n_members: int) -> tuple[int, np.ndarray | None]:
@@ -315,7 +326,7 @@ def run_pairs(token: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
 
 def paired(run: np.ndarray, one: np.ndarray, other: np.ndarray, rows: np.ndarray) -> np.ndarray:
     doc, gid, comp, _, n = rows
-    like = (comp[one] != comp[other]) & (100 * np.minimum(n[one], n[other]) >= PERCENT * np.maximum(n[one], n[other]))
+    like = (comp[one] != comp[other]) & (gid[one] != gid[other]) & (100 * np.minimum(n[one], n[other]) >= PERCENT * np.maximum(n[one], n[other]))
     return np.stack([run[like], doc[one[like]], gid[other[like]], n[one[like]], n[other[like]]])
 
 
@@ -325,10 +336,10 @@ def added_up(pairs: np.ndarray) -> np.ndarray:
 
 def summed(found: np.ndarray) -> np.ndarray:
     """From (run, doc, gid, n, least, most) the columns of ``MEETING``: a run counts once for a query and a group."""
-    run, doc, gid, n, least, most = found[:, np.lexsort((found[0], found[2], found[1]))]
+    run, doc, gid, n, least, most = found[:, np.lexsort((found[0], found[3], found[2], found[1]))]
     if not len(run):
         return np.zeros((6, 0), np.int64)
-    new_pair = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(gid) != 0)])
+    new_pair = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(gid) != 0) | (np.diff(n) != 0)])
     new_run = new_pair | np.concatenate([[True], np.diff(run) != 0])
     starts = np.flatnonzero(new_pair)
     return np.stack([
@@ -355,8 +366,8 @@ def qualified(met: DataFrame) -> DataFrame:
     For given n the bound is lowest at the smallest or the largest member, as
     it falls from m = n to both sides.
     """
-    sums = met.groupBy("doc", "gid").agg(F.first("n").alias("n"), F.sum("shared").alias("shared"), F.min("least").alias("least"), F.max("most").alias("most"))
-    return sums.where(F.col("shared") >= F.least(least_meetings(F.col("n"), F.col("least")), least_meetings(F.col("n"), F.col("most")))).select("doc", "gid")
+    sums = met.groupBy("doc", "gid", "n").agg(F.sum("shared").alias("shared"), F.min("least").alias("least"), F.max("most").alias("most"))
+    return sums.where(F.col("shared") >= F.least(least_meetings(F.col("n"), F.col("least")), least_meetings(F.col("n"), F.col("most")))).select("doc", "gid").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -366,37 +377,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = signs.where("n > 0 and doc is not null")
     classes = stored(named.groupBy("k1", "k2").agg(F.min("doc").alias("first")), "jaccard-classes")
     same = named.select("k1", "k2", "doc").join(classes, ["k1", "k2"]).select(F.col("doc").alias("a"), F.col("first").alias("b")).where("a <> b")
-    first = classes.select("k1", "k2", F.col("first").alias("doc"))
-    # a class is taken once, also where its first document's row repeats
-    unique = stored(
-        named.join(first, ["k1", "k2", "doc"]).groupBy("doc", "k1", "k2").agg(F.first("n").alias("n"), F.first("mins").alias("mins"), F.first("prefix").alias("prefix"))
-        .select("doc", "n", "mins", "prefix"),
-        "jaccard-sets",
-    )
-    seeded = unique.select("doc", F.posexplode("mins").alias("seed", "least"))
-    alike = stored(groups(seeded.where("seed = 0")).withColumn("seed", F.lit(0)).union(groups(seeded.where("seed > 0")).withColumn("seed", F.lit(1))), "jaccard-groups")
+    firsts = classes.select(F.col("first").alias("doc"), "k1", "k2")
+    bearing = signs.where("prefix is not null")
+    alike = stored(groups(bearing.select("doc", "k1", "k2", "mins").join(firsts, ["doc", "k1", "k2"]).select("doc", F.posexplode("mins").alias("seed", "least"))), "jaccard-groups")
     sets = stored(sets_of(texts, alike.select("doc").distinct()), "jaccard-alike")
-
-    def cells(rows: DataFrame) -> DataFrame:
-        return rows.select(F.col("gid").alias("cell"), F.lit(0).alias("part"), "doc", "comp", F.lit(False).alias("query"))
-
-    own_groups = alike.where("seed = 0").select("gid", "doc")
-    links = stored(links_in(cells(own_groups.withColumn("comp", F.col("doc"))), sets), "jaccard-links")
-    comps = components(links)
-    # groups by the other MinHash values are looked at where they hold more than one component
-    others = stored(labelled(alike.where("seed = 1").select("gid", "doc"), comps), "jaccard-others")
-    open_ones = others.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("gid")
-    links = links.union(stored(links_in(cells(others.join(open_ones, "gid")), sets), "jaccard-links"))
-    comps = components(links)
-
-    grouped = labelled(unique.select("doc", "n", "prefix").join(own_groups, "doc", "left").withColumn("gid", F.coalesce("gid", "doc")), comps)
-    cells_in_all = unique.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 8
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = matrix_blocks(grouped, max(count, -(-cells_in_all // CELLS_IN_BLOCK)))
+    cells = alike.select(F.col("gid").alias("cell"), F.lit(0).alias("part"), "doc", F.col("doc").alias("comp"), F.lit(False).alias("query"))
+    links = stored(links_in(cells, sets), "jaccard-links")
+    comps = stored(components(links), "jaccard-families")
+
+    # of the groups a document met in, the largest is its group in the matrix; one that met none is a group alone
+    sizes = alike.groupBy("gid").agg(F.count("*").alias("of"))
+    own = alike.join(sizes, "gid").groupBy("doc").agg(F.max_by("gid", F.struct("of", "gid")).alias("gid"))
+    labels = labelled(firsts, comps).join(own, "doc", "left").withColumn("gid", F.coalesce("gid", "doc"))
+    labels = stored(labels, "jaccard-labels")
+    side = F.broadcast(labels) if fits_broadcast(labels, BROADCAST_CELLS) else labels
+    grouped = bearing.select("doc", "k1", "k2", "n", "prefix").join(side, ["doc", "k1", "k2"])
+    cells_in_all = bearing.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0))).first()[0] // 8
+    blocks = matrix_blocks(grouped, max(1, -(-cells_in_all // CELLS_IN_BLOCK)))
     met_in = blocks.groupBy("block").applyInArrow(meetings, ", ".join(f"{c} long" for c in MEETING))
     asked = stored(qualified(met_in), "jaccard-queries")
 
-    members = own_groups.union(unique.join(own_groups, "doc", "left_anti").select(F.col("doc").alias("gid"), "doc"))
+    members = labels.select("gid", "doc").distinct()
     parts = asked.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
     placed = asked.join(parts, "gid").select("gid", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part"), "doc", F.lit(True).alias("query"))
     repeated = members.join(parts, "gid").select("gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "doc", F.lit(False).alias("query"))
