@@ -23,7 +23,8 @@ from tillgrid.testbed.queries import all_queries  # noqa: E402
 HEADLINE = [
     "item_sales", "item_sales_text", "detect_header", "reorder_extras", "row_ordinal", "audit_rows", "sink_report",
     "cast_money", "cast_int", "date_reformat", "attach_label", "resolve_cascade", "option_cascade", "kpi_flatten",
-    "kpi_long_labels", "kpi_status", "no_data_flag", "status_counts", "digest_lines", "latest_file",
+    "kpi_long_labels", "kpi_status", "no_data_flag", "status_counts", "digest_lines", "latest_file", "src_csv_grid", "src_csv_split",
+    "src_xlsx_grid", "ingest_incremental",
 ]
 
 

@@ -366,6 +366,7 @@ def _report_subject(label: str, day: str) -> str:
 SQL: dict[str, str] = {
     # sources and sinks
     "src_csv_grid": f"WITH {GRID} {_LAND}",
+    "src_csv_split": f"WITH {GRID} {_LAND}",
     "src_xlsx_grid": f"WITH {GRID} SELECT file_id, row_idx, rtrim(array_to_string(cells, '|'), '|') AS line FROM grid",
     "dim_location": f"WITH {DIM} SELECT * FROM dim",
     "dim_code": f"WITH {CODES} SELECT * FROM codes",

@@ -55,6 +55,16 @@ def src_csv_grid(spark, sf):
                        F.size("cells").cast("bigint").alias("n_cells"), _joined())
 
 
+@query
+def src_csv_split(spark, sf):
+    """The same files by the route that large ones take."""
+    path = scratch_dir(spark, "landing")
+    t.land_csv(t.landed(spark, sf, t.report_grid), path)
+    grid = csv_grid.split_grid(spark, path, "*.txt", limit=0)
+    return grid.select(t.landed_id(F.col("file_id")).alias("file_id"), "row_idx",
+                       F.size("cells").cast("bigint").alias("n_cells"), _joined())
+
+
 def _workbook(report: pd.DataFrame) -> pd.DataFrame:
     rows = [list(cells) for cells in report.sort_values("row_idx")["cells"]]
     return report[["file_id"]].head(1).assign(file_name="report_raw.xlsx", content=workbook_bytes(rows))
