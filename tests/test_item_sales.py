@@ -202,6 +202,25 @@ def test_header_names(spark, tmp_path):
     assert mapped == {"X": "p", "X.1": "r", "X.2": "q", "X.3": "u", "Discounts.1": "6"}
 
 
+def test_extras_with_clashing_names(spark, tmp_path):
+    for name, more in (("a", ["Cashier", "Order ID", "file_id"]), ("b", ["cashier", "ROW_IDX", "Till"])):
+        write_csv(tmp_path / f"{name}_raw.csv", report(header=[*HEADER, *more], items=[[*ITEMS[0], f"{name}1", f"{name}2", f"{name}3"]]))
+    grid = csv_grid.read_csv_grid(spark, str(tmp_path))
+    out = plan.item_sales_with_extras(grid)
+    out.write.parquet(str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == ["file_id", "row_idx", *OUTPUT_COLUMNS, "Cashier", "Till"]
+    assert sorted((r["Cashier"], r["Till"] or "", r["Order ID"]) for r in back.collect()) == [("a1", "", ""), ("b1", "b3", "")]
+
+
+def test_too_many_extras_come_as_a_map(spark, tmp_path, monkeypatch):
+    from tillgrid.operators import spec as spec_module
+
+    monkeypatch.setattr(spec_module.extra_names, "__defaults__", ((), 1))
+    write_csv(tmp_path / "a_raw.csv", report(header=[*HEADER, "P", "Q"], items=[[*ITEMS[0], "1", "2"]]))
+    assert plan.item_sales_with_extras(csv_grid.read_csv_grid(spark, str(tmp_path))).first().extras == {"P": "1", "Q": "2"}
+
+
 def test_mixed_folder(spark, tmp_path, monkeypatch):
     write_csv(tmp_path / "a_raw.csv", report("01/01/2026"))
     write_csv(tmp_path / "b_raw.csv", report("02/01/2026", items=ITEMS * 20))

@@ -114,8 +114,12 @@ def with_positions(meta: DataFrame, spec: ReportSpec, extras: list[str] | None =
     def place(raw: str) -> Column:
         return (F.nullif(F.array_position("header", raw), F.lit(0)) - 1).cast("int")
 
+    def place_of_extra(name: str) -> Column:
+        known = F.transform("header", lambda h: F.when(~h.isin(spec.known or [""]), F.lower(h)))
+        return (F.nullif(F.array_position(known, name.lower()), F.lit(0)) - 1).cast("int")
+
     mapped = [place(c.raw).alias(f"p{i}") for i, c in enumerate(spec.mapped)]
-    more = [place(name).alias(f"e{i}") for i, name in enumerate(extras or [])]
+    more = [place_of_extra(name).alias(f"e{i}") for i, name in enumerate(extras or [])]
     strategies = {**INJECTORS, **spec.injectors}
     injected = [strategies[c.inject](spec).alias(f"i{i}") for i, c in enumerate(spec.injected)]
     none = [F.lit(None).cast("string").alias("none")]
@@ -145,22 +149,23 @@ def target_columns(spec: ReportSpec, only: list[str] | None = None) -> list[Colu
     return [built[n].alias(n) for n in names if only is None or n in only]
 
 
-def extra_names(meta: DataFrame, spec: ReportSpec, limit: int = 500) -> list[str]:
+def extra_names(meta: DataFrame, spec: ReportSpec, taken: tuple[str, ...] = (), limit: int = 500) -> list[str] | None:
     """Raw names outside the spec over all files that have the key, sorted: the schema of the extras.
 
-    Only distinct names reach the driver; more than ``limit`` of them is an
-    error, since a table cannot take them as columns.
+    Names that differ in case alone are one column. The spec's own columns and
+    the ``taken`` ones win over a raw column of their name. Only distinct names
+    reach the driver; None says that there are more than ``limit``, which are no
+    columns for a table but keys of a map.
     """
+    used = sorted({n.lower() for n in (*spec.targets, *taken)})
     names = (
         meta.where(F.array_contains(F.array_compact("header"), spec.key))
         .select(F.explode("header").alias("name"))
-        .where(F.col("name").isNotNull() & ~F.col("name").isin(spec.known))
-        .distinct()
+        .where(F.col("name").isNotNull() & ~F.col("name").isin(spec.known) & ~F.lower("name").isin(used))
+        .groupBy(F.lower("name").alias("folded")).agg(F.min("name").alias("name"))
     )
     found = [r.name for r in names.limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} extra columns; use extras='map'")
-    return sorted(found)
+    return sorted(found) if len(found) <= limit else None
 
 
 def extra_columns(names: list[str]) -> list[Column]:

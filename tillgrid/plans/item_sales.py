@@ -171,10 +171,14 @@ def item_sales(rows: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str | lis
 
 def item_sales_with_extras(grid: DataFrame, spec: ReportSpec = ITEM_SALES,
                            keep: tuple[str, ...] = ("file_id", "row_idx")) -> DataFrame:
-    """The upload table with every raw column outside the spec appended, null where a file lacks it."""
+    """The upload table with every raw column outside the spec appended, null where a file lacks it.
+
+    More of them than a table can have as columns come as one map.
+    """
     meta = settle(file_meta(grid))
-    names = extra_names(meta, spec)
-    return item_sales(rows_of_grid(grid, spec, names, meta), spec, names, keep)
+    names = extra_names(meta, spec, keep)
+    rows = rows_of_grid(grid, spec, names, meta)
+    return item_sales(rows, spec, "map" if names is None else names, keep)
 
 
 def location_tags(dim: DataFrame) -> DataFrame:
