@@ -5,17 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after a count showed that it has no more rows than this.
+# A side is broadcast only after a look at it showed no more rows and bytes than this.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 # A key is spread when it holds at least this share of the rows and this many of them.
 HOT_SHARE = 1 / 256
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count the side, reading no more than ``max_rows + 1`` of its rows."""
-    return max_rows > 0 and dim.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Count the side's rows and (as JSON text) bytes, reading no more than ``max_rows + 1`` of its rows."""
+    if max_rows <= 0:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
+    rows, found = dim.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return rows <= max_rows and found <= max_bytes
+
+
+def small_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Like ``lookup_join`` for facts that are unique on their key, which thus has no hot values."""
+    return facts.join(F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, on, how)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on: str | list[str], how: str = "left",

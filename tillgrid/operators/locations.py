@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillgrid.functions.text import is_skipped, norm_a, norm_b, sanitize, strip
-from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join
+from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join, small_join
 from tillgrid.operators.ordinal import number_rows
 
 
@@ -79,10 +79,16 @@ def resolve_cascade(requests: DataFrame, workplaces: DataFrame, name: str = "pos
     """
     exact = workplaces.select(F.col("name").alias(name), F.col("id").alias("_exact"))
     by_norm = first_by_key(workplaces, norm_b(F.col("name")), "id", "first_seq", "_norm", "_loose")
-    found = lookup_join(requests, exact, name, "left", max_rows).withColumn("_norm", norm_b(F.col(name)))
-    found = lookup_join(found, by_norm, "_norm", "left", max_rows)
+    names = _names(requests, name).withColumn("_norm", norm_b(F.col(name)))
+    found = small_join(small_join(names, exact, name, "left", max_rows), by_norm, "_norm", "left", max_rows)
     how = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_loose").isNotNull(), "normalised")
-    return found.select(*requests.columns, F.coalesce("_exact", "_loose").alias("workplace_id"), how.alias("matched_by"))
+    resolved = found.select(name, F.coalesce("_exact", "_loose").alias("workplace_id"), how.alias("matched_by"))
+    return lookup_join(requests, resolved, name, "left", max_rows).select(*requests.columns, "workplace_id", "matched_by")
+
+
+def _names(requests: DataFrame, name: str) -> DataFrame:
+    """The distinct names: few beside the requests, so they go through the steps and come back by one join."""
+    return requests.select(name).where(F.col(name).isNotNull()).distinct()
 
 
 def resolve_exact(requests: DataFrame, workplaces: DataFrame, name: str = "pos_name") -> DataFrame:
@@ -105,13 +111,14 @@ def option_cascade(requests: DataFrame, options: DataFrame, name: str = "pos_nam
     """
     steps = [("exact", lambda c: c), ("case", F.lower), ("normalised", norm_a)]
     listed = options.select("ordinal", strip(F.col("option")).alias("option"))
-    found = requests
+    found = _names(requests, name)
     for step, key in steps:
         by_key = first_by_key(listed, key(F.col("option")), "option", "ordinal", "_key", f"_{step}")
-        found = lookup_join(found.withColumn("_key", key(F.col(name))), by_key, "_key", "left", max_rows).drop("_key")
+        found = small_join(found.withColumn("_key", key(F.col(name))), by_key, "_key", "left", max_rows).drop("_key")
     hits = [F.col(f"_{step}") for step, _ in steps]
     how = F.coalesce(*[F.when(F.col(f"_{step}").isNotNull(), F.lit(step)) for step, _ in steps])
-    return found.select(*requests.columns, F.coalesce(*hits).alias("option"), how.alias("matched_by"))
+    resolved = found.select(name, F.coalesce(*hits).alias("option"), how.alias("matched_by"))
+    return lookup_join(requests, resolved, name, "left", max_rows).select(*requests.columns, "option", "matched_by")
 
 
 def option_unmatched(requests: DataFrame, options: DataFrame, name: str = "pos_name") -> DataFrame:
