@@ -84,6 +84,36 @@ def test_the_matrix_alone_finds_every_link(spark, rows, monkeypatch):
     assert sorted(map(tuple, jaccard.jaccard_components(docs).collect()), key=str) == components_by_force(some)
 
 
+def test_a_query_links_to_a_member_between_the_sizes_met(spark, monkeypatch):
+    """q links to m alone; for sizes 23, 24, 25 of the group's members the bound is 3, 2, 3, and q meets them in 2 tokens."""
+    passage = [f"p{i}" for i in range(25)]
+    q, a, m, b = ["q1", "q2", *passage], ["o2", "o3", "o4", *passage[:-1]], ["o2", "o3", "o4", *passage], ["o1", "o2", "o3", "o4", *passage]
+    fillers = [[*passage, *(f"f{i}-{k}" for k in range(60))] for i in range(20)]  # the passage is common
+    fillers += [[*passage[-5:], *(f"e{i}-{k}" for k in range(60))] for i in range(5)]  # what a lacks is the most common
+    made = [(i, " ".join(words)) for i, words in enumerate([q, a, m, b, *fillers])]
+    assert similarity(shingles(made[0][1]), shingles(made[2][1])) >= 0.8 > max(similarity(shingles(made[0][1]), shingles(made[k][1])) for k in (1, 3))
+    monkeypatch.setattr(jaccard, "groups", lambda rows: spark.createDataFrame([(0, -7, d) for d in (1, 2, 3)], "seed int, gid long, doc long"))
+    docs = spark.createDataFrame([(d, t, 1, "x", "y") for d, t in made], SCHEMA)
+    assert sorted(map(tuple, jaccard.jaccard_components(docs).collect()), key=str) == components_by_force(made)
+
+
+def test_bound_of_a_group_is_the_lowest_of_its_sizes(spark):
+    """For every query up to 120 and every range of member sizes that can link, one meeting less than the lowest bound is too few."""
+    def bound(n, m):
+        return max(1, -(-(n + m) * 80 // 180) - max(-(-n * 80 // 100), -(-m * 80 // 100)) + 1)
+
+    made = []
+    for n in range(1, 121):
+        fit = [m for m in range(1, 151) if 100 * min(n, m) >= 80 * max(n, m)]
+        for i, least in enumerate(fit):
+            lowest = bound(n, least)
+            for most in fit[i:]:
+                lowest = min(lowest, bound(n, most))
+                made += [(len(made) + k, n, n, lowest - 1 + k, least, most) for k in (0, 1)]
+    met = spark.createDataFrame(made, "doc long, gid long, n long, shared long, least long, most long")
+    assert sorted(r.doc for r in jaccard.qualified(met).collect()) == [row[0] for row in made if row[0] % 2]
+
+
 def test_representatives(spark, rows):
     docs = spark.createDataFrame([(d, t, 1, "x", "y") for d, t in rows], SCHEMA)
     stay = {c for d, _, c in components_by_force(rows)}

@@ -363,11 +363,14 @@ def least_meetings(n, m):
 def qualified(met: DataFrame) -> DataFrame:
     """doc, gid of the queries whose meetings in all blocks leave a link possible.
 
-    For given n the bound is lowest at the smallest or the largest member, as
-    it falls from m = n to both sides.
+    The bound is the lowest of all sizes from the smallest to the largest member
+    met. Up to m = n it never falls, as only what is shared grows. From there it
+    falls by 16 / 45 a step but for two ceilings, which raise it by 1 at most,
+    so the lowest value beyond n is at one of the last three sizes.
     """
     sums = met.groupBy("doc", "gid", "n").agg(F.sum("shared").alias("shared"), F.min("least").alias("least"), F.max("most").alias("most"))
-    return sums.where(F.col("shared") >= F.least(least_meetings(F.col("n"), F.col("least")), least_meetings(F.col("n"), F.col("most")))).select("doc", "gid").distinct()
+    sizes = [F.col("least"), *(F.greatest("least", F.col("most") - back) for back in range(3))]
+    return sums.where(F.col("shared") >= F.least(*(least_meetings(F.col("n"), m) for m in sizes))).select("doc", "gid").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
