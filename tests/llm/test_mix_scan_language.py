@@ -171,6 +171,43 @@ def test_held_out_languages(spark, model):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_a_small_language_keeps_its_trigrams(spark):
+    """A language of many signs stands beside one that has more trigrams, each more often, than any share of the model."""
+    source = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzàâçéèêëîïôûùüÿœæ"
+    words = lambda signs, n: " ".join("".join(source.choice(signs) for _ in range(12)) for _ in range(n))
+    large = [words(letters, 100) for _ in range(250)]
+    small = [words([chr(0x4E00 + i) for i in range(3000)], 20) for _ in range(20)]
+    rows = [(t, "la") for t in large for _ in range(2)] + [(t, "zh") for t in small]
+    docs = spark.createDataFrame([(i, *r, "x", "y") for i, r in enumerate(rows)], LABELLED)
+    learned = language.learn(docs)
+    assert len(learned.grams) > 50_000
+    got = language.predict(docs.where("lang = 'zh'").select("doc_id", "text"), learned, ["doc_id"]).collect()
+    assert [(r.lang_pred, r.score) for r in got] == [("zh", 1.0)] * len(small)
+
+
+def test_scores_are_those_of_plain_counts(spark):
+    """Against counts in dictionaries, with characters of all widths."""
+    import numpy as np
+
+    rows = [("ab ab abc 𐐨𐐨b", "x"), ("abd éa b", "y"), ("a語語c ab", "x")]
+    learned = language.learn(spark.createDataFrame([(i, *r, "x", "y") for i, r in enumerate(rows)], LABELLED))
+    count, size = {}, {"x": 0, "y": 0}
+    for text, lang in rows:
+        for word in text.split():
+            for i in range(len(word)):
+                gram = f"^{word}$"[i : i + 3]
+                count[gram, lang] = count.get((gram, lang), 0) + 1
+                size[lang] += 1
+    grams = {g for g, _ in count}
+    asked = ["ab", "abce", "zz", "𐐨𐐨b", "語"]
+    scores, each, known = learned.scores(asked)
+    for word, row, n, k in zip(asked, scores, each, known):
+        own = [f"^{word}$"[i : i + 3] for i in range(len(word))]
+        want = [sum(np.log((count.get((g, lang), 0) + 0.5) / (size[lang] + 0.5 * len(grams))) for g in own) for lang in ("x", "y")]
+        assert row == pytest.approx(want, abs=1e-5) and (n, k) == (len(own), sum(g in grams for g in own))
+
+
 def test_spans_of_mixed_text(model):
     text = " ".join(LANGS["en"] + LANGS["fr"] + LANGS["ru"] + LANGS["en"])
     spans = language.Labeller(model).spans(text)

@@ -1,8 +1,10 @@
 """Language ID for mixed-language text: script ranges, per-word scores, Viterbi.
 
 Learning counts the character trigrams of the words of labelled documents, for
-each language, over all of them; the model keeps the ``MODEL_GRAMS`` most
-frequent ones (its documented size) and the scripts that each language uses.
+each language, over all of them. The model keeps every one, so neither a small
+language nor a large sign inventory loses any to the others, and the scripts
+that each language uses. It takes 8 bytes a pair of trigram and language and 16
+a trigram, in the driver and in every Python worker.
 
 A word's script leaves the languages written in it as candidates. Its score for
 a language is the sum of the smoothed log probabilities of its trigrams, and
@@ -31,10 +33,10 @@ from pyspark.sql import functions as F
 
 from tillgrid.llm.common import REMEMBERED, Batches, batch_of, in_batches, stored
 
-MODEL_GRAMS = 50_000
 SWITCH = 12.0
 SMOOTH = 0.5
 COUNTED = 400_000  # distinct runs that a task counts before it passes on their trigrams
+PART = 200_000  # letters whose trigrams are looked up at once
 USED = 0.01  # a language is written in a script that has at least this share of its letters
 FLOOR = -30.0  # the score of a word for a language that is not written in its script
 
@@ -67,69 +69,97 @@ def words_of(run: str) -> list[str]:
     return [lowered] if lowered.isalpha() else LETTERS.findall(lowered)
 
 
-COUNTS = pa.schema([("lang", pa.string()), ("kind", pa.string()), ("item", pa.string()), ("n", pa.int64())])
+def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of ``^word$`` for each word, a number each, and how many each word has: its length."""
+    each = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join([f"^{t}$" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    first = np.arange(each.sum()) + np.repeat(2 * np.arange(len(each)), each)  # two more characters a word, where no trigram begins
+    return points[first] << 42 | points[first + 1] << 21 | points[first + 2], each
+
+
+COUNTS = pa.schema([("lang", pa.string()), ("script", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
 def learned_counts(docs: DataFrame) -> DataFrame:
-    """lang, kind ('gram' or 'script'), item, n over all labelled rows; summed in each task before the shuffle."""
+    """lang, script, gram (one of them null), n over all labelled rows; summed in each task before the shuffle."""
     rows = docs.where("lang is not null and text is not null").select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Batches) -> Batches:
         words: dict[str, Counter] = {}
 
-        def out() -> pa.RecordBatch:
-            totals: dict[tuple[str, str], Counter] = {}
+        def out() -> Batches:
             for lang, found in words.items():
-                grams, scripts = totals.setdefault((lang, "gram"), Counter()), totals.setdefault((lang, "script"), Counter())
+                each, scripts = Counter(), Counter()
                 for run, n in found.items():
                     parts = words_of(run)
                     for word in parts:
-                        edged = f"^{word}$"
-                        for i in range(len(word)):
-                            grams[edged[i : i + 3]] += n
+                        each[word] += n
                     if parts:
                         scripts[script_of(parts[0])] += n * sum(map(len, parts))
+                codes, lengths = codes_of(list(each))
+                grams, at = np.unique(codes, return_inverse=True)
+                sums = np.zeros(len(grams), np.int64)
+                np.add.at(sums, at, np.repeat(np.fromiter(each.values(), np.int64, len(each)), lengths))
+                k, m = len(scripts), len(grams)
+                columns = [[lang] * (k + m), [*scripts, *[None] * m], [*[None] * k, *grams.tolist()], [*scripts.values(), *sums.tolist()]]
+                yield batch_of(COUNTS, columns)
             words.clear()
-            rows = [(lang, kind, item, n) for (lang, kind), found in totals.items() for item, n in found.items()]
-            return batch_of(COUNTS, list(map(list, zip(*rows))) if rows else [[]] * 4)
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words.setdefault(lang, Counter()).update(text.split())
             if sum(map(len, words.values())) > COUNTED:
-                yield out()
-        yield out()
+                yield from out()
+        yield from out()
 
-    return in_batches(rows, run, "lang string, kind string, item string, n long").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
+    return in_batches(rows, run, "lang string, script string, gram long, n long").groupBy("lang", "script", "gram").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """Log probabilities: bounded by ``MODEL_GRAMS`` trigrams times the languages."""
-
-    def __init__(self, langs: list[str], grams: dict[str, np.ndarray], unknown: np.ndarray, scripts: dict[str, np.ndarray]):
-        self.langs, self.grams, self.unknown, self.scripts = langs, grams, unknown, scripts
-
-
-def learn(docs: DataFrame, model_grams: int = MODEL_GRAMS) -> Model:
+    """Log probabilities of every trigram learned.
+
+    ``grams`` are in ascending order; those of place i have their languages and
+    weights from ``starts[i]`` to ``starts[i + 1]``. A weight is what a trigram
+    adds, in a language that has it, to the log probability of one that was
+    never seen in it (``unknown``).
+    """
+
+    def __init__(self, langs: list[str], pairs: tuple[np.ndarray, np.ndarray, np.ndarray], scripts: dict[str, np.ndarray]):
+        gram, lang, n = pairs
+        by = np.argsort(gram, kind="stable")
+        gram = gram[by]
+        cuts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+        self.langs, self.scripts, self.grams, self.starts = langs, scripts, gram[cuts], np.append(cuts, len(gram))
+        self.lang, self.weight = lang[by].astype(np.int32), np.log1p(n[by] / SMOOTH).astype(np.float32)
+        size = np.bincount(lang, n, len(langs))
+        self.unknown = np.log(SMOOTH / (size + SMOOTH * max(1, len(self.grams))))
+
+    def scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: its scores for the languages, its trigrams, and those that are known."""
+        codes, each = codes_of(words)
+        place = np.minimum(np.searchsorted(self.grams, codes), max(0, len(self.grams) - 1))
+        found = self.grams[place] == codes if len(self.grams) else np.zeros(len(codes), bool)
+        word, place = np.repeat(np.arange(len(words)), each)[found], place[found]
+        lengths = self.starts[place + 1] - self.starts[place]
+        at = np.arange(lengths.sum()) + np.repeat(self.starts[place] - (np.cumsum(lengths) - lengths), lengths)
+        cell = np.repeat(word, lengths) * len(self.langs) + self.lang[at]
+        gained = np.bincount(cell, self.weight[at], len(words) * len(self.langs)).reshape(len(words), len(self.langs))
+        return gained + each[:, None] * self.unknown, each, np.bincount(word, minlength=len(words))
+
+
+def learn(docs: DataFrame) -> Model:
     counts = stored(learned_counts(docs), "language-counts")
-    sums = {r.lang: r.n for r in counts.where("kind = 'gram'").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    sums = {r.lang: r.n for r in counts.where("gram is not null").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(sums)
     place = {lang: i for i, lang in enumerate(langs)}
-    size = np.array([sums[lang] for lang in langs], float)
-    shares = counts.where("kind = 'gram'").groupBy("item").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("of"))
-    grams = {}
-    kept = shares.orderBy(F.desc("all"), "item").limit(model_grams).collect()
-    for row in kept:
-        seen = np.zeros(len(langs))
-        for lang, n in row.of:
-            seen[place[lang]] = n
-        grams[row.item] = np.log((seen + SMOOTH) / (size + SMOOTH * len(kept))).astype(np.float32)
+    places = F.broadcast(docs.sparkSession.createDataFrame(list(place.items()), "lang string, place int"))
+    found = counts.where("gram is not null").join(places, "lang").select("gram", "place", "n").toArrow()
+    pairs = tuple(found.column(c).to_numpy() for c in ("gram", "place", "n"))
     scripts: dict[str, np.ndarray] = {}
-    for row in counts.where("kind = 'script'").collect():
+    for row in counts.where("script is not null").collect():
         if row.lang in place and row.n >= USED * sums[row.lang]:
-            scripts.setdefault(row["item"], np.zeros(len(langs), bool))[place[row.lang]] = True
-    unknown = np.log(SMOOTH / (size + SMOOTH * len(kept))).astype(np.float32) if langs else np.zeros(0, np.float32)
-    return Model(langs, grams, unknown, scripts)
+            scripts.setdefault(row.script, np.zeros(len(langs), bool))[place[row.lang]] = True
+    return Model(langs, pairs, scripts)
 
 
 class Labeller:
@@ -137,8 +167,6 @@ class Labeller:
 
     def __init__(self, model: Model, switch: float = SWITCH):
         self.model, self.switch = model, switch
-        self.gram_row = {gram: i for i, gram in enumerate(model.grams)}
-        self.matrix = np.stack([*model.grams.values(), model.unknown]) if model.grams else model.unknown[None, :]
         self.forget()
 
     def forget(self) -> None:
@@ -152,34 +180,40 @@ class Labeller:
             self.forget()
         runs = [t.split() if t else [] for t in texts]
         new = list({r for own in runs for r in own if r not in self.known})
-        find, unknown = self.gram_row.get, len(self.gram_row)
-        flat: list[int] = []
-        ends, letters, scripts = [], [], []
+        ends, letters, scripts, flat = [0], [], [], []
         for run in new:
             words = words_of(run)
-            for word in words:
-                edged = f"^{word}$"
-                flat += [find(edged[i : i + 3], unknown) for i in range(len(word))]
+            flat += words
             ends.append(len(flat))
             letters.append(sum(map(len, words)))
             scripts.append("latin" if words and words[0][0] < "\u02b0" else script_of("".join(words)))
         if new:
-            at = np.array(flat, np.int64)
-            sums = np.vstack([np.zeros(self.matrix.shape[1]), np.cumsum(self.matrix[at].astype(np.float64), axis=0)])
-            hits = np.concatenate([[0], np.cumsum(at != unknown)])
-            upto = np.array(ends)
-            since = np.concatenate([[0], upto[:-1]])
-            rows = (sums[upto] - sums[since]).astype(np.float32)
+            scores, each, hits = self.scored(flat)
+            at = np.array(ends)
+            before = [np.concatenate([np.zeros((1, *x.shape[1:]), x.dtype), np.cumsum(x, axis=0)]) for x in (scores, each, hits)]
+            rows, grams, known = (x[at[1:]] - x[at[:-1]] for x in before)
+            rows = rows.astype(np.float32)
             for script in set(scripts):
                 written = self.model.scripts.get(script)
                 if written is not None and not written.all():
-                    chosen = (np.array(scripts) == script) & (upto > since)
+                    chosen = (np.array(scripts) == script) & (grams > 0)
                     rows[np.ix_(chosen, ~written)] += FLOOR
             self.known.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
             self.rows = np.concatenate([self.rows, rows])
-            self.facts = np.concatenate([self.facts, np.stack([letters, upto - since, hits[upto] - hits[since]], axis=1)])
+            self.facts = np.concatenate([self.facts, np.stack([letters, grams, known], axis=1)])
         return runs
 
+    def scored(self, words: list[str]) -> list[np.ndarray]:
+        """The model's scores of words, taken in parts of some letters."""
+        parts, held = [[]], 0
+        for word in words:
+            if held > PART:
+                parts.append([])
+                held = 0
+            parts[-1].append(word)
+            held += len(word)
+        return [np.concatenate(x) for x in zip(*map(self.model.scores, parts))]
+
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The best sequence of languages.
 
