@@ -133,6 +133,12 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {(r.doc, r.component) for r in got} == {(i, 0) for i in range(61)} | {(1000 + i, 1000) for i in range(200)}
 
 
+def test_components_that_still_change_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr("tillgrid.llm.components.ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="still changed"):
+        components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"))
+
+
 def test_slices_of_long_texts_do_not_matter(monkeypatch):
     source = random.Random(2)
     texts = ["".join(source.choice(["a", "B", " ", "\n", "é", "\x0b", "\x1c", "xyz"]) for _ in range(300)).encode() for _ in range(50)]

@@ -190,3 +190,20 @@ def test_kpi_and_audit_sinks(spark, tmp_path):
     for _ in range(2):
         append_audit(spark.createDataFrame([("r1", "ok")], "run_id string, outcome string"), log)
     assert spark.read.json(log).count() == 2
+
+
+def test_files_of_any_age_are_taken_up(spark, tmp_path):
+    """One dated 1970 lands after a new one was done."""
+    import os
+
+    from tillgrid.streaming.incremental import landing_stream
+
+    (tmp_path / "in").mkdir()
+    seen = []
+    for name in ("new.csv", "old.csv"):
+        (tmp_path / "in" / name).write_text("x")
+        if name == "old.csv":
+            os.utime(tmp_path / "in" / name, (86400, 86400))
+        stream = landing_stream(spark, str(tmp_path / "in")).writeStream.option("checkpointLocation", str(tmp_path / "done")).trigger(availableNow=True)
+        stream.foreachBatch(lambda batch, _: seen.extend(r.path.rsplit("/", 1)[-1] for r in batch.collect())).start().awaitTermination()
+    assert seen == ["new.csv", "old.csv"]

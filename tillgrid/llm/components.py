@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     A large-star step hangs all larger neighbours of a document on its smallest
     neighbour, a small-star step all smaller ones; smallest neighbours are found
     by an aggregate that combines before its shuffle. Links are written after
-    each round; rounds grow with the logarithm of the longest chain.
+    each round; rounds grow with the logarithm of the longest chain. Not to be done
+    after ``ROUNDS`` is an error.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
     few, before = edges.count() <= FEW, None
@@ -37,5 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still changed after {ROUNDS} rounds")
     own = edges.select(F.col("v").alias("doc")).distinct().select("doc", F.col("doc").alias("component"))
     return edges.select(F.col("u").alias("doc"), F.col("v").alias("component")).union(own)
