@@ -188,9 +188,19 @@ MAPPED = f"""
 CASE WHEN g IS NOT NULL THEN {to_money(_cell('g'))} END AS "Total sales incl. tax *\""""
 INJECTED = f"""{new_date('business_date')} AS "Sales Date *", '' AS "Order ID", '' AS "Sales Type Code\""""
 ITEM_SALES = f"WITH {ITEM_ROWS} SELECT file_id, row_idx, {INJECTED}, {MAPPED} FROM item_rows"
-BUSINESS_DAY = (
-    "coalesce(strftime(try_strptime(business_date, '%d/%m/%Y'), '%Y-%m-%d'), nullif(business_date, ''), 'undated')"
-)
+
+
+def business_day(file_name: str) -> str:
+    """ISO date, else the raw text; a report without a date has a day of its own, named by its file."""
+    return (
+        "coalesce(strftime(try_strptime(business_date, '%d/%m/%Y'), '%Y-%m-%d'), nullif(business_date, ''), "
+        f"'undated_' || {sanitized(file_name)})"
+    )
+
+
+RAW_NAME = f"('20260416T102300_' || substr(md5(file_id), 1, 8) || '_' || {sanitized(store_name('s'))} || '_raw.csv')"
+PLACE_NAME = f"({store_name('s')} || ' menu ' || regexp_extract(file_id, '-([0-9]+)$', 1))"
+INGEST_NAME = f"('20260416T102300_a1b2c3d4_' || {sanitized(PLACE_NAME)} || '_raw.csv')"
 
 KNOWN_RAW = [
     "Menu Item Name", "Menu Item #", "Qty Sold", "Discounts", "Net VAT after Disc.", "Gross after Disc.",
@@ -383,7 +393,7 @@ SQL: dict[str, str] = {
     "file_provenance": f"WITH {PROVENANCE} SELECT file_id, file_name, run_id, location_tag, suffix FROM provenance",
     "sink_report": f"""WITH {ITEM_ROWS}, {ACTIVE},
         located AS (SELECT * FROM item_rows JOIN active ON ordinal = item_rows.s)
-        SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {BUSINESS_DAY} AS business_day,
+        SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {business_day(RAW_NAME)} AS business_day,
         {sanitized('label')} AS location_key FROM located""",
     "sink_kpi": KPI_WIDE,
     "audit_rows": f"""WITH {ITEM_ROWS},
@@ -393,7 +403,7 @@ SQL: dict[str, str] = {
         count(item_rows.row_idx) AS rows, '2026-04-16T10:23:00.000000' AS ts
         FROM meta LEFT JOIN item_rows ON item_rows.file_id = meta.file_id GROUP BY ALL""",
     "ingest_incremental": f"""WITH {ITEM_ROWS}
-        SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {BUSINESS_DAY} AS business_day,
+        SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {business_day(INGEST_NAME)} AS business_day,
         {sanitized("('Label ' || file_id)")} AS location_key
         FROM item_rows WHERE s % 17 NOT IN (3, 5, 7, 9, 11, 13)""",
     # projections and filters
