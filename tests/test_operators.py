@@ -61,14 +61,33 @@ def test_join_with_duplicate_dimension_and_null_keys(spark):
 @pytest.mark.parametrize("groups", [[], ["key"]])
 def test_number_rows(skewed, groups):
     facts, _ = skewed
-    sparse = facts.withColumn("place", F.col("id") * 7)
-    got = {(r.key, r.id): r.ordinal for r in number_rows(sparse, groups, "place", width=100).collect()}
+    sparse = facts.withColumn("place", F.col("id") * F.col("id") * 7_000_000)
+    numbered = number_rows(sparse, groups, "place")
+    got = {(r.key, r.id): r.ordinal for r in numbered.collect()}
     seen: dict = {}
     for key, i in sorted(got, key=lambda k: k[1]):
         group = key if groups else ""
         assert got[(key, i)] == seen.get(group, 0)
         seen[group] = seen.get(group, 0) + 1
     assert len(got) == 3000
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and ("Window" in plan) == bool(groups)
+
+
+def test_number_rows_null_groups_text_order_and_empty(spark):
+    entries = [(None, "b"), ("x", "c"), (None, "a"), ("x", None), (None, None), ("", "z")]
+    df = spark.createDataFrame(entries, "g string, o string")
+    assert rows(number_rows(df, ["g"], F.col("o").asc_nulls_last(), start=1), F.col("g").asc_nulls_first(), "ordinal") == [
+        (None, "a", 1), (None, "b", 2), (None, None, 3), ("", "z", 1), ("x", "c", 1), ("x", None, 2),
+    ]
+    assert number_rows(df.limit(0), ["g"], "o").count() == 0 and number_rows(df.limit(0), [], "o").count() == 0
+
+
+def test_number_rows_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    source = spark.sparkContext.parallelize(range(1000), 5).map(lambda i: (seen.add(1), (i % 3, i))[1])
+    assert number_rows(spark.createDataFrame(source, "g long, i long"), ["g"], "i").where("ordinal = 0").count() == 3
+    assert seen.value == 1000
 
 
 # ---- locations -------------------------------------------------------------------------------

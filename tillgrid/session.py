@@ -60,3 +60,10 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute a small result once and cut its lineage, in storage that outlives executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table once to the shared folder and read it back: lineage ends, columns can be pruned."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
