@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.llm import bpe, jaccard, language, licenses, line_dedup, minhash, mixing, token_orc, topk, warc
+from tillgrid.llm import bpe, jaccard, language, licenses, line_dedup, manifest, minhash, mixing, runs, shards, token_orc, topk, warc
 from tillgrid.llm.common import table
 from tillgrid.session import scratch_dir
 
@@ -68,17 +68,90 @@ def op10_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_ids(spark, path))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), runs.changed_words)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.checked(manifest.build(table(spark, sf_dir, "documents"), manifest.tampered_leaf()))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_topk_threshold, op3_jaccard_join, op4_fingerprints, op5_bpe, op6_line_dedup, op7_license_scan,
-        op8_language_id, op9_warc, op10_token_orc,
+        op8_language_id, op9_warc, op10_token_orc, op11_periodic_runs, op12_merkle_manifest, op13_sharding,
     )
 }
 
 BLANK = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """Levels 1 to ``levels`` of trees over ``leaves`` (tree, pos, h); a tree that has one node left keeps it."""
+    out = [f"{name}0 AS (SELECT tree, pos, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS (
+            SELECT tree, pos, CASE WHEN n0 = 1 THEN h ELSE sha256(joined) END AS h, count(*) OVER (PARTITION BY tree) AS n
+            FROM (SELECT tree, pos // 8 AS pos, max(n) AS n0, min(h) AS h, string_agg(h, '' ORDER BY pos) AS joined FROM {name}{k} GROUP BY tree, pos // 8))""")
+    return ",\n".join(out)
+
+
+def _way(name: str, key: str, pos: str, levels: int) -> list[str]:
+    """Per level the siblings before and after of a node, as columns of a lateral lookup."""
+    return [
+        f"""(SELECT {{'a': coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < {pos} // {8**k}), ''),
+            'b': coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > {pos} // {8**k}), ''), 'n': max(n)}}
+            FROM {name}{k} t WHERE t.tree = {key} AND t.pos // 8 = {pos} // {8 ** (k + 1)})"""
+        for k in range(levels)
+    ]
+
+
+CRC32 = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda c: unicode(c)::BIGINT),
+    lambda s, c: list_reduce([xor(s, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value}), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def manifest_sql(levels: int = 8, top_levels: int = 4) -> str:
+    """SQL has no loop over levels that ends by itself: enough for 8^levels leaves of a language and 8^top_levels languages."""
+    ways = ", ".join(_way("t", "l.tree", "l.pos", levels) + _way("r", "''", "p.pos", top_levels))
+    return f"""WITH leaves AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf('text')} AS h,
+                   CASE WHEN {CRC32.format(text='doc_id::VARCHAR')} % 3 = 0
+                        THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf('text')} END AS other
+            FROM documents
+        ),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves),
+        {_tree('t', 'placed', levels)},
+        tops AS (SELECT '' AS tree, tree AS lang_key, row_number() OVER (ORDER BY tree) - 1 AS pos, h FROM t{levels}),
+        {_tree('r', 'tops', top_levels)},
+        ways AS (
+            SELECT l.doc_id, l.h AS leaf, l.other, p.h AS subroot, (SELECT h FROM r{top_levels}) AS root,
+                   list_filter([{ways}], lambda x: x.n > 1) AS w
+            FROM placed l JOIN tops p ON p.lang_key = l.tree
+        ),
+        folds AS (
+            SELECT *, list_reduce([{{'a': other, 'b': ''}}] || list_transform(w, lambda x: {{'a': x.a, 'b': x.b}}),
+                lambda node, x: {{'a': sha256(x.a || node.a || x.b), 'b': ''}}).a AS folded_root FROM ways
+        )
+        SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(w, lambda x: x.a || x.b), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folds"""
+
+
 SQL: dict[str, str] = {
+    "op12_merkle_manifest": manifest_sql(),
     "op2_topk_threshold": """
         WITH usable AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
