@@ -86,8 +86,6 @@ def test_two_files_of_one_day_in_one_batch(run):
 
 def test_all_kinds_and_sizes_in_one_stream(spark, run, monkeypatch):
     monkeypatch.setattr(csv_grid, "WHOLE_FILE_BYTES", 1500)
-    for fn in (csv_grid.whole_files, csv_grid.split_grid):
-        monkeypatch.setattr(fn, "__defaults__", (*fn.__defaults__[:-1], 1500))
     land(run, f"{RUN}_Bay_North_raw.XLSX", report(), 1000, write_xlsx)
     land(run, f"{RUN}_Hill_raw.CSV", report(items=ITEMS * 20), 1000)
     land(run, f"{NEXT}_Hill_raw.csv", report("16/04/2026", items=[*ITEMS, ["Long", 5, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, "too", "many"]]), 1000)

@@ -79,6 +79,17 @@ def _is_book(path: str) -> bool:
     return re.search(csv_grid.WORKBOOK, path.lower()) is not None
 
 
+def _by_kind(spark: SparkSession, path: str | list[tuple[str, int]]) -> tuple[str | list[str], str | list[str], bool]:
+    """Where text files are, where workbooks are, and whether a text file must be read in splits."""
+    if isinstance(path, str):
+        large = landed_files(spark, path, None).where(
+            ~F.lower("file_name").rlike(csv_grid.WORKBOOK) & (F.col("length") > csv_grid.WHOLE_FILE_BYTES)
+        )
+        return path, path, not large.isEmpty()
+    texts = [(p, size) for p, size in path if not _is_book(p)]
+    return [p for p, _ in texts], [p for p, _ in path if _is_book(p)], any(size > csv_grid.WHOLE_FILE_BYTES for _, size in texts)
+
+
 def read_report_rows(spark: SparkSession, path: str | list[tuple[str, int]], spec: ReportSpec = ITEM_SALES,
                      extras: list[str] | None = None) -> DataFrame:
     """Report rows of everything that landed below a folder, or of given files ``(path, bytes)``.
@@ -86,37 +97,29 @@ def read_report_rows(spark: SparkSession, path: str | list[tuple[str, int]], spe
     Small and large text files and workbooks; a file that is no workbook by its
     suffix is read as text. ``failed_files`` lists what cannot be used.
     """
-    if isinstance(path, str):
-        texts: str | list[str] = path
-        books: str | list[str] = path
-        large = not landed_files(spark, path, None).where(
-            ~F.lower("file_name").rlike(csv_grid.WORKBOOK) & (F.col("length") > csv_grid.WHOLE_FILE_BYTES)
-        ).isEmpty()
-    else:
-        texts = [p for p, _ in path if not _is_book(p)]
-        books = [p for p, _ in path if _is_book(p)]
-        large = any(size > csv_grid.WHOLE_FILE_BYTES for p, size in path if not _is_book(p))
+    texts, books, large = _by_kind(spark, path)
     parts = []
     if texts:
         parts.append(rows_of_files(csv_grid.whole_files(spark, texts), spec, extras))
     if books:
         parts.append(rows_of_workbooks(xlsx_grid.workbooks(spark, books), spec, extras))
-    if texts and large:
-        parts.append(rows_of_grid(csv_grid.split_grid(spark, texts), spec, extras))
+    if large:
+        grid, heads = csv_grid.split_grid_and_heads(spark, texts)
+        parts.append(rows_of_grid(grid, spec, extras, settle(file_meta(heads))))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def meta_of_files(spark: SparkSession, path: str | list[tuple[str, int]]) -> DataFrame:
     """``file_id, file_name, header, header_row, business_date, error``: one row per landed file that has content."""
-    texts = path if isinstance(path, str) else [p for p, _ in path if not _is_book(p)]
-    books = path if isinstance(path, str) else [p for p, _ in path if _is_book(p)]
+    texts, books, large = _by_kind(spark, path)
     columns = ["file_id", "file_name", "header", "header_row", "business_date"]
     parts = []
     if texts:
-        whole = csv_grid.files_with_meta(csv_grid.whole_files(spark, texts)).select(*columns)
-        grid = csv_grid.split_grid(spark, texts)
-        names = grid.where("row_idx = 0").select("file_id", "file_name")
-        parts += [whole, file_meta(grid).join(names, "file_id").select(*columns)]
+        parts.append(csv_grid.files_with_meta(csv_grid.whole_files(spark, texts)).select(*columns))
+    if large:
+        heads = csv_grid.split_heads(spark, texts)
+        names = heads.where("row_idx = 0").select("file_id", "file_name")
+        parts.append(file_meta(heads).join(names, "file_id").select(*columns))
     if books:
         chunks = xlsx_grid.decode_workbooks(xlsx_grid.workbooks(spark, books))
         parts.append(xlsx_grid.chunks_with_meta(chunks.where("first_row = 0 or error is not null")).select(*columns, "error"))
