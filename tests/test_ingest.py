@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 import pytest
 from fixtures import EXPECTED, HEADER, ITEMS, report, write_csv, write_xlsx
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tillgrid.operators.spec import ITEM_SALES
 from tillgrid.plans import item_sales as plan
 from tillgrid.operators import status
+from tillgrid.sinks import store
 from tillgrid.sinks.tables import append_audit, write_digest, write_kpi, write_report, write_status, write_upload_csv
 from tillgrid.sources import csv_grid
 from tillgrid.sources.landing import landed_files
@@ -28,15 +31,14 @@ def dim(spark):
 
 @pytest.fixture
 def run(spark, dim, tmp_path):
-    landing, table, unmatched = (tmp_path / n for n in ("landing", "table", "unmatched"))
+    landing, place = tmp_path / "landing", str(tmp_path / "store")
     landing.mkdir()
 
     def ingest(**options):
-        query = incremental.ingest(spark, str(landing), dim, str(table), str(unmatched), str(tmp_path / "checkpoint"), **options)
-        query.awaitTermination()
-        return spark.read.parquet(str(table))
+        incremental.ingest(spark, str(landing), dim, place, str(tmp_path / "checkpoint"), **options).awaitTermination()
+        return store.read_report(spark, place)
 
-    ingest.landing, ingest.table, ingest.unmatched, ingest.rejects = landing, str(table), str(unmatched), f"{unmatched}-rejects"
+    ingest.landing, ingest.store = landing, place
     return ingest
 
 
@@ -60,7 +62,7 @@ def test_ingest_and_resend(spark, run):
     assert counted(table) == [("2026-04-15", "Bay-N", 3), ("not a date", "Hill_1", 3)]
     got = table.where("label = 'Bay-N'").orderBy("row_idx").select(*[f"`{c}`" for c in ITEM_SALES.order]).collect()
     assert [tuple(r) for r in got] == EXPECTED
-    unknown = spark.read.parquet(run.unmatched)
+    unknown = store.read_unmatched(spark, run.store)
     assert unknown.count() == 3 and unknown.where("label is not null").count() == 0
 
     assert counted(run()) == [("2026-04-15", "Bay-N", 3), ("not a date", "Hill_1", 3)]  # nothing new
@@ -70,12 +72,14 @@ def test_ingest_and_resend(spark, run):
     assert counted(run()) == [("2026-04-15", "Bay-N", 2), ("2026-04-16", "Hill_1", 3), ("not a date", "Hill_1", 3)]
 
 
-def test_older_file_that_lands_late_does_not_win(run):
+def test_older_file_that_lands_late_does_not_win(spark, run):
     land(run, f"{NEXT}_Bay_North_raw.csv", report(items=ITEMS[:1]), 5000)
     assert counted(run()) == [("2026-04-15", "Bay-N", 1)]
     land(run, f"{RUN}_Bay_North_raw.csv", report(), 4000)
     land(run, f"{RUN}_Hill_raw.csv", report(), 4000)
     assert counted(run()) == [("2026-04-15", "Bay-N", 1), ("2026-04-15", "Hill_1", 3)]
+    outcomes = {(r.modified_at.timestamp(), r.label, r.outcome) for r in store.read_decisions(spark, run.store).collect()}
+    assert outcomes == {(5000, "Bay-N", "accepted"), (4000, "Bay-N", "older"), (4000, "Hill 1", "accepted")}
 
 
 def test_two_files_of_one_day_in_one_batch(run):
@@ -93,14 +97,109 @@ def test_all_kinds_and_sizes_in_one_stream(spark, run, monkeypatch):
     os.utime(run.landing / f"{NEXT}_Bay_North_raw.xlsx", (1000, 1000))
     land(run, f"{RUN}_Moon_raw.csv", report(header=["Menu Item Name", "Other"]), 1000)
     assert counted(run()) == [("2026-04-15", "Bay-N", 3), ("2026-04-15", "Hill_1", 60), ("2026-04-16", "Hill_1", 3)]
-    assert [r.cells[0] for r in spark.read.parquet(f"{run.rejects}/rows").collect()] == ["Long"]
-    bad = {r.file_name: r.error for r in spark.read.parquet(f"{run.rejects}/files").collect()}
+    assert [r.cells[0] for r in store.read_rejects(spark, run.store).collect()] == ["Long"]
+    bad = {r.file_name: r.error for r in store.read_failed(spark, run.store).collect()}
     assert sorted(bad) == [f"{RUN}_Moon_raw.csv", f"{NEXT}_Bay_North_raw.xlsx"]
     assert bad[f"{RUN}_Moon_raw.csv"] == "missing column: Menu Item #"
     land(run, f"{RUN}_Bay_North_raw.csv", report("17/04/2026"), 3000)  # the next batch goes on
     assert ("2026-04-17", "Bay-N", 3) in counted(run())
 
 
+@pytest.mark.parametrize("broken", ["write_files", "write_audit", "write_decisions"])
+def test_a_batch_that_fails_between_two_writes(spark, run, monkeypatch, broken):
+    """Nothing of it is seen; started again, nothing is there twice and nothing is missing."""
+    land(run, f"{RUN}_Bay_North_raw.csv", report(), 1000)
+    assert counted(run()) == [("2026-04-15", "Bay-N", 3)]
+    long = ["Long", 5, 1, 1, 1, 0, 1, 1, 1, 1, 1, 1, "too", "many"]
+    land(run, f"{NEXT}_Bay_North_raw.csv", report(items=[*ITEMS[:2], long]), 2000)
+    land(run, f"{NEXT}_Moon_raw.csv", report(), 2000)
+
+    def fail(*_):
+        raise OSError("disk full")
+
+    def seen():
+        return [
+            counted(store.read_report(spark, run.store)), store.read_unmatched(spark, run.store).count(),
+            store.read_rejects(spark, run.store).count(), store.read_decisions(spark, run.store).count(),
+        ]
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, broken, fail)
+        with pytest.raises(StreamingQueryException):
+            run()
+    assert seen() == [[("2026-04-15", "Bay-N", 3)], 0, 0, 1]
+    run()
+    assert seen() == [[("2026-04-15", "Bay-N", 2)], 3, 1, 3]
+    log = store.read_audit(spark, run.store, incremental.AUDIT).orderBy("run_id").collect()
+    assert [(r.files, r.rows, r.rejects, r.failed, r.outcome) for r in log] == [(1, 3, 0, 0, "ok"), (2, 5, 1, 0, "ok")]
+    assert log[1].bytes == sum(p.stat().st_size for p in run.landing.glob(f"{NEXT}*"))
+
+
+def test_nothing_landed(spark, run, dim, tmp_path):
+    incremental.ingest(spark, str(run.landing), dim, run.store, str(tmp_path / "checkpoint")).awaitTermination()
+    assert store.read_decisions(spark, run.store).count() == 0
+
+
+def stored_files(run, batch="*"):
+    return list(Path(run.store).glob(f"rows/batch={batch}/kind=item/*.parquet"))
+
+
+def test_compaction_beside_an_ingest(spark, run, monkeypatch):
+    for day in range(1, 7):
+        for name in ("Bay_North", "Hill"):
+            land(run, f"{RUN[:-1]}{day}_{name}_raw.csv", report(f"{day:02d}/04/2026"), 1000 + day)
+        run()
+    before = counted(store.read_report(spark, run.store))
+    assert len(before) == 12 and len(stored_files(run)) >= 6
+    assert store.compact(spark, run.store, "2026-04-06") == 1
+    assert counted(store.read_report(spark, run.store)) == before and len(stored_files(run, "-*")) == 1
+    used = {r.file_batch for r in store.current(spark, run.store).where("business_day < '2026-04-06'").collect()}
+    assert len(used) == 1 and used.pop() < 0
+
+    land(run, f"{NEXT}_Hill_raw.csv", report("02/04/2026", items=ITEMS[:1]), 5000)  # sent again after it was packed
+    run()
+    want = [(d, k, 1 if (d, k) == ("2026-04-02", "Hill_1") else n) for d, k, n in before]
+    assert counted(store.read_report(spark, run.store)) == want
+
+    write = store.write_decisions
+
+    def meanwhile(*args):
+        """A report of a day that is being packed comes in before the compaction is seen."""
+        monkeypatch.setattr(store, "write_decisions", write)
+        land(run, f"{NEXT}_Bay_North_raw.csv", report("03/04/2026", items=ITEMS[:2]), 6000)
+        run()
+        write(*args)
+
+    monkeypatch.setattr(store, "write_decisions", meanwhile)
+    store.compact(spark, run.store, "2026-04-06")
+    want = [(d, k, 2 if (d, k) == ("2026-04-03", "Bay-N") else n) for d, k, n in want]
+    assert counted(store.read_report(spark, run.store)) == want
+
+
+def test_a_compaction_that_fails_leaves_nothing_seen(spark, run, monkeypatch):
+    land(run, f"{RUN}_Bay_North_raw.csv", report(), 1000)
+    run()
+
+    def fail(*_):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "write_decisions", fail)
+        with pytest.raises(OSError):
+            store.compact(spark, run.store, "2027")
+    assert counted(store.read_report(spark, run.store)) == [("2026-04-15", "Bay-N", 3)]
+
+
+def test_headers_that_appear_later(spark, run):
+    land(run, f"{RUN}_Bay_North_raw.csv", report(header=[*HEADER, "Cashier"], items=[[*i, "Kim"] for i in ITEMS]), 1000)
+    run()
+    land(run, f"{RUN}_Hill_raw.csv", report("16/04/2026", header=[*HEADER, "Till", "CASHIER", "Order ID"], items=[[*i, "7", "Bo", "x"] for i in ITEMS]), 1000)
+    wide = store.extras_as_columns(run())
+    found = {(r.label, r["CASHIER"], r["Till"], r["Order ID"]) for r in wide.collect()}
+    assert found == {("Bay-N", "Kim", None, ""), ("Hill 1", "Bo", "7", "")}
+    assert {r.extras["Order ID"] for r in wide.where("label = 'Hill 1'").collect()} == {"x"}  # a name of the report's own stays in the map
+
+
 def test_undated_reports_do_not_replace_each_other(run):
     land(run, f"{RUN}_Bay_North_raw.csv", report(""), 1000)
     land(run, f"{NEXT}_Bay_North_raw.csv", report("", items=ITEMS[:1]), 2000)

@@ -140,7 +140,7 @@ def test_quoted_line_break(spark, tmp_path, route):
 
 
 @pytest.mark.parametrize("split", ["7", "23", "64", "100000"])
-def test_splits_give_the_rows_of_whole_files(spark, tmp_path, split):
+def test_splits_give_the_rows_of_whole_files(spark, tmp_path, split, monkeypatch):
     """Random files with quotes, inch marks, doubled quotes and all line breaks, cut anywhere."""
     import random
 
@@ -149,14 +149,10 @@ def test_splits_give_the_rows_of_whole_files(spark, tmp_path, split):
     for i in range(40):
         text = "".join(source.choice(parts) for _ in range(source.randrange(0, 60)))
         (tmp_path / f"f{i}_raw.csv").write_bytes((("\ufeff" if i % 5 == 0 else "") + text).encode())
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
-    try:
-        rows = lambda grid: sorted((r.file_name, r.row_idx, tuple(r.cells)) for r in grid.collect())
-        whole = rows(csv_grid.files_to_rows(csv_grid.whole_files(spark, str(tmp_path))))
-        assert rows(csv_grid.split_grid(spark, str(tmp_path), limit=0)) == whole
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    monkeypatch.setattr(csv_grid, "SPLIT_BYTES", split)
+    rows = lambda grid: sorted((r.file_name, r.row_idx, tuple(r.cells)) for r in grid.collect())
+    whole = rows(csv_grid.files_to_rows(csv_grid.whole_files(spark, str(tmp_path))))
+    assert rows(csv_grid.split_grid(spark, str(tmp_path), limit=0)) == whole
 
 
 def test_suffixes_in_any_case(spark, tmp_path):
@@ -254,19 +250,15 @@ def test_sheet_chunks(spark, tmp_path, monkeypatch):
     assert tuple(row) == (n, n, n * (n - 1) // 2, "15-Apr-2026")
 
 
-def test_large_file_is_read_in_splits(spark, tmp_path):
+def test_large_file_is_read_in_splits(spark, tmp_path, monkeypatch):
     """Many splits of one file give the rows of the whole-file route, in order."""
     items = [[f"item {i}", i, 1, 1, i % 100, 0, 0, 0, "1.5", 0, 0, 2] for i in range(20000)]
     write_csv(tmp_path / "a_raw.csv", report(items=items))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
-    try:
-        grid = csv_grid.split_grid(spark, str(tmp_path), limit=0)
-        split = plan.item_sales(plan.rows_of_grid(grid))
-        assert grid.count() == 20007
-        got = [r[0] for r in split.orderBy("row_idx").select("`POS Item ID *`").collect()]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    monkeypatch.setattr(csv_grid, "SPLIT_BYTES", "100000")
+    grid = csv_grid.split_grid(spark, str(tmp_path), limit=0)
+    split = plan.item_sales(plan.rows_of_grid(grid))
+    assert grid.count() == 20007
+    got = [r[0] for r in split.orderBy("row_idx").select("`POS Item ID *`").collect()]
     assert got == list(range(20000))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.functions.dates import UNDATED, business_day_key, parse_date
@@ -18,7 +18,7 @@ from tillgrid.functions.naming import location_tag_of
 from tillgrid.functions.numbers import is_number
 from tillgrid.functions.text import sanitize
 from tillgrid.operators.header import file_meta, present
-from tillgrid.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
+from tillgrid.operators.joins import BROADCAST_ROWS, lookup_join
 from tillgrid.operators.spec import (
     ITEM_SALES,
     ReportSpec,
@@ -38,7 +38,13 @@ FILE_COLUMNS = ["file_id", "file_name", "modified_at"]
 META_COLUMNS = ["header", "width", "header_row", "business_date", "pos", "injected"]
 
 
-def rows_of_files(files: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None) -> DataFrame:
+def _below_header(marks: bool) -> Column:
+    """Rows below the header; with ``marks`` the header row too, or a row without a number, as the mark of each file."""
+    below = F.col("row_idx") > F.col("header_row")
+    return below | (F.col("row_idx") == F.col("header_row")) | F.col("row_idx").isNull() if marks else below
+
+
+def rows_of_files(files: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None, marks: bool = False) -> DataFrame:
     """Report rows of whole text files; header and rows are taken in one pass without a shuffle.
 
     The outer explode and the one-element explodes keep the optimizer from
@@ -49,21 +55,21 @@ def rows_of_files(files: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[
     once = meta.select(*FILE_COLUMNS, "records", F.explode(F.array(F.struct(*META_COLUMNS))).alias("_file"))
     lines = once.select(
         *FILE_COLUMNS, "_file.*", F.posexplode_outer("records").alias("row_idx", "line")
-    ).where(F.col("row_idx") > F.col("header_row"))
+    ).where(_below_header(marks))
     return lines.select(
         *FILE_COLUMNS, *META_COLUMNS, F.col("row_idx").cast("bigint").alias("row_idx"),
         F.explode(F.array(csv_grid.cells(F.col("line")))).alias("cells"),
     )
 
 
-def rows_of_workbooks(books: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None) -> DataFrame:
+def rows_of_workbooks(books: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None, marks: bool = False) -> DataFrame:
     chunks = xlsx_grid.chunks_with_meta(xlsx_grid.decode_workbooks(books))
-    rows = xlsx_grid.chunks_to_rows(with_positions(chunks, spec, extras))
-    return rows.where(F.col("row_idx") > F.col("header_row"))
+    rows = xlsx_grid.chunks_to_rows(with_positions(chunks, spec, extras), marks)
+    return rows.where(_below_header(marks))
 
 
 def rows_of_grid(grid: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[str] | None = None,
-                 meta: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 meta: DataFrame | None = None, max_rows: int = BROADCAST_ROWS, marks: bool = False) -> DataFrame:
     """Report rows of a grid: the scalars of each file are joined to its rows.
 
     The scalars are checkpointed, so that counting them (to see whether they
@@ -72,7 +78,7 @@ def rows_of_grid(grid: DataFrame, spec: ReportSpec = ITEM_SALES, extras: list[st
     if meta is None:
         meta = settle(file_meta(grid))
     rows = lookup_join(grid, with_positions(meta, spec, extras), "file_id", "inner", max_rows)
-    return rows.where(F.col("row_idx") > F.col("header_row"))
+    return rows.where(_below_header(marks))
 
 
 def _is_book(path: str) -> bool:
@@ -91,22 +97,51 @@ def _by_kind(spark: SparkSession, path: str | list[tuple[str, int]]) -> tuple[st
 
 
 def read_report_rows(spark: SparkSession, path: str | list[tuple[str, int]], spec: ReportSpec = ITEM_SALES,
-                     extras: list[str] | None = None) -> DataFrame:
+                     extras: list[str] | None = None, marks: bool = False) -> DataFrame:
     """Report rows of everything that landed below a folder, or of given files ``(path, bytes)``.
 
     Small and large text files and workbooks; a file that is no workbook by its
-    suffix is read as text. ``failed_files`` lists what cannot be used.
+    suffix is read as text. ``failed_files`` lists what cannot be used; with
+    ``marks`` each file has a row of its own too (see ``tagged_rows``).
     """
     texts, books, large = _by_kind(spark, path)
     parts = []
     if texts:
-        parts.append(rows_of_files(csv_grid.whole_files(spark, texts), spec, extras))
+        parts.append(rows_of_files(csv_grid.whole_files(spark, texts), spec, extras, marks))
     if books:
-        parts.append(rows_of_workbooks(xlsx_grid.workbooks(spark, books), spec, extras))
+        parts.append(rows_of_workbooks(xlsx_grid.workbooks(spark, books), spec, extras, marks))
     if large:
         grid, heads = csv_grid.split_grid_and_heads(spark, texts)
-        parts.append(rows_of_grid(grid, spec, extras, settle(file_meta(heads))))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(rows_of_grid(grid, spec, extras, settle(file_meta(heads)), marks=marks))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _file_error(spec: ReportSpec) -> Column:
+    """Why a file gives no rows; null if it does."""
+    lacks = ~F.coalesce(F.array_contains(F.array_compact("header"), spec.key), F.lit(False))
+    return F.coalesce("error", F.when(lacks, F.lit(f"missing column: {spec.key}")))
+
+
+def tagged_rows(rows: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str = "map") -> DataFrame:
+    """All that one pass over report rows with marks tells, by ``kind``.
+
+    ``item`` rows have the target columns, ``reject`` rows (longer than their
+    header) their cells, and ``file`` rows, at least one per file that has
+    content, the reason why a file cannot be used.
+    """
+    mark = F.coalesce(F.col("row_idx") == F.col("header_row"), F.lit(True))
+    long = F.coalesce(F.size("cells") > F.col("width"), F.lit(False))
+    error = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
+    key = F.coalesce(is_number(raw_cell(spec, spec.key)), F.lit(False))
+    kind = F.when(mark, "file").when(long, "reject").when(key, "item")
+    told = rows.withColumn("error", error).withColumn("kind", kind).where(F.col("kind").isNotNull())
+    more = [extra_map(spec).alias("extras")] if extras == "map" else []
+    item = F.col("kind") == "item"
+    built = told.select(
+        *FILE_COLUMNS, "business_date", "row_idx", "kind", F.when(item, F.struct(*target_columns(spec), *more)).alias("_item"),
+        F.when(F.col("kind") == "reject", F.col("cells")).alias("cells"), F.when(F.col("kind") == "file", _file_error(spec)).alias("error"),
+    )
+    return built.select(*[c for c in built.columns if c != "_item"], "_item.*")
 
 
 def meta_of_files(spark: SparkSession, path: str | list[tuple[str, int]]) -> DataFrame:
@@ -130,9 +165,7 @@ def meta_of_files(spark: SparkSession, path: str | list[tuple[str, int]]) -> Dat
 def failed_files(spark: SparkSession, path: str | list[tuple[str, int]], spec: ReportSpec = ITEM_SALES) -> DataFrame:
     """``file_id, file_name, error`` of files that give no rows: unreadable, or without the key column."""
     meta = meta_of_files(spark, path)
-    lacks = ~F.coalesce(F.array_contains(F.array_compact("header"), spec.key), F.lit(False))
-    reason = F.coalesce("error", F.when(lacks, F.lit(f"missing column: {spec.key}")))
-    return meta.select("file_id", "file_name", reason.alias("error")).where(F.col("error").isNotNull())
+    return meta.select("file_id", "file_name", _file_error(spec).alias("error")).where(F.col("error").isNotNull())
 
 
 def rejected_rows(rows: DataFrame) -> DataFrame:
@@ -219,22 +252,10 @@ def for_sink(sales: DataFrame, spec: ReportSpec = ITEM_SALES) -> DataFrame:
     )
 
 
-def newest_only(sales: DataFrame, done: DataFrame | None = None) -> DataFrame:
-    """Keep, for each business day and location, the rows of the newest file.
-
-    ``done`` are the rows already in the table; an incoming file that is older
-    than what is there is left out.
-    """
+def newest_only(sales: DataFrame) -> DataFrame:
+    """Keep, for each business day and location, the rows of the newest file."""
     stamp = F.struct("modified_at", "file_name")
     newest = sales.groupBy(*REPORT_PARTITIONS).agg(F.max(stamp).alias("_newest"))
-    if done is not None:
-        # Partition columns only meet the keys of this batch, so other partitions are not read.
-        keys = newest.select(*REPORT_PARTITIONS)
-        touched = done.join(F.broadcast(keys) if fits_broadcast(keys) else keys, REPORT_PARTITIONS, "left_semi")
-        there = touched.groupBy(*REPORT_PARTITIONS).agg(F.max(stamp).alias("_there"))
-        newest = lookup_join(newest, there, REPORT_PARTITIONS).where(
-            F.col("_there").isNull() | (F.col("_newest") >= F.col("_there"))
-        ).drop("_there")
     kept = lookup_join(sales, newest, REPORT_PARTITIONS, "inner")
     return kept.where(stamp == F.col("_newest")).drop("_newest")
 

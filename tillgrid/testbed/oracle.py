@@ -406,6 +406,13 @@ SQL: dict[str, str] = {
         SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {business_day(INGEST_NAME)} AS business_day,
         {sanitized("('Label ' || file_id)")} AS location_key
         FROM item_rows WHERE s % 17 NOT IN (3, 5, 7, 9, 11, 13)""",
+    "ingest_outcomes": f"""WITH {META}, keyless AS (SELECT file_id FROM meta WHERE file_id NOT IN (SELECT file_id FROM header WHERE name = 'Menu Item #'))
+        SELECT file_id, business_date,
+        CASE WHEN file_id IN (FROM keyless) THEN 'failed' WHEN s % 17 IN (3, 5, 7, 9, 11, 13) THEN 'unmatched' ELSE 'accepted' END AS outcome,
+        CASE WHEN file_id IN (FROM keyless) THEN 'missing column: Menu Item #' ELSE '' END AS error FROM meta""",
+    "sales_audit": f"""WITH {ITEM_ROWS}, keyless AS (SELECT file_id FROM meta WHERE file_id NOT IN (SELECT file_id FROM header WHERE name = 'Menu Item #'))
+        SELECT 'transform' AS stage, 'take_up' AS step, (SELECT count(*) FROM meta)::BIGINT AS files, (SELECT count(*) FROM item_rows)::BIGINT AS rows,
+        0::BIGINT AS rejects, (SELECT count(*) FROM keyless)::BIGINT AS failed""",
     # projections and filters
     "header_clean": f"WITH {META} SELECT file_id, position, name FROM header",
     "strip_totals": f"WITH {ITEM_ROWS} SELECT file_id, row_idx, cells[k] AS item FROM body WHERE {_cell('k')} IS NOT NULL",

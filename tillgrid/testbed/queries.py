@@ -18,9 +18,10 @@ from tillgrid.operators.spec import ITEM_SALES, raw_cell, target_columns
 from tillgrid.plans import item_sales as sales
 from tillgrid.plans import kpi_report
 from tillgrid.session import scratch_dir, settle
+from tillgrid.sinks import store
 from tillgrid.sinks.tables import append_audit, write_kpi, write_report
 from tillgrid.sources import csv_grid, landing, payloads, xlsx_grid
-from tillgrid.streaming.incremental import ingest
+from tillgrid.streaming.incremental import AUDIT, ingest
 from tillgrid.testbed import tables as t
 from tillgrid.testbed.workbook import workbook_bytes
 
@@ -178,22 +179,46 @@ def audit_rows(spark, sf):
     return spark.read.schema(records.schema).json(path)
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _store(spark, sf) -> str:
+    """A store that took up all reports as landed files, filled once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        landed, path = scratch_dir(spark, "landing"), scratch_dir(spark, "store")
+        t.land_csv(t.landed(spark, sf, t.report_grid), landed)
+        of_report = t.landed_id(F.col("file_id"))
+        name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(of_report)), F.lit("_raw.csv"))
+        dim = locations.active_locations(t.report_dim(spark, sf))
+        ingest(spark, landed, dim, path, scratch_dir(spark, "ingest"), glob="*.txt", file_name=name).awaitTermination()
+        _STORES[key] = path
+    return _STORES[key]
+
+
 @query
 def ingest_incremental(spark, sf):
-    landed, table = scratch_dir(spark, "landing"), scratch_dir(spark, "table")
-    t.land_csv(t.landed(spark, sf, t.report_grid), landed)
-    key = t.landed_id(F.col("file_id"))
-    name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(key)), F.lit("_raw.csv"))
-    dim = locations.active_locations(t.report_dim(spark, sf))
-    ingest(spark, landed, dim, table, scratch_dir(spark, "unmatched"), scratch_dir(spark, "ingest"),
-           glob="*.txt", file_name=name).awaitTermination()
     columns = [f"`{c}`" for c in ITEM_SALES.order]
-    return spark.read.parquet(table).select(
-        t.landed_id(F.col("file_id")).alias("file_id"), "row_idx", *columns,
-        F.col("business_day").cast("string"), F.col("location_key").cast("string"),
+    return store.read_report(spark, _store(spark, sf)).select(
+        t.landed_id(F.col("file_id")).alias("file_id"), "row_idx", *columns, "business_day", "location_key"
     )
 
 
+@query
+def ingest_outcomes(spark, sf):
+    """What became of each landed file."""
+    return store.read_decisions(spark, _store(spark, sf)).select(
+        t.landed_id(F.col("file_id")).alias("file_id"), "business_date", "outcome", F.coalesce("error", F.lit("")).alias("error")
+    )
+
+
+@query
+def sales_audit(spark, sf):
+    """Counts of the audit log, observed while the reports were taken up; all batches together."""
+    log = store.read_audit(spark, _store(spark, sf), AUDIT)
+    return log.groupBy("stage", "step").agg(*[F.sum(c).alias(c) for c in ("files", "rows", "rejects", "failed")])
+
+
 # ---- projections and filters -----------------------------------------------------------------
 
 
