@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillgrid.operators.spec import ITEM_SALES
 from tillgrid.plans import item_sales as plan
+from tillgrid.plans import status_report
 from tillgrid.operators import status
 from tillgrid.sinks import store
 from tillgrid.sinks.tables import append_audit, write_digest, write_kpi, write_report, write_status, write_upload_csv
@@ -304,3 +305,41 @@ def test_files_of_any_age_are_taken_up(spark, tmp_path):
         stream = landing_stream(spark, str(tmp_path / "in")).writeStream.option("checkpointLocation", str(tmp_path / "done")).trigger(availableNow=True)
         stream.foreachBatch(lambda batch, _: seen.extend(r.path.rsplit("/", 1)[-1] for r in batch.collect())).start().awaitTermination()
     assert seen == ["new.csv", "old.csv"]
+
+
+def test_slices_of_the_table_read_their_folders_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    days = F.date_format(F.date_add(F.lit("2026-04-01").cast("date"), (F.col("id") % 20).cast("int")), "yyyy-MM-dd")
+    rows = spark.range(2000).select("id", days.alias("business_day"), F.concat(F.lit("L_"), F.col("id") % 7).alias("location_key"))
+    write_report(rows, path)
+    places = locations_from_config(spark, [{"pos_name": "a", "l": "L 3"}, {"pos_name": "b", "l": "L 5"}, {"pos_name": "c", "l": "other"}], "l")
+    table = spark.read.schema("id bigint, business_day string, location_key string").parquet(path)
+    dates = [F.lit(d).cast("date") for d in ("2026-04-05", "2026-04-08")]
+    got = plan.reports_of(table, places.where("pos_name <> 'c'"), *dates)
+    assert {(r.business_day, r.location_key) for r in got.collect()} == {(f"2026-04-0{d}", f"L_{k}") for d in (5, 6, 7) for k in (3, 5)}
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text and "business_day" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_replay_of_a_run(spark, dim, tmp_path):
+    for name, at in ((f"{RUN}_Bay_North", 1000), (f"{RUN}_Hill", 1500), (f"{NEXT}_Hill", 2000)):
+        os.utime(write_csv(tmp_path / f"{name}_raw.csv", report(items=ITEMS[: 1 + at // 1000])), (at, at))
+    (tmp_path / "notes.txt").write_text("x")
+    newest = plan.files_of_run(spark, str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p, _ in newest] == [f"{NEXT}_Hill_raw.csv"]
+    run_files = plan.files_of_run(spark, str(tmp_path), RUN)
+    assert len(run_files) == 2 and plan.files_of_run(spark, str(tmp_path), "20000101T000000_00000000") == []
+    table, unmatched = plan.sales_of_run(spark, run_files, dim)
+    assert counted(table) == [("2026-04-15", "Bay-N", 2), ("2026-04-15", "Hill_1", 2)] and unmatched.count() == 0
+
+
+def test_outcome_of_a_store(spark, run, dim, tmp_path):
+    land(run, f"{RUN}_Bay_North_raw.csv", report(), 1000)
+    land(run, f"{RUN}_Hill_raw.csv", report(header=["Menu Item Name", "x"]), 1000)
+    run()
+    results = status_report.write_outcome(spark, run.store, dim, RUN, str(tmp_path / "out"))
+    assert [(r.label, r.ok, r.row_count, r.error) for r in results.orderBy("ordinal").collect()] == [
+        ("Bay-N", True, 3, ""), ("Hill 1", False, 0, "missing column: Menu Item #"),
+    ]
+    lines = [r.value for r in spark.read.text(str(tmp_path / "out" / "digest" / RUN)).collect()]
+    assert lines[-1].startswith("Hill 1 ") and lines[-1].endswith("❌  missing column: Menu Item #")

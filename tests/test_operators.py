@@ -329,3 +329,43 @@ def test_spec_from_config():
     spec = spec_from_config(config)
     assert (spec.targets, spec.known, spec.order) == (["Id", "Day"], ["Menu Item #", "Returns"], ["Day", "Id"])
     assert spec.output_date_format == "%Y-%m-%d" and spec.raw_date_format == "%d/%m/%Y"
+
+
+# ---- malformed payloads and lost pages -------------------------------------------------------
+
+
+def nested(data):
+    return f'{{"data":[{{"tables":[{{"content":[{{"content":[{{"content":[{{"data":{data}}}]}}]}}]}}]}}]}}'
+
+
+def test_malformed_payloads_are_told_from_empty_ones(spark):
+    whole = nested('{"total":{"turnover":5}}')
+    payloads_by_kind = {
+        "ok": [whole, f" {whole}\n"], "no_data": [nested("{}"), nested("null"), '{"data":[]}', "{}", "[]", "null"],
+        "failed": [whole[:-1], whole[: len(whole) // 2], "", "not json", None],
+    }
+    rows_in = [(f"{kind}{i}", p) for kind, given in payloads_by_kind.items() for i, p in enumerate(given)]
+    df = spark.createDataFrame(rows_in, "id string, payload string")
+    got = {r.id: r.outcome for r in kpi.kpi_outcomes(df).collect()}
+    assert got == {name: name.rstrip("0123456789") for name, _ in rows_in}
+    reasons = {r.id: r.reason for r in kpi.kpi_rejects(df).collect()}
+    assert len(reasons) == 11 and reasons["failed0"] == "malformed payload" and reasons["no_data0"] == "empty report"
+
+
+def page(number, entries):
+    return number, json.dumps({"data": [{"name": f"n{number}-{i}", "id": i} for i in range(entries)]})
+
+
+@pytest.mark.parametrize(("given", "found"), [
+    ([], []),
+    ([(0, 1)], []),
+    ([(0, 2), (1, 2), (2, 1)], []),
+    ([(2, 2), (3, 1)], [("missing", 0, 1)]),
+    ([(0, 2), (2, 2), (2, 2), (3, 0), (9, 2)], [("double", 2, 2), ("missing", 1, 1), ("missing", 4, 8), ("short", 3, 3)]),
+    ([(5, 1), (5, 1), (7, 2)], [("double", 5, 5), ("missing", 0, 4), ("missing", 6, 6), ("short", 5, 5)]),
+])
+def test_page_gaps(spark, given, found):
+    pages = spark.createDataFrame([page(*p) for p in given], "page bigint, payload string")
+    gaps = payloads.page_gaps(pages, 2)
+    assert sorted(map(tuple, gaps.collect())) == found
+    assert payloads.pages_complete(pages, 2).first().complete in ((True,) if given and not found else (False, None))

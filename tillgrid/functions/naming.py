@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillgrid.functions.numbers import plain, two_places
+from tillgrid.functions.numbers import plain, thousands, two_places
 from tillgrid.functions.text import sanitize
 
 # Fixed value: {run_id}[_{location}]_raw.{suffix}
@@ -47,8 +47,24 @@ def summary_subject(day_text: Column, ok: Column, total: Column, title: str = "[
 
 def kpi_message(label: Column, pos_name: Column, day_text: Column, turnover: Column, products: Column,
                 currency: str = "SAR") -> Column:
+    # The lines of the message.
     return F.concat(
         F.lit("Daily POS report for "), label, F.lit(" ("), pos_name, F.lit(")\nDate: "), day_text,
         F.lit("\n\nTurnover: "), two_places(turnover), F.lit(f" {currency}\nProducts: "), plain(products),
         F.lit("\n"),
     )
+
+
+def sales_message(label: Column, day_text: Column, row_count: Column, file_name: Column, run_id: Column, sender: str = "report pipeline") -> Column:
+    """Text that goes with an item-sales report; the shorter form where no label is known."""
+    # The lines of the message.
+    known = F.concat(
+        F.lit("Please find attached the daily POS Sales Report for:\n\n  • Location : "), label, F.lit("\n  • Date     : "), day_text,
+        F.lit("\n  • Rows     : "), thousands(row_count), F.lit("\n  • File     : "), file_name, F.lit("\n  • Run ID   : "), run_id,
+    )
+    unknown = F.concat(
+        F.lit("Please find attached the daily POS Sales Report for "), day_text, F.lit(".\n\n  • Rows: "), thousands(row_count),
+        F.lit("\n  • File: "), file_name, F.lit("\n  • Run ID: "), run_id,
+    )
+    body = F.when(F.nullif(label, F.lit("")).isNotNull(), known).otherwise(unknown)
+    return F.concat(F.lit("Hi,\n\n"), body, F.lit(f"\n\nThis report was generated automatically by the {sender}.\n\nRegards,\n{sender}"))

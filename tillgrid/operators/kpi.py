@@ -56,6 +56,24 @@ def kpi_extract(reports: DataFrame, payload: str = "payload") -> DataFrame:
     return found.withColumn("entry_json", text).withColumn("entry", F.from_json("_found", ENTRY_SCHEMA)).drop("_found")
 
 
+def kpi_outcomes(reports: DataFrame, payload: str = "payload") -> DataFrame:
+    """``outcome`` and ``reason`` of each payload beside its other columns.
+
+    ``ok`` has an entry, ``no_data`` is JSON without one or with an empty one,
+    ``failed`` is no JSON, also where the text breaks off behind an entry.
+    """
+    told = reports.withColumn("_valid", F.try_parse_json(payload).isNotNull())
+    found = kpi_extract(told, payload)
+    outcome = F.when(~F.col("_valid"), "failed").when(F.col("entry_json").isNull(), "no_data").otherwise("ok")
+    reason = F.when(~F.col("_valid"), "malformed payload").when(F.col("entry_json").isNull(), "empty report").otherwise("")
+    return found.withColumn("outcome", outcome).withColumn("reason", reason).drop("_valid")
+
+
+def kpi_rejects(reports: DataFrame, payload: str = "payload") -> DataFrame:
+    """Reports without figures, with the reason: malformed ones apart from empty ones."""
+    return kpi_outcomes(reports, payload).where("outcome <> 'ok'").drop("entry", "entry_json")
+
+
 def with_entry(extracted: DataFrame) -> DataFrame:
     return extracted.where(F.col("entry_json").isNotNull())
 

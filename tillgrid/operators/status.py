@@ -107,6 +107,15 @@ def kpi_digest_lines(results: DataFrame) -> DataFrame:
     return results.select("ordinal", line.alias("line")).orderBy("ordinal")
 
 
+def kpi_digest_head(results: DataFrame, report_date: str, title: str = "Daily Run Summary") -> DataFrame:
+    """The lines above the KPI digest, in order: ``position, line``, with two-way counts."""
+    lines = F.array(
+        F.lit(f"{title} — {report_date}"), F.concat(F.lit(f"  {OK_MARK} Succeeded : "), "ok"), F.concat(F.lit(f"  {FAILED_MARK} Failed    : "), "fail"),
+        F.concat(F.lit("  Total       : "), "total"), F.lit(""), F.lit("─" * 50),
+    )
+    return ok_counts(results).select(F.posexplode(lines).alias("position", "line"))
+
+
 def audit_records(facts: DataFrame, run_id: str, stage: str, step: str, ts: Column,
                   outcome: Column, extras: list[str]) -> DataFrame:
     """Audit records with the extra fields next to the fixed ones, ready for JSON lines."""

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillgrid.functions.dates import UNDATED, business_day_key, parse_date
+from tillgrid.functions.dates import UNDATED, before_run, business_day_key, parse_date
 from tillgrid.functions.naming import location_tag_of
 from tillgrid.functions.numbers import is_number
 from tillgrid.functions.text import sanitize
@@ -32,7 +32,7 @@ from tillgrid.operators.spec import (
 from tillgrid.session import settle
 from tillgrid.sinks.tables import REPORT_PARTITIONS
 from tillgrid.sources import csv_grid, xlsx_grid
-from tillgrid.sources.landing import landed_files, latest_files
+from tillgrid.sources.landing import landed_files, latest_files, with_provenance
 
 FILE_COLUMNS = ["file_id", "file_name", "modified_at"]
 META_COLUMNS = ["header", "width", "header_row", "business_date", "pos", "injected"]
@@ -260,8 +260,30 @@ def newest_only(sales: DataFrame) -> DataFrame:
     return kept.where(stamp == F.col("_newest")).drop("_newest")
 
 
-def sales_of_run(spark: SparkSession, path: str, dim: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str = "map") -> tuple[DataFrame, DataFrame]:
-    """The report table of everything below a folder, the newest file of a location and day; and what matches no location."""
+def reports_of(table: DataFrame, places: DataFrame, start: Column | None = None, run_date: Column | None = None) -> DataFrame:
+    """Reports of some locations (rows of a mapping), and of the days from ``start`` up to the one before the run.
+
+    The table's folders are by day and location: days are pruned as the query is
+    planned, locations while it runs, by the keys of the mapping's rows.
+    """
+    wanted = places.select(sanitize(F.col("label")).alias("location_key")).distinct()
+    if start is not None and run_date is not None:
+        table = table.where(before_run(F.col("business_day"), start.cast("string"), run_date.cast("string")))
+    return lookup_join(table, wanted, "location_key", "left_semi")
+
+
+def files_of_run(spark: SparkSession, path: str, run_id: str | None = None) -> list[tuple[str, int]]:
+    """Raw files of one run below a folder, or the newest raw file, as ``sales_of_run`` takes them for a replay."""
+    files = with_provenance(landed_files(spark, path))
+    if run_id is None:
+        chosen = files.orderBy(F.col("modified_at").desc(), F.col("file_name").desc()).limit(1)
+    else:
+        chosen = files.where(F.col("run_id") == run_id)
+    return [(r.file_id, r.length) for r in chosen.select("file_id", "length").collect()]
+
+
+def sales_of_run(spark: SparkSession, path: str | list[tuple[str, int]], dim: DataFrame, spec: ReportSpec = ITEM_SALES, extras: str = "map") -> tuple[DataFrame, DataFrame]:
+    """The report table of everything below a folder or of given files, the newest file of a location and day; and what matches no location."""
     keep = (*FILE_COLUMNS, "business_date", "row_idx")
     sales = for_sink(with_location(item_sales(read_report_rows(spark, path, spec), spec, extras, keep), dim), spec)
     return newest_only(sales.where(F.col("label").isNotNull())), sales.where(F.col("label").isNull())

@@ -373,6 +373,19 @@ def _report_subject(label: str, day: str) -> str:
     return f"'POS Sales Report — ' || {label} || ' — ' || {day}"
 
 
+STATUS_ROWS = f"""{ITEM_ROWS},
+keyless AS (SELECT file_id FROM meta WHERE file_id NOT IN (SELECT file_id FROM header WHERE name = 'Menu Item #')),
+counted AS (SELECT file_id, count(*) AS n FROM item_rows GROUP BY file_id),
+statuses AS (
+  SELECT {PLACE_NAME} AS pos_name, 'Label ' || file_id AS label, file_id NOT IN (FROM keyless) AS ok, false AS no_data,
+         CASE WHEN file_id IN (FROM keyless) THEN 3 ELSE 4 END AS stage,
+         CASE WHEN file_id IN (FROM keyless) THEN 'missing column: Menu Item #' ELSE '' END AS error, coalesce(n, 0)::BIGINT AS row_count,
+         CASE WHEN n IS NULL THEN '' ELSE business_date END AS business_date,
+         CASE WHEN file_id IN (FROM keyless) THEN 'failed' ELSE 'ok' END AS status,
+         s * 1000000 + regexp_extract(file_id, '-([0-9]+)$', 1)::BIGINT AS ordinal
+  FROM meta LEFT JOIN counted USING (file_id) WHERE s % 17 NOT IN (3, 5, 7, 9, 11, 13)
+)"""
+
 SQL: dict[str, str] = {
     # sources and sinks
     "src_csv_grid": f"WITH {GRID} {_LAND}",
@@ -386,6 +399,16 @@ SQL: dict[str, str] = {
         (count(*) OVER (PARTITION BY seq // 500))::INT AS entries FROM listed""",
     "pages_complete": f"""WITH {WORKPLACES} SELECT count(DISTINCT seq // 500) AS pages, count(*) AS entries,
         count(*) % 500 <> 0 AS complete FROM listed""",
+    "page_gaps": """WITH listed AS (SELECT c_custkey // 10 AS p, count(*) AS entries FROM customer GROUP BY 1),
+        placed AS (SELECT p + 2 + p // 5 + 3 * (p // 11) AS page, entries, p % 13 = 5 AS twice FROM listed),
+        ordered AS (SELECT *, lag(page, 1, -1) OVER (ORDER BY page) AS before, max(page) OVER () AS last FROM placed)
+        SELECT 'missing' AS kind, before + 1 AS first_page, page - 1 AS last_page FROM ordered WHERE page - before > 1
+        UNION ALL SELECT 'double', page, page FROM ordered WHERE twice
+        UNION ALL SELECT 'short', page, page FROM ordered WHERE entries < 10 AND page <> last""",
+    "kpi_rejects": f"""WITH {KPI} SELECT workplace_id, report_date::VARCHAR AS report_date,
+        CASE WHEN k % 29 = 0 THEN 'no_data' WHEN k % 31 = 0 THEN 'failed' WHEN k % 37 = 0 THEN 'no_data' ELSE 'failed' END AS outcome,
+        CASE WHEN k % 29 = 0 THEN 'empty report' WHEN k % 31 = 0 THEN 'malformed payload' WHEN k % 37 = 0 THEN 'empty report' ELSE 'malformed payload' END AS reason
+        FROM kpi WHERE is_empty OR k % 11 = 0""",
     "latest_file": f"""WITH {PROVENANCE} SELECT location_tag, suffix,
         max_by(file_id, (modified_at, file_name)) AS file_id FROM provenance
         WHERE location_tag IS NOT NULL GROUP BY 1, 2""",
@@ -395,6 +418,10 @@ SQL: dict[str, str] = {
         located AS (SELECT * FROM item_rows JOIN active ON ordinal = item_rows.s)
         SELECT file_id, row_idx, {INJECTED}, {MAPPED}, {business_day(RAW_NAME)} AS business_day,
         {sanitized('label')} AS location_key FROM located""",
+    "report_slice": f"""WITH {ITEM_ROWS}, {ACTIVE},
+        located AS (SELECT *, {business_day(RAW_NAME)} AS business_day FROM item_rows JOIN active ON ordinal = item_rows.s)
+        SELECT file_id, row_idx, business_day, {sanitized('label')} AS location_key FROM located
+        WHERE ordinal % 3 = 0 AND business_day >= '1998-08-01' AND business_day < '1998-12-01'""",
     "sink_kpi": KPI_WIDE,
     "audit_rows": f"""WITH {ITEM_ROWS},
         keyless AS (SELECT file_id FROM meta WHERE file_id NOT IN (SELECT file_id FROM header WHERE name = 'Menu Item #'))
@@ -410,6 +437,15 @@ SQL: dict[str, str] = {
         SELECT file_id, business_date,
         CASE WHEN file_id IN (FROM keyless) THEN 'failed' WHEN s % 17 IN (3, 5, 7, 9, 11, 13) THEN 'unmatched' ELSE 'accepted' END AS outcome,
         CASE WHEN file_id IN (FROM keyless) THEN 'missing column: Menu Item #' ELSE '' END AS error FROM meta""",
+    "sales_status": f"""WITH {STATUS_ROWS} SELECT * EXCLUDE (status, ordinal) FROM statuses""",
+    "sales_digest": f"""WITH {STATUS_ROWS}, counts AS (
+        SELECT count(*) FILTER (WHERE status = 'ok') AS succeeded, count(*) FILTER (WHERE status = 'no_data') AS no_data,
+               count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total FROM statuses),
+        first_date AS (SELECT coalesce(min_by(business_date, ordinal) FILTER (WHERE business_date <> ''), '') AS report_date FROM statuses)
+        SELECT unnest(['Daily Run Summary — ' || report_date, 'Run ID: run-1', '', '  ✅  Succeeded : ' || succeeded,
+        '  –   No data   : ' || no_data, '  ❌  Failed    : ' || failed, '  Total         : ' || total, '', repeat('─', 60),
+        rpad('Location', 45, ' ') || '   Rows  Status', repeat('─', 60)]) AS line FROM counts, first_date
+        UNION ALL SELECT rpad(substr(label, 1, 45), 45, ' ') || '  ' || {_STATUS_TEXT} FROM statuses""",
     "sales_audit": f"""WITH {ITEM_ROWS}, keyless AS (SELECT file_id FROM meta WHERE file_id NOT IN (SELECT file_id FROM header WHERE name = 'Menu Item #'))
         SELECT 'transform' AS stage, 'take_up' AS step, (SELECT count(*) FROM meta)::BIGINT AS files, (SELECT count(*) FROM item_rows)::BIGINT AS rows,
         0::BIGINT AS rejects, (SELECT count(*) FROM keyless)::BIGINT AS failed""",
@@ -497,6 +533,16 @@ SQL: dict[str, str] = {
     "kpi_message": KPI_ROWS.format(columns=(
         "code, report_date::VARCHAR AS report_date, 'Daily POS report for ' || label || ' (' || pos_name || ')' || chr(10) || 'Date: ' || "
         "report_date || chr(10) || chr(10) || 'Turnover: ' || " + money("cents") + " || ' SAR' || chr(10) || 'Products: ' || n || chr(10) AS message")),
+    "sales_message": f"""WITH {RESULTS} SELECT ordinal, 'Hi,' || chr(10) || chr(10) || (CASE WHEN ordinal % 5 <> 0
+        THEN 'Please find attached the daily POS Sales Report for:' || chr(10) || chr(10) || '  • Location : ' || label || chr(10) || '  • Date     : ' || business_date
+          || chr(10) || '  • Rows     : ' || format('{{:,}}', row_count) || chr(10) || '  • File     : ' || {sanitized('label')} || '.csv' || chr(10) || '  • Run ID   : run-1'
+        ELSE 'Please find attached the daily POS Sales Report for ' || business_date || '.' || chr(10) || chr(10) || '  • Rows: ' || format('{{:,}}', row_count)
+          || chr(10) || '  • File: ' || {sanitized('label')} || '.csv' || chr(10) || '  • Run ID: run-1' END)
+        || chr(10) || chr(10) || 'This report was generated automatically by the report pipeline.' || chr(10) || chr(10) || 'Regards,' || chr(10) || 'report pipeline' AS message
+        FROM results WHERE ok""",
+    "kpi_digest_head": f"""WITH {KPI_STATUS}, c AS (SELECT count(*) FILTER (WHERE ok) AS ok, count(*) FILTER (WHERE NOT ok) AS fail, count(*) AS total FROM kpi_status)
+        SELECT (row_number() OVER () - 1)::INT AS position, line FROM (SELECT unnest(['Daily Run Summary — 2024-01-31', '  ✅ Succeeded : ' || ok,
+        '  ❌ Failed    : ' || fail, '  Total       : ' || total, '', repeat('─', 50)]) AS line FROM c)""",
     "digest_lines": f"WITH {RESULTS} SELECT label, ordinal, rpad(substr(label, 1, 45), 45, ' ') || '  ' || {_STATUS_TEXT} AS line FROM results",
     "digest_head": f"""WITH {RESULTS}, {COUNTS} SELECT (row_number() OVER () - 1)::INT AS position, line FROM (
         SELECT unnest(['Daily Run Summary — ' || report_date, 'Run ID: run-1', '', '  ✅  Succeeded : ' || succeeded,

@@ -9,18 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillgrid.functions.dates import before_run, reformat_date
-from tillgrid.functions.naming import kpi_message, kpi_output_name, output_name, report_subject, summary_subject
+from tillgrid.functions.naming import kpi_message, kpi_output_name, output_name, report_subject, sales_message, summary_subject
 from tillgrid.functions.numbers import to_int, to_money
 from tillgrid.functions.text import is_no_data, norm_a, norm_b, or_all, sanitize
 from tillgrid.operators import header, kpi, locations, sets, status
 from tillgrid.operators.ordinal import number_rows
 from tillgrid.operators.spec import ITEM_SALES, raw_cell, target_columns
 from tillgrid.plans import item_sales as sales
-from tillgrid.plans import kpi_report
+from tillgrid.plans import kpi_report, status_report
 from tillgrid.session import scratch_dir, settle
 from tillgrid.sinks import store
 from tillgrid.sinks.tables import append_audit, write_kpi, write_report
-from tillgrid.sources import csv_grid, landing, payloads, xlsx_grid
+from tillgrid.sources import csv_grid, landing, mapping, payloads, xlsx_grid
 from tillgrid.streaming.incremental import AUDIT, ingest
 from tillgrid.testbed import tables as t
 from tillgrid.testbed.workbook import workbook_bytes
@@ -81,14 +81,21 @@ def src_xlsx_grid(spark, sf):
     return rows.select("file_id", "row_idx", F.rtrim(F.array_join("cells", "|"), F.lit("|")).alias("line"))
 
 
+def _as_csv(df: DataFrame) -> str:
+    path = scratch_dir(df.sparkSession, "mapping")
+    df.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
 @query
 def dim_location(spark, sf):
-    return t.location_dim(spark, sf)
+    """The mapping as a CSV file, read back."""
+    return mapping.read_locations(spark, _as_csv(t.location_dim(spark, sf)))
 
 
 @query
 def dim_code(spark, sf):
-    return t.code_dim(spark, sf)
+    return mapping.read_codes(spark, _as_csv(t.code_dim(spark, sf)))
 
 
 @query
@@ -104,8 +111,10 @@ def _workplaces(spark, sf) -> DataFrame:
 
 @query
 def workplace_pages(spark, sf):
-    """All entries of all pages, each with the size of its page."""
-    pages = t.landed(spark, sf, t.workplace_pages)
+    """All entries of all landed pages, a file for each, with the size of its page."""
+    path = scratch_dir(spark, "pages")
+    t.landed(spark, sf, t.workplace_pages).select(F.col("payload").alias("value"), "page").repartition("page").write.partitionBy("page").text(path)
+    pages = payloads.read_pages(spark, path, r"page=(\d+)/", "*.txt")
     rows = payloads.workplace_rows(pages).withColumn("page", t.whole_div(F.col("seq"), payloads.PAGE_SIZE))
     return rows.join(payloads.page_sizes(pages), "page").select("seq", "name", "id", "entries")
 
@@ -115,6 +124,19 @@ def pages_complete(spark, sf):
     return payloads.pages_complete(t.landed(spark, sf, t.workplace_pages))
 
 
+@query
+def page_gaps(spark, sf):
+    """Small pages, numbered with holes; some are there twice."""
+    return payloads.page_gaps(t.landed(spark, sf, t.pages_with_holes), 10)
+
+
+@query
+def kpi_rejects(spark, sf):
+    """Reports without figures; of some the text breaks off."""
+    rejects = kpi.kpi_rejects(t.cut_payloads(t.landed(spark, sf, t.kpi_reports)))
+    return rejects.withColumn("report_date", F.col("report_date").cast("string"))
+
+
 @query
 def latest_file(spark, sf):
     named = landing.with_provenance(t.landed(spark, sf, t.landed_names)).where(F.col("location_tag").isNotNull())
@@ -134,18 +156,36 @@ def file_provenance(spark, sf):
     )
 
 
-@query
-def sink_report(spark, sf):
+def _report_table(spark, sf) -> str:
     grid = t.landed(spark, sf, t.report_grid)
     keep = ("file_id", "file_name", "row_idx", "business_date")
     items = sales.item_sales(sales.rows_of_grid(grid), keep=keep)
     located = sales.with_location(items, locations.active_locations(t.location_dim(spark, sf)))
     path = scratch_dir(spark, "report")
     write_report(sales.for_sink(located.where(F.col("label").isNotNull())), path)
-    columns = [f"`{c}`" for c in ITEM_SALES.order]
-    return spark.read.option("partitionOverwriteMode", "dynamic").parquet(path).select(
-        "file_id", "row_idx", *columns, F.col("business_day").cast("string"), F.col("location_key").cast("string")
-    )
+    return path
+
+
+def _sink_columns() -> list[Column]:
+    columns = [F.col(f"`{c}`") for c in ("file_id", "row_idx", *ITEM_SALES.order)]
+    return [*columns, F.col("business_day").cast("string"), F.col("location_key").cast("string")]
+
+
+@query
+def sink_report(spark, sf):
+    return spark.read.parquet(_report_table(spark, sf)).select(*_sink_columns())
+
+
+@query
+def report_slice(spark, sf):
+    """Some locations and days of the written table; folders of others are not read."""
+    dim = locations.active_locations(t.location_dim(spark, sf)).where(F.col("ordinal") % 3 == 0)
+    table = spark.read.schema(f"{_SLICE}, business_day string, location_key string").parquet(_report_table(spark, sf))
+    days = [F.lit(d).cast("date") for d in ("1998-08-01", "1998-12-01")]
+    return sales.reports_of(table, dim, *days).select("file_id", "row_idx", "business_day", "location_key")
+
+
+_SLICE = "file_id string, row_idx bigint"
 
 
 def _kpi_rows(spark, sf) -> DataFrame:
@@ -212,6 +252,22 @@ def ingest_outcomes(spark, sf):
     )
 
 
+@query
+def sales_status(spark, sf):
+    """Outcome of every location in use, from the store, written as the status of a run and read back."""
+    dim = locations.active_locations(t.report_dim(spark, sf))
+    results = status_report.write_outcome(spark, _store(spark, sf), dim, RUN_ID, scratch_dir(spark, "outcome"))
+    return results.select("pos_name", "label", "ok", "no_data", "stage", "error", "row_count", "business_date")
+
+
+@query
+def sales_digest(spark, sf):
+    """The digest of the same run as it was written."""
+    dim, path = locations.active_locations(t.report_dim(spark, sf)), scratch_dir(spark, "outcome")
+    status_report.write_outcome(spark, _store(spark, sf), dim, RUN_ID, path)
+    return spark.read.text(f"{path}/digest/{RUN_ID}").select(F.col("value").alias("line"))
+
+
 @query
 def sales_audit(spark, sf):
     """Counts of the audit log, observed while the reports were taken up; all batches together."""
@@ -562,6 +618,22 @@ def _kpi_message(spark, sf):
 _QUERIES["kpi_message"] = _QUERIES.pop("_kpi_message")
 
 
+@query
+def _sales_message(spark, sf):
+    results = t.run_results(spark, sf).where("ok")
+    name = F.concat(sanitize(F.col("label")), F.lit(".csv"))
+    known = F.when(F.col("ordinal") % 5 != 0, F.col("label"))
+    return results.select("ordinal", sales_message(known, F.col("business_date"), F.col("row_count"), name, F.lit(RUN_ID)).alias("message"))
+
+
+_QUERIES["sales_message"] = _QUERIES.pop("_sales_message")
+
+
+@query
+def kpi_digest_head(spark, sf):
+    return status.kpi_digest_head(_kpi_status(spark, sf), "2024-01-31")
+
+
 @query
 def digest_lines(spark, sf):
     return status.digest_lines(t.run_results(spark, sf))

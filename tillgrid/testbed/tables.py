@@ -237,7 +237,7 @@ def report_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_of_use = (s % 17).isin(3, 5, 7, 9, 11, 13)
     reports = landed(spark, sf_dir, report_grid).select("file_id").distinct()
     return reports.select(
-        F.xxhash64("file_id").alias("ordinal"), report_place(F.col("file_id")).alias("pos_name"),
+        (s * 1_000_000 + F.regexp_extract("file_id", r"-(\d+)$", 1).cast("bigint")).alias("ordinal"), report_place(F.col("file_id")).alias("pos_name"),
         F.when(out_of_use, "N/A").otherwise(join_text("Label ", F.col("file_id"))).alias("label"),
     )
 
@@ -283,6 +283,21 @@ def workplace_pages(spark: SparkSession, sf_dir: str, size: int = 500) -> DataFr
     )
 
 
+def pages_with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of ten workplaces each, numbered so that the first and some others are missing; some are there twice."""
+    pages = workplace_pages(spark, sf_dir, 10)
+    page = F.col("page") + 2 + whole_div(F.col("page"), 5) + 3 * whole_div(F.col("page"), 11)
+    moved = pages.withColumn("times", F.when(F.col("page") % 13 == 5, 2).otherwise(1)).select(page.alias("page"), "payload", "times")
+    return moved.select("page", "payload", F.explode(F.sequence(F.lit(1), "times")).alias("time")).drop("time")
+
+
+def cut_payloads(reports: DataFrame) -> DataFrame:
+    """Some payloads that hold figures break off before their end."""
+    key = F.col("workplace_id") + F.dayofmonth("report_date")
+    nested = (key % 29 != 0) & (key % 31 != 0) & (key % 37 != 0)
+    return reports.withColumn("payload", F.when(nested & (key % 11 == 0), F.expr("substring(payload, 1, length(payload) - 3)")).otherwise(F.col("payload")))
+
+
 def portal_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(c.alias("ordinal"), portal_name(c).alias("option"))
