@@ -109,3 +109,35 @@ def test_files_hold_ascending_ranges(spark, tmp_path):
     token_orc.write_ids(docs, bpe.read_vocabulary(PATH), path, files=4)
     ranges = sorted(spark.read.orc(path).groupBy(F.input_file_name()).agg(F.min("doc_id"), F.max("doc_id")).select("min(doc_id)", "max(doc_id)").collect())
     assert len(ranges) > 1 and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_columnar_encoder_equals_the_library():
+    """Words with marks, other runs, white space beyond ASCII, special tokens, words that are forgotten."""
+    import random
+
+    import pyarrow as pa
+
+    from tillgrid.llm import token_orc
+    from tillgrid.llm.queries import vocabulary
+
+    source = random.Random(11)
+    words = ["The", "house", "ÉTÉ", "über", "Œuvre", "ẞ", "it's", "'Tis", "don't,", "x" * 70, "a1b2", "3.14", "été", "Σίσυφος", "漢字", "ﬁn", "--", '"quoted"', "İ", "a'", "''s", "ÿÀ*#"]
+    blanks = [" ", "  ", "\n", "\t", "\r\n", "\x0b", " ", " ", "\x1c", "\x85", "　"]
+    texts = [
+        "".join(source.choice(words) + source.choice(blanks[:6] if i % 3 else blanks) for _ in range(source.randrange(0, 30))) for i in range(400)
+    ] + [None, "", " ", "<|endoftext|> a", "a<|b", "A <|startoftext|> b", *words, *["".join(source.choice("abcdé") for _ in range(9)) + "." for _ in range(3000)]]
+    encoder = token_orc.Encoder(vocabulary())
+    want = [encoder.own.encode(t or "", add_special_tokens=False).ids for t in texts]
+    forgetful = token_orc.Encoder(vocabulary())
+    column = pa.array(["skipped", *texts])[1:]
+    for own, step in ((encoder, 5000), (forgetful, 37)):
+        got = []
+        for at in range(0, len(texts), step):
+            flat, sizes = own(column[at : at + step])
+            assert sizes.sum() == len(flat)
+            cuts = [0, *sizes.cumsum().tolist()]
+            got += [flat[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
+            forgetful.words.clear()
+        assert got == want
+    flat, sizes = encoder(pa.array([], pa.string()))
+    assert len(flat) == len(sizes) == 0

@@ -14,11 +14,15 @@ texts. An empty table gives an empty folder of the same columns.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,18 +31,27 @@ from tillgrid.llm.bpe import SPACE, packed_ids
 from tillgrid.llm.common import LONGEST, Batches, Remembered, batch_of, in_batches
 
 JOINED = 2_000  # runs encoded in one call
+REMEMBERED = 500_000  # words that a worker remembers
+# White space that the library knows beside ASCII's.
+WIDE_SPACE = "[\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+# A word and its marks: letters whose lower case and normal form are plain, and the marks of ASCII.
+PLAIN = rf"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]{{1,{LONGEST}}})(?P<marks>[!-/:-@\[-`{{-~]*)$"
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 COLUMNS = "doc_id long, segment int, local_start long, n_tokens long, ids array<int>"
 
 
 class Encoder:
-    """The tokenizers library, asked once for each run of signs without white space that is remembered.
+    """The tokenizers library, asked once for each word that is remembered.
 
     Its vocabulary drops white space between words, so a text's ids are those
-    of its runs. The runs of some texts that are not known yet are joined by
-    blanks and encoded in one call, and the ids parted by their places in it.
-    Texts with the mark of a special token are encoded as they are.
+    of its runs of signs without white space. A run of letters with marks
+    behind it is a word and its marks. Texts are parted as Arrow columns: the
+    distinct runs of a batch, and of these the distinct words in lower case, are
+    numbered, so Python sees each word once a batch. Unknown words are joined by
+    blanks and encoded in one call; the token that ends a word tells their ids
+    apart. Other runs, and texts with the mark of a special token, are encoded
+    as they are.
     """
 
     def __init__(self, content: str):
@@ -47,31 +60,77 @@ class Encoder:
         self.own = Tokenizer.from_str(content)
         self.own.no_truncation()
         self.own.no_padding()
+        model = json.loads(content)["model"]
+        suffix = model["end_of_word_suffix"]
+        self.ends = np.zeros(1 + max(model["vocab"].values()), bool)
+        self.ends[[i for token, i in model["vocab"].items() if suffix and token.endswith(suffix)]] = True
         self.runs = re.compile(f"[^{SPACE}]+")
-        self.fresh: dict[str, bytes] = {}
-        self.known = Remembered(lambda run: self.fresh.get(run) or self.ids(run))
+        self.words: dict[str, bytes] = {}
+        self.others = Remembered(self.ids)  # marks, and runs that are no word with marks
 
     def ids(self, text: str) -> bytes:
         return packed_ids(self.own.encode(text, add_special_tokens=False).ids)
 
-    def ask(self, runs: list[str]) -> None:
-        found = self.own.encode(" ".join(runs), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(r) + 1 for r in runs[:-1])])
-        owner = np.searchsorted(starts, np.array(found.offsets, np.int64)[:, 0], side="right") - 1
-        cuts = np.searchsorted(owner, np.arange(len(runs) + 1)) if (np.diff(owner) >= 0).all() else np.zeros(len(runs) + 1, int)
-        packed = packed_ids(found.ids)
-        for run, a, b in zip(runs, (4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist()):
-            self.fresh[run] = packed[a:b]  # nothing, if the places do not tell: the run is encoded alone
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        runs = [None if t and "<|" in t else self.runs.findall(t or "") for t in texts]
-        new = {r for own in runs if own for r in own if r not in self.known and r not in self.known.older and len(r) <= LONGEST}
-        ordered = sorted(new)
-        for at in range(0, len(ordered), JOINED):
-            self.ask(ordered[at : at + JOINED])
-        out = [self.ids(t) if own is None else b"".join(map(self.known.__getitem__, own)) for t, own in zip(texts, runs)]
-        self.fresh.clear()
-        return out
+    def ask(self, words: list[str]) -> None:
+        ids = self.own.encode(" ".join(words), add_special_tokens=False).ids
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1)).tolist()]
+        if len(cuts) == len(words) + 1:
+            packed = packed_ids(ids)
+            self.words.update((w, packed[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
+        else:  # the ends do not tell
+            self.words.update((w, self.ids(w)) for w in words)
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words in lower case."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        found = list(map(self.words.get, words))
+        absent = list(compress(range(len(words)), map(is_, found, repeat(None))))
+        for at in range(0, len(absent), JOINED):
+            self.ask([words[i] for i in absent[at : at + JOINED]])
+        for i in absent:
+            found[i] = self.words[words[i]]
+        return found
+
+    def of_runs(self, runs: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of the units that runs are made of, and of each run its two units; the first unit is empty."""
+        split = pc.extract_regex(runs, PLAIN)
+        plain = split.is_valid().to_numpy(zero_copy_only=False)
+        words = pc.utf8_lower(split.field(0).filter(pa.array(plain))).dictionary_encode()
+        marks = split.field(1).filter(pa.array(plain)).dictionary_encode()
+        units = [b"", *self.of_words(words.dictionary.to_pylist())]
+        first, second = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
+        first[plain] = words.indices.to_numpy() + 1
+        second[plain] = marks.indices.to_numpy() + len(units)
+        units += map(self.others.__getitem__, marks.dictionary.to_pylist())
+        first[~plain] = np.arange(len(units), len(units) + len(runs) - plain.sum())
+        units += map(self.others.__getitem__, runs.filter(pa.array(~plain)).to_pylist())
+        return units, first, second
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, WIDE_SPACE)).fill_null(False)
+        parted = pc.ascii_split_whitespace(pc.if_else(odd, "", texts.fill_null("")))
+        coded = parted.flatten().dictionary_encode()
+        units, first, second = self.of_runs(coded.dictionary)
+        of_run = coded.indices.to_numpy()
+        unit = np.stack([first[of_run], second[of_run]], axis=1).ravel()
+        lengths = np.fromiter(map(len, units), np.int64, len(units)) // 4
+        starts, counts = (np.cumsum(lengths) - lengths)[unit], lengths[unit]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        flat = np.frombuffer(b"".join(units), "<u4")[np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])]
+        edges = ends[2 * np.concatenate([[0], np.cumsum(parted.value_lengths().to_numpy())])]
+        sizes = np.diff(edges)
+        rest = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(rest):  # texts with marks of special tokens or white space beyond ASCII
+            parts = np.split(flat, edges[1:-1])
+            for i in rest.tolist():
+                text = texts[i].as_py()
+                ids = self.ids(text) if "<|" in text else b"".join(map(self.others.__getitem__, self.runs.findall(text)))
+                parts[i] = np.frombuffer(ids, "<u4")
+                sizes[i] = len(parts[i])
+            flat = np.concatenate(parts)
+        return flat, sizes
 
 
 _encoders: dict[int, Encoder] = {}
@@ -97,19 +156,17 @@ def write_ids(docs: DataFrame, content: str, path: str, end_id: int = 1, files:
 
     def run(batches: Batches) -> Batches:
         own, segment, start = encoder(shared.value), TaskContext.get().partitionId(), 0
-        end = packed_ids([end_id])
         for batch in batches:
-            ids = [i + end for i in own(batch.column(1).to_pylist())]
-            sizes = np.array([len(i) // 4 for i in ids], np.int64)
-            ends = np.cumsum(sizes) + start
-            flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
+            flat, sizes = own(batch.column(1))
+            places = np.cumsum(sizes)
+            flat, sizes = np.insert(flat.astype(np.int32), places, end_id), sizes + 1  # the end id behind each text
+            ends = np.cumsum(sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(ids), segment, np.int32)), pa.array(ends - sizes), pa.array(sizes), lists],
+                [batch.column(0), pa.array(np.full(len(sizes), segment, np.int32)), pa.array(start + ends - sizes), pa.array(sizes), lists],
                 names=["doc_id", "segment", "local_start", "n_tokens", "ids"],
             )
-            start = int(ends[-1]) if len(ends) else start
+            start += int(ends[-1]) if len(ends) else 0
 
     writer = in_batches(dealt, run, COLUMNS).write
     for key, value in {
