@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 from hashlib import sha256
+from math import floor
 
 import numpy as np
 import pytest
@@ -228,6 +230,27 @@ def test_lists_are_not_read_to_their_ends():
 def test_top_k_of_nothing_and_of_large_numbers(spark):
     none = spark.createDataFrame([], VECTORS)
     assert topk.top_k(none, none).count() == 0
-    large = spark.createDataFrame([(0, [1e300, 1.0], 1, "x", "y"), (1, [-1e300, 3.0], 1, "x", "y"), (2, [1e5, 1e5], 1, "x", "y")], VECTORS)
-    got = topk.top_k(large, large.where("vec_id = 0")).collect()
-    assert [(r.vec_id, r.rank) for r in got] == [(2, 1), (1, 2)]
+    given = {
+        0: [1.0, 1.0], 1: [1e7, 0.5], 2: [2e7, -0.25], 3: [1e300, 1.0], 4: [-1e300, 3.0], 5: [1e5, 1e5], 6: [1.7e308, 1.7e308], 7: [2.0**45, 0.0],
+        50: [1e7, 1e-3], 100: [-1e300, 1.0],
+    }
+    large = spark.createDataFrame([(i, v, 1, "x", "y") for i, v in given.items()], VECTORS)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(large, large.where("vec_id % 50 = 0")).collect())
+    whole = {i: [floor(256 * Fraction(c)) for c in v] for i, v in given.items()}
+    want = []
+    for q in (0, 50, 100):
+        scores = [(min(max(sum(a * b for a, b in zip(whole[q], whole[i])), -(2**63)), 2**63 - 1), i) for i in given if i != q]
+        want += [(q, k, i, s) for k, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5], 1)]
+    assert got == want
+    few = large.where("vec_id in (0, 1, 2)")
+    assert [r.score for r in topk.top_k(few, few.where("vec_id = 0")).orderBy("rank").collect()] == [1_310_720_000_000 - 16384, 655_360_000_000 + 32768]
+
+
+def test_many_rows_of_one_id_are_spread(spark):
+    rows = [(7, [1.0, float(i % 3)]) for i in range(200)] + [(7, [2.0, 2.0])] * 200 + [(1000 + i, [float(i % 5), 1.0]) for i in range(400)] + [(50, [1.0, 1.0])]
+    frame = spark.createDataFrame([(i, v, 1, "x", "y") for i, v in rows], VECTORS).repartition(4)
+    spread = topk.whole_vectors(frame).withColumn("row", F.monotonically_increasing_id())
+    sizes = spread.groupBy(F.pmod(F.xxhash64("vec_id", "v", "row"), F.lit(16))).count().toPandas()["count"]
+    assert len(sizes) == 16 and sizes.max() < 100
+    got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(frame, frame.where("vec_id = 50")).orderBy("rank").collect()]
+    assert got[0] == (1, 1004, 5 * 65536) and [g[2] for g in got] == [5 * 65536] * 5

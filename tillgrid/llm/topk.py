@@ -10,10 +10,11 @@ its k-th score (at a tie it goes on, as smaller ids win). The best of all
 blocks, k per block at most, are merged by a window.
 
 Rows that are null or hold null or non-finite components, or have a null id,
-take no part; neither do candidates of another length than the query. A
-component beyond +-2^31 after scaling counts as that bound. Rows that repeat an
-id are candidates each, of equal rank up to their score; a row is no candidate
-of a query with its own id. An empty vector's products are 0.
+take no part; neither do candidates of another length than the query. Products
+are exact whatever the size of the components; a score that no long can hold
+counts as the largest or smallest long. Rows that repeat an id are candidates
+each, of equal rank up to their score, and are dealt over all blocks; a row is
+no candidate of a query with its own id. An empty vector's products are 0.
 """
 
 from __future__ import annotations
@@ -28,17 +29,30 @@ from pyspark.sql import functions as F
 K, SCALE, EVERY = 5, 256, 50
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 FIRST_RANKS = 16
-LARGEST = 1 << 31
+# Doubles of this size are whole numbers when scaled; integers below the second are exact as doubles, sums included.
+WHOLE, EXACT = 2.0**44, 2**52
+LEAST_LONG, LARGEST_LONG = -(1 << 63), (1 << 63) - 1
 
 
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of long): the rows that take part, as integers."""
+    """vec_id, v (array of double): the rows that take part, each component floor(256 * x) / 256, which a double holds exactly."""
     x = F.col("embedding").cast("array<double>")
     usable = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
     )
-    bounded = lambda c: F.least(F.greatest(F.floor(c * SCALE), F.lit(-LARGEST)), F.lit(LARGEST))
-    return embeddings.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, bounded).alias("v"))
+    whole = lambda c: F.when(F.abs(c) >= WHOLE, c).otherwise(F.floor(F.when(F.abs(c) < WHOLE, c) * SCALE) / F.lit(float(SCALE)))
+    return embeddings.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, whole).alias("v"))
+
+
+def scaled(v: np.ndarray) -> np.ndarray:
+    """The integers 256 * v: of 64 bits if all are small, else Python's."""
+    if not v.size or np.abs(v).max() < WHOLE:
+        return (v * SCALE).astype(np.int64)
+    return np.array([int(c * SCALE) if abs(c) < WHOLE else int(c) * SCALE for c in v.ravel().tolist()], object).reshape(v.shape)
+
+
+def largest(v: np.ndarray) -> int:
+    return max(map(abs, (int(v.max()), int(v.min())))) if v.size else 0
 
 
 class Block:
@@ -47,9 +61,9 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.exact = ids[order], vectors[order]
-        # float products of integers are exact below 2^53; beyond that Python's integers are used
-        most = float(np.abs(self.exact).max(initial=0))
-        self.plain = most * most * max(1, vectors.shape[1]) < 2**52
+        # float products of small integers are exact; beyond them Python's integers are used
+        self.most = max(1, vectors.shape[1]) * largest(self.exact)
+        self.plain = self.most < EXACT
         self.vectors = self.exact.astype(np.float64) if self.plain else self.exact.astype(object)
         self.lists = np.argsort(self.exact, axis=0, kind="stable")  # per dimension, ascending
         self.values = np.take_along_axis(self.vectors, self.lists, axis=0)
@@ -57,8 +71,10 @@ class Block:
     def best(self, own_id: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """(id, score) of the k best, by falling score, then id."""
         n = len(self.ids)
-        q = query.astype(np.float64) if self.plain and float(np.abs(query).max(initial=0)) < LARGEST / 2**8 else query.astype(object)
-        vectors = self.vectors if q.dtype != object else self.exact.astype(object)
+        q = query.astype(np.float64) if self.most * largest(query) < EXACT else query.astype(object)
+        vectors, values = self.vectors, self.values
+        if q.dtype == object and self.plain:
+            vectors, values = self.exact.astype(object), np.take_along_axis(self.exact, self.lists, axis=0).astype(object)
         used = np.flatnonzero(query)
         falling = query[used] > 0
         unseen = self.ids != own_id
@@ -79,18 +95,25 @@ class Block:
             unseen &= ~new
             fresh = np.flatnonzero(new)
             at = np.concatenate([at, fresh])
-            top = np.concatenate([top, vectors[fresh] @ q])
+            top = np.concatenate([top, held(vectors[fresh] @ q)])
             if len(at) > k:
-                keep = np.lexsort((at, -top))[:k]
+                keep = np.lexsort((at, -top))[:k] if q.dtype != object else sorted(range(len(at)), key=lambda i: (-top[i], at[i]))[:k]
                 at, top = at[keep], top[keep]
             done, step = upto, step * 2
             if len(at) == k and done < n:
-                ends = np.where(falling, self.values[n - done, used], self.values[done - 1, used])
-                if (ends * q[used]).sum() < top[-1]:
+                ends = np.where(falling, values[n - done, used], values[done - 1, used])
+                if min((ends * q[used]).sum(), LARGEST_LONG) < top[-1]:
                     break
         return [(int(self.ids[i]), int(s)) for i, s in zip(at, top)]
 
 
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores as a long can hold them."""
+    if scores.dtype != object:
+        return scores
+    return np.array([min(max(s, LEAST_LONG), LARGEST_LONG) for s in scores.tolist()], object)
+
+
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), vec_id, score.
 
@@ -98,11 +121,12 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     blocks of queries form a grid; the smaller side is repeated, and no cell of
     the grid is larger than its two bounds.
     """
-    rows, asked = whole_vectors(embeddings), whole_vectors(queries)
+    # Rows are dealt by their place in the table too, so that no block is large because rows repeat.
+    rows, asked = (whole_vectors(x).withColumn("row", F.monotonically_increasing_id()) for x in (embeddings, queries))
     n, q = rows.count(), asked.count()
     blocks, parts = max(1, -(-n // BLOCK_ROWS)), max(1, -(-q // QUERY_ROWS))
     cell = lambda own, count, others: (
-        F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("part" if own == "block" else "block")
+        F.pmod(F.xxhash64("vec_id", "v", "row"), F.lit(count)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("part" if own == "block" else "block")
     )
     candidates = rows.select("vec_id", "v", *cell("block", blocks, parts))
     asking = asked.select("vec_id", "v", *cell("part", parts, blocks))
@@ -128,10 +152,10 @@ def top_k(embeddings: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 def by_length(rows: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     lists = rows.column("v").combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.float64()))
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
     ids, flat = rows.column("vec_id").to_numpy(), lists.flatten().to_numpy(zero_copy_only=False)
     starts = np.cumsum(lengths) - lengths
     for length in np.unique(lengths):
         at = np.flatnonzero(lengths == length)
-        yield int(length), ids[at], flat[starts[at][:, None] + np.arange(length)].reshape(len(at), int(length))
+        yield int(length), ids[at], scaled(flat[starts[at][:, None] + np.arange(length)].reshape(len(at), int(length)))
