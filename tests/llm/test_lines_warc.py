@@ -175,3 +175,59 @@ def test_false_magics_are_put_back(split):
     if loose:
         ids |= set(warc.joined_pieces(pd.DataFrame(loose, columns=["block", "turn", "piece"])).page_id)
     assert ids == {0, 1, 2, 3, 10, 11, 12, 13}
+
+
+def archived(tmp_path, name, *members):
+    (tmp_path / "in").mkdir(exist_ok=True)
+    (tmp_path / "in" / name).write_bytes(b"".join(members))
+    return str(tmp_path / "in")
+
+
+def told(spark, path):
+    return sorted(((r.page_id, r.record_type, r.error) for r in warc.read_archives(spark, path, payloads=False).collect()), key=str)
+
+
+@pytest.fixture
+def members():
+    return [gzip.compress(warc.record(i, f"http://x/{i}", f"<html>{i}</html>".encode() * 50, None)) for i in range(5)]
+
+
+WHOLE = [(i, "response", None) for i in range(5)]
+
+
+@pytest.mark.parametrize("name", ["x.warc.gz", "x.warc", "x.GZ"])
+def test_archives_by_any_name(spark, tmp_path, members, name):
+    assert told(spark, archived(tmp_path, name, *members)) == WHOLE
+
+
+@pytest.mark.parametrize("split", ["128m", "100"])
+@pytest.mark.parametrize("name", ["x.warc.gz", "x.warc"])
+def test_nothing_is_lost_without_a_word(spark, tmp_path, members, name, split):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        cut = archived(tmp_path, name, *members[:4], members[4][:-30])
+        assert told(spark, cut) == [*WHOLE[:4], (4, "response", warc.CUT)]
+        hurt = bytearray(members[2])
+        hurt[-6] ^= 255  # its checksum
+        assert told(spark, archived(tmp_path, name, *members[:2], bytes(hurt), *members[3:])) == sorted([*WHOLE[:2], (2, "response", warc.DAMAGED), *WHOLE[3:]], key=str)
+        lost = b"\0" + members[2][1:]  # its magic
+        found = told(spark, archived(tmp_path, name, *members[:2], lost, *members[3:]))
+        assert found == sorted([*WHOLE[:2], (None, None, warc.STRAY), *WHOLE[3:]], key=str)
+        assert told(spark, archived(tmp_path, name, b"junk", *members)) == sorted([*WHOLE, (None, None, warc.STRAY)], key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_other_digests_and_odd_lengths(spark, tmp_path):
+    plain = warc.record(1, "u", b"abc", None)
+    other = plain.replace(b"sha1:", b"sha256:")
+    odd = warc.record(2, "u", b"abc", None).replace(b"\r\nContent-Length: 3\r\n", b"\r\nContent-Length: x\r\n")
+    wrong = warc.record(3, "u", b"abc", None).replace(b"\r\n\r\nabc", b"\r\n\r\nabd")
+    long = warc.record(4, "u", b"abc", None).replace(b"msgtype=response\r\nContent-Length: ", b"msgtype=response\r\nContent-Length: 9")
+    path = archived(tmp_path, "a", *map(gzip.compress, (other, odd, wrong, long)))
+    got = {r.page_id: r for r in warc.read_archives(spark, path).collect()}
+    assert got[1].payload_digest.startswith("sha256:") and got[1].error is None and got[1].payload == b"abc"
+    assert got[2].payload_bytes == 3 and got[2].error is None
+    assert "digest" in got[3].error and got[3].payload == b"abd"
+    assert got[4].error == "record is shorter than its length"
