@@ -26,5 +26,15 @@ def test_query(spark, con, name):
     assert difference(spark, con, name, SF_DIR) == ""
 
 
+UNDATED = ["sink_report", "ingest_incremental", "ingest_outcomes", "sales_status", "sales_digest"]
+
+
+@pytest.mark.parametrize("name", UNDATED)
+def test_query_with_undated_reports(spark, name):
+    """The smallest data set has no undated report of a location in use."""
+    folder = SF_DIR.replace("sf0.001", "sf0.01")
+    assert difference(spark, connect(folder), name, folder) == ""
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,9 +68,28 @@ def workplace_dedup(rows: DataFrame) -> DataFrame:
     )
 
 
-def first_by_key(entries: DataFrame, key: Column, value: str, order: str, key_name: str, value_name: str) -> DataFrame:
-    """For each key the value of its first entry."""
-    return entries.groupBy(key.alias(key_name)).agg(F.min_by(value, order).alias(value_name))
+def cascade(requests: DataFrame, entries: DataFrame, name: str, text: str, value: str, order: str, steps: dict[str, Callable[[Column], Column]],
+            result: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add to requests the ``value`` of the entry whose ``text`` matches their name, as ``result``, and the step that did (``matched_by``).
+
+    Steps are keys of a name, the strictest first; a name takes the first step
+    in which an entry has its key, and there the first entry by ``order``. All
+    steps are looked up in one join: distinct names and entries give a row per
+    step and key, and of a name's hits the one of the lowest step stays.
+    """
+
+    def keyed(of: Column, *more: Column) -> list[Column]:
+        keys = [F.struct(F.lit(i).alias("step"), key(of).alias("key")) for i, key in enumerate(steps.values())]
+        return [*more, F.explode(F.array(*keys)).alias("_k")]
+
+    listed = entries.select(*keyed(F.col(text), F.col(value).alias("_value"), F.col(order).alias("_order"))).select("_k.*", "_value", "_order")
+    known = listed.where(F.col("_value").isNotNull()).groupBy("step", "key").agg(F.min_by("_value", "_order").alias("_value"))
+    asked = _names(requests, name).select(*keyed(F.col(name), F.col(name))).select(name, "_k.*")
+    hits = small_join(asked, known, ["step", "key"], "inner", max_rows)
+    best = hits.groupBy(name).agg(F.min_by("_value", "step").alias(result), F.min("step").alias("_step"))
+    how = F.element_at(F.array(*[F.lit(s) for s in steps]), F.col("_step") + 1)
+    resolved = best.select(name, result, how.alias("matched_by"))
+    return lookup_join(requests, resolved, name, "left", max_rows).select(*requests.columns, result, "matched_by")
 
 
 def resolve_cascade(requests: DataFrame, workplaces: DataFrame, name: str = "pos_name",
@@ -77,13 +98,8 @@ def resolve_cascade(requests: DataFrame, workplaces: DataFrame, name: str = "pos
 
     ``workplaces`` are deduplicated ``(name, id, first_seq)``.
     """
-    exact = workplaces.select(F.col("name").alias(name), F.col("id").alias("_exact"))
-    by_norm = first_by_key(workplaces, norm_b(F.col("name")), "id", "first_seq", "_norm", "_loose")
-    names = _names(requests, name).withColumn("_norm", norm_b(F.col(name)))
-    found = small_join(small_join(names, exact, name, "left", max_rows), by_norm, "_norm", "left", max_rows)
-    how = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_loose").isNotNull(), "normalised")
-    resolved = found.select(name, F.coalesce("_exact", "_loose").alias("workplace_id"), how.alias("matched_by"))
-    return lookup_join(requests, resolved, name, "left", max_rows).select(*requests.columns, "workplace_id", "matched_by")
+    steps = {"exact": lambda c: c, "normalised": norm_b}
+    return cascade(requests, workplaces, name, "name", "id", "first_seq", steps, "workplace_id", max_rows)
 
 
 def _names(requests: DataFrame, name: str) -> DataFrame:
@@ -109,16 +125,9 @@ def option_cascade(requests: DataFrame, options: DataFrame, name: str = "pos_nam
 
     ``options`` are ``(ordinal, option)``; the first of several equals wins.
     """
-    steps = [("exact", lambda c: c), ("case", F.lower), ("normalised", norm_a)]
     listed = options.select("ordinal", strip(F.col("option")).alias("option"))
-    found = _names(requests, name)
-    for step, key in steps:
-        by_key = first_by_key(listed, key(F.col("option")), "option", "ordinal", "_key", f"_{step}")
-        found = small_join(found.withColumn("_key", key(F.col(name))), by_key, "_key", "left", max_rows).drop("_key")
-    hits = [F.col(f"_{step}") for step, _ in steps]
-    how = F.coalesce(*[F.when(F.col(f"_{step}").isNotNull(), F.lit(step)) for step, _ in steps])
-    resolved = found.select(name, F.coalesce(*hits).alias("option"), how.alias("matched_by"))
-    return lookup_join(requests, resolved, name, "left", max_rows).select(*requests.columns, "option", "matched_by")
+    steps = {"exact": lambda c: c, "case": F.lower, "normalised": norm_a}
+    return cascade(requests, listed, name, "option", "option", "ordinal", steps, "option", max_rows)
 
 
 def option_unmatched(requests: DataFrame, options: DataFrame, name: str = "pos_name") -> DataFrame:

@@ -222,24 +222,28 @@ def audit_rows(spark, sf):
 _STORES: dict[tuple[str, str], str] = {}
 
 
+def _filled_store(spark, sf) -> str:
+    """A store that took up all reports as landed files."""
+    landed, path = scratch_dir(spark, "landing"), scratch_dir(spark, "store")
+    t.land_csv(t.landed(spark, sf, t.report_grid), landed)
+    of_report = t.landed_id(F.col("file_id"))
+    name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(of_report)), F.lit("_raw.csv"))
+    dim = locations.active_locations(t.report_dim(spark, sf))
+    ingest(spark, landed, dim, path, scratch_dir(spark, "ingest"), glob="*.txt", file_name=name).awaitTermination()
+    _STORES[spark.sparkContext.applicationId, sf] = path
+    return path
+
+
 def _store(spark, sf) -> str:
-    """A store that took up all reports as landed files, filled once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORES:
-        landed, path = scratch_dir(spark, "landing"), scratch_dir(spark, "store")
-        t.land_csv(t.landed(spark, sf, t.report_grid), landed)
-        of_report = t.landed_id(F.col("file_id"))
-        name = F.concat(F.lit(f"{t.RUN_STAMP}_a1b2c3d4_"), sanitize(t.report_place(of_report)), F.lit("_raw.csv"))
-        dim = locations.active_locations(t.report_dim(spark, sf))
-        ingest(spark, landed, dim, path, scratch_dir(spark, "ingest"), glob="*.txt", file_name=name).awaitTermination()
-        _STORES[key] = path
-    return _STORES[key]
+    """The store filled last in this application."""
+    return _STORES.get((spark.sparkContext.applicationId, sf)) or _filled_store(spark, sf)
 
 
 @query
 def ingest_incremental(spark, sf):
+    """Take up all reports as landed files, then read the table."""
     columns = [f"`{c}`" for c in ITEM_SALES.order]
-    return store.read_report(spark, _store(spark, sf)).select(
+    return store.read_report(spark, _filled_store(spark, sf)).select(
         t.landed_id(F.col("file_id")).alias("file_id"), "row_idx", *columns, "business_day", "location_key"
     )
 
