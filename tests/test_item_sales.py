@@ -227,6 +227,55 @@ def test_mixed_folder(spark, tmp_path, monkeypatch):
     assert counts == {"01-Jan-2026": 3, "02-Jan-2026": 60, "03-Jan-2026": 3}
 
 
+def reworked(path, name, change):
+    """The workbook with one of its parts changed."""
+    import zipfile
+
+    with zipfile.ZipFile(path) as book:
+        parts = {n: book.read(n) for n in book.namelist()}
+    parts[name] = change(parts[name])
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
+        for n, content in parts.items():
+            book.writestr(n, content)
+
+
+SHEET = "xl/worksheets/sheet1.xml"
+
+
+@pytest.mark.parametrize("change", [
+    lambda x: x[: len(x) * 9 // 10],  # the XML breaks off
+    lambda x: x.replace(b"</row></sheetData>", b'<c r="Z9" t="s"><v>99999999</v></c></row></sheetData>'),  # a text that is not there
+])
+def test_a_workbook_that_breaks_late_gives_no_rows(spark, tmp_path, change):
+    items = [[f"item {i}", i + 1, *[1] * 10] for i in range(12_000)]
+    bad = write_xlsx(tmp_path / "bad_raw.xlsx", report(items=items))
+    reworked(bad, SHEET, change)
+    write_xlsx(tmp_path / "good_raw.xlsx", report(items=items))
+    chunks = xlsx_grid.decode_workbooks(xlsx_grid.workbooks(spark, str(tmp_path))).collect()
+    told = {r.file_name: r.error for r in chunks if r.error}
+    assert list(told) == ["bad_raw.xlsx"] and told["bad_raw.xlsx"].startswith("unreadable workbook")
+    assert [r.first_row for r in chunks if r.file_name == "good_raw.xlsx"] == [0, 5000, 10000]
+    assert sum(len(r.rows) for r in chunks if r.file_name == "bad_raw.xlsx") == 0
+    sales = plan.item_sales(plan.read_report_rows(spark, str(tmp_path)))
+    assert sales.count() == 12_000 and sales.select("`POS Item ID *`").distinct().count() == 12_000
+
+
+def test_shared_texts_take_little_more_than_their_bytes(tmp_path):
+    import tracemalloc
+    import zipfile
+
+    texts = [f"a text that is shared by cells, number {i} é" for i in range(60_000)]
+    path = write_xlsx(tmp_path / "a.xlsx", [[t] for t in texts])
+    tracemalloc.start()
+    with zipfile.ZipFile(path) as book:
+        strings = xlsx_grid._Strings(book)
+        most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * sum(map(len, texts)) and [strings[i] for i in (0, 31_000, 59_999)] == [texts[0], texts[31_000], texts[-1]]
+    with pytest.raises(IndexError):
+        strings[60_000]
+
+
 def test_sheet_details(spark, tmp_path):
     """Skipped rows and cells, all cell kinds, many columns."""
     rows = [["a", 1, 2.5, "é & <b>"], [], ["", "x", "", 7.0], [""] * 30 + ["last"]]
