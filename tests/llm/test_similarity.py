@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import time
 from fractions import Fraction
 from hashlib import sha256
 from math import floor
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -254,3 +256,40 @@ def test_many_rows_of_one_id_are_spread(spark):
     assert len(sizes) == 16 and sizes.max() < 100
     got = [(r["rank"], r.vec_id, r.score) for r in topk.top_k(frame, frame.where("vec_id = 50")).orderBy("rank").collect()]
     assert got[0] == (1, 1004, 5 * 65536) and [g[2] for g in got] == [5 * 65536] * 5
+
+
+def block_of(rows):
+    token, *columns = np.array(rows, np.int64).T
+    return pa.table({"cells": pa.array([np.stack([token, *columns]).tobytes()], pa.binary())})
+
+
+def met(block):
+    return sorted(zip(*(c.to_pylist() for c in jaccard.meetings(block).columns)))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_long_runs_give_the_meetings_of_short_ones(monkeypatch, seed):
+    """Rows (token, doc, gid, comp, size of the component, n) of few tokens, with components from one to most rows."""
+    source = random.Random(seed)
+    comps = {c: source.choice([1, 1, 2, 3, 40]) for c in range(25)}
+    rows, doc = [], 0
+    for comp, size in comps.items():
+        for _ in range(size):
+            doc += 1
+            gid, n = source.choice([comp * 100, comp * 100 + 1, doc + 10_000]), source.randint(20, 40)
+            rows += [(token, doc, gid, comp, size, n) for token in source.sample(range(4), 3)]
+    source.shuffle(rows)
+    want = met(block_of(rows))
+    assert want
+    monkeypatch.setattr(jaccard, "LONG_RUN", 1)
+    assert met(block_of(rows)) == want
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", 50)
+    assert met(block_of(rows)) == want
+
+
+def test_a_family_with_most_rows_of_a_token_costs_nothing_by_itself():
+    rows = [(1, i, i // 50, 0, 200_000, 100 + i % 7) for i in range(200_000)] + [(1, 10**6 + i, 10**6 + i, 10 + i, 1, 100) for i in range(20)]
+    begin = time.process_time()
+    found = met(block_of(rows))
+    assert time.process_time() - begin < 10
+    assert len(found) == 20 * 4000 + 20 * 19 // 2 and (10**6, 0, 100, 1, 100, 106) in found

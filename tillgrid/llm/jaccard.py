@@ -283,6 +283,8 @@ def matrix_blocks(rows: DataFrame, blocks: int) -> DataFrame:
     return in_batches(rows.select(*COLUMNS, "prefix"), run, "block long, cells binary")
 
 
+# Runs of more rows are paired by group and size, so many pairs at a time.
+LONG_RUN, PAIRS_AT_ONCE = 256, 1_000_000
 MEETING = ("doc", "gid", "n", "shared", "least", "most")
 
 
@@ -305,13 +307,16 @@ def run_pairs(token: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
     """Columns (run, doc, gid, n, m): in a token each document meets the documents of like size of components after its own.
 
     The rarer component asks, so a large one is met by the few others and never
-    by itself. Runs of equal length are taken together.
+    by itself. Short runs of equal length are taken together, long ones by
+    ``long_run``.
     """
     cuts = np.flatnonzero(np.concatenate([[True], np.diff(token) != 0, [True]])) if len(token) else np.zeros(1, np.int64)
     starts, lengths = cuts[:-1], np.diff(cuts)
     several = rows[2][starts] != rows[2][cuts[1:] - 1]
     starts, lengths = starts[several], lengths[several]
-    for length in np.unique(lengths):
+    for start, length in zip(starts[lengths > LONG_RUN].tolist(), lengths[lengths > LONG_RUN].tolist()):
+        yield from long_run(start, rows[:, start : start + length])
+    for length in np.unique(lengths[lengths <= LONG_RUN]):
         firsts = starts[lengths == length]
         together = max(1, 500_000 // int(length * length))
         for at in range(0, len(firsts), together):
@@ -324,6 +329,38 @@ def run_pairs(token: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
                     yield pairs
 
 
+def long_run(run: int, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """The columns of ``run_pairs`` for one long run.
+
+    What a document meets counts by group and size, so equal ones of a component
+    stand once. They are in order of the components, so a document meets all
+    from the end of its own on: a component of any size costs nothing by itself.
+    Pairs come in pieces, each reduced to the smallest and largest size met.
+    """
+    doc, gid, comp, _, n = rows
+    place = np.cumsum(np.concatenate([[0], np.diff(comp) != 0]))
+    met = np.unique(np.stack([place, gid, n]), axis=1)
+    after = np.searchsorted(met[0], place, side="right")
+    counts = met.shape[1] - after
+    asking = np.flatnonzero(counts)
+    pieces = np.cumsum(counts[asking]) // PAIRS_AT_ONCE
+    for own in np.split(asking, np.flatnonzero(np.diff(pieces)) + 1):
+        many = counts[own]
+        one = np.repeat(own, many)
+        other = np.repeat(after[own] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        m = met[2][other]
+        like = (gid[one] != met[1][other]) & (100 * np.minimum(n[one], m) >= PERCENT * np.maximum(n[one], m))
+        one, group, m = one[like], met[1][other][like], m[like]
+        if not len(one):
+            continue
+        by = np.lexsort((m, group, one))
+        one, group, m = one[by], group[by], m[by]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(one) != 0) | (np.diff(group) != 0)]))
+        last = np.concatenate([first[1:] - 1, [len(one) - 1]])
+        ends = np.unique(np.concatenate([first, last]))
+        yield np.stack([np.full(len(ends), run), doc[one[ends]], group[ends], n[one[ends]], m[ends]])
+
+
 def paired(run: np.ndarray, one: np.ndarray, other: np.ndarray, rows: np.ndarray) -> np.ndarray:
     doc, gid, comp, _, n = rows
     like = (comp[one] != comp[other]) & (gid[one] != gid[other]) & (100 * np.minimum(n[one], n[other]) >= PERCENT * np.maximum(n[one], n[other]))
