@@ -284,7 +284,7 @@ def matrix_blocks(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 # Runs of more rows are paired by group and size, so many pairs at a time.
-LONG_RUN, PAIRS_AT_ONCE = 256, 1_000_000
+LONG_RUN, PAIRS_AT_ONCE = 256, 100_000
 MEETING = ("doc", "gid", "n", "shared", "least", "most")
 
 
