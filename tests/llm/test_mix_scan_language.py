@@ -121,11 +121,76 @@ def enumerate_rows(texts):
     return [(i, t, "s") for i, t in enumerate(texts)]
 
 
-def test_rules_are_many_and_their_keywords_hold():
+def example(parsed, source):
+    """A text that a parsed pattern matches, its branches and repeats chosen at random."""
+    out = ""
+    for kind, value in parsed:
+        match str(kind):
+            case "LITERAL":
+                out += chr(value)
+            case "IN":
+                kind, value = source.choice(value)
+                out += chr(value) if str(kind) == "LITERAL" else "7" if str(value) == "CATEGORY_DIGIT" else "word"
+            case "BRANCH":
+                out += example(source.choice(value[1]), source)
+            case "SUBPATTERN":
+                out += example(value[-1], source)
+            case "MAX_REPEAT":
+                low, high, inner = value
+                out += "".join(example(inner, source) for _ in range(source.randint(low, min(high, low + 2))))
+            case other:
+                raise ValueError(other)
+    return out
+
+
+def examples(rule, n=40):
+    parsed, source = re._parser.parse(rule.pattern), random.Random(rule.pattern)
+    return sorted({example(parsed, source).strip() for _ in range(n)})
+
+
+def test_rules_are_many_and_each_match_holds_a_keyword():
     ordered = licenses.rules()
-    assert len(ordered) > 200
+    assert len(licenses.NOTICES) > 150 and len(ordered) > 400
     for rule in ordered:
-        assert any(re.search(k, rule.pattern) for k in rule.keywords), rule
+        for text in examples(rule):
+            assert re.fullmatch(rule.pattern, text), (rule, text)
+            assert set(rule.keywords) & set(text.split()), (rule, text)
+
+
+def test_keywords_lose_no_match():
+    """Detections of gated rules against those of all rules tried on every text."""
+    ordered, source = licenses.rules(), random.Random(8)
+    scanner, plain = licenses.Scanner(ordered), [re.compile(rf"(?<![^ ])(?:{r.pattern})(?![^ ])") for r in ordered]
+    phrases = [t for rule in ordered for t in examples(rule, 6)]
+    for _ in range(400):
+        text = " ".join(source.choice([source.choice(phrases), "some other words", "license", "bsd"]) for _ in range(4))
+        hits = [(at, *m.span()) for at, pattern in enumerate(plain) for m in pattern.finditer(text)]
+        base = {label for phrase, label in licenses.BASE if f" {phrase} " in f" {text} "}
+        want = base | {ordered[rule].label for rule, _, _ in licenses.suppressed(hits)}
+        assert scanner.scan(text)[5] == ",".join(sorted(want)), text
+
+
+NAMED = [
+    ("Released under the FreeBSD", "bsd-2-clause"),
+    ("distributed under the New BSD License.", "bsd-3-clause"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd-2-clause"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+    ("You should have received a copy of the GNU Affero General Public License", "agpl"),
+    ("Altered source versions must be plainly marked as such", "zlib"),
+    ("The Software shall be used for Good, not Evil.", "json"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("https://creativecommons.org/licenses/by-nc/4.0/", "cc-by-nc"),
+    ("SPDX-License-Identifier: Apache-2.0", "apache-2.0"),
+    ("If we meet some day, and you think this stuff is worth it, you can buy me a beer", "beerware"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("the quick brown fox has no licence", ""),
+]
+
+
+@pytest.mark.parametrize(("text", "label"), NAMED)
+def test_labels_of_known_notices(text, label):
+    got = set(licenses.Scanner(licenses.rules()).scan(text)[5].split(","))
+    assert label in got and len(got - {"gpl", "public-domain"} | {label}) == 1
 
 
 def test_signatures_and_suppression():

@@ -1,8 +1,9 @@
 """License scans by ordered signature rules.
 
 A text becomes a sequence of lower-case words. A rule is a regular expression
-over the words joined by single blanks and has keywords; it is tried only when
-one of its keywords is among the text's words. Rules are ordered: earlier ones
+over the words joined by single blanks and has keywords, one of which is a word
+of whatever it matches; it is tried only when one of its keywords is among the
+text's words, so the keywords save time and lose no match. Rules are ordered: earlier ones
 have priority. A detection whose interval lies within another's is suppressed
 (of equal intervals the earlier rule stays); of detections that overlap in part
 the earlier rule stays. What is left gives labels.
@@ -35,11 +36,11 @@ WORD_BYTES = bytes(
 class Rule:
     label: str
     pattern: str  # over words joined by single blanks
-    keywords: tuple[str, ...]  # one of them is in every match
+    keywords: tuple[str, ...]  # one of them is a word of every match
     weight: float  # how sure a match is, 0 to 1
 
 
-# Notices that name a license by its own wording: label, pattern, keyword, weight.
+# Notices that name a license by its own wording: label, pattern, keywords (one for each alternative without the others'), weight.
 NOTICES = (
     ("apache-2.0", "licensed under the apache license version 2 0(?: the license)?", "apache", 1.0),
     ("apache-2.0", "you may not use this (?:file|software|work) except in compliance with the license", "compliance", 0.9),
@@ -99,16 +100,129 @@ NOTICES = (
     ("personal-use", "for personal (?:and |or )?(?:non ?commercial )?use only", "personal", 0.7),
     ("copyright", "copyright (?:c )?(?:\\d{4} )+(?:by )?\\S+", "copyright", 0.4),
     ("copyright", "(?:protected|governed) by copyright law", "copyright", 0.5),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license", "unless", 0.95),
+    ("apache-2.0", "see the license for the specific language governing permissions and limitations under the license", "governing", 0.8),
+    ("apache-2.0", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent) license", "irrevocable", 0.9),
+    ("apache-1.1", "the end user documentation included with the redistribution if any must include the following acknowledge?ment", "redistribution", 0.95),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish", "merge", 0.95),
+    ("mit", "the software is furnished to do so subject to the following conditions|persons to whom the software is furnished to do so", "furnished", 0.8),
+    ("mit", "in no event shall the authors or copyright holders be liable for any claim damages or other liability", "holders", 0.7),
+    ("mit-0", "permission is hereby granted free of charge to any person obtaining a copy of this software (?:\\S+ ){20,60}to do so the software is provided", "hereby", 0.9),
+    ("x11", "except as contained in this notice the names? of (?:\\S+ ){1,12}shall not be used in advertising", "advertising", 0.95),
+    ("isc", "provided that the above copyright notice and this permission notice appear in all copies", "appear", 0.8),
+    ("ntp", "permission to use copy modify and distribute this software and its documentation for any purpose (?:with or without fee|and without fee) is hereby granted", "fee", 0.9),
+    ("hpnd", "provided that the above copyright notice appears? in all copies and that both that copyright notice and this permission notice", "both", 0.9),
+    ("bsd-2-clause", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution", 0.85),
+    ("bsd-2-clause", "this software is provided by the (?:\\S+ ){1,12}as is and any express or implied warranties", "warranties", 0.7),
+    ("bsd-3-clause", "the name of the (?:author|company|copyright holder) may not be used to endorse or promote products", "endorse", 0.9),
+    ("bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission", "endorse", 0.9),
+    ("bsd-4-clause", "this product includes software developed by the university of california", "california", 0.95),
+    ("bsd-3-clause-clear", "no express or implied licenses to any party s patent rights are granted by this license", "patent", 0.95),
+    ("bsd-protection", "bsd protection license", "protection", 0.9),
+    ("gpl", "either version \\d of the license or at your option any later version", "option", 0.8),
+    ("gpl", "if not see (?:https? )?www gnu org licenses", "gnu", 0.7),
+    ("gpl", "if not write to the free software foundation", "foundation", 0.8),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "verbatim", 0.8),
+    ("gpl", "this program comes with absolutely no warranty", "absolutely", 0.7),
+    ("gpl", "this is free software and you are welcome to redistribute it under certain conditions", "welcome", 0.9),
+    ("gpl-2.0", "gnu general public license version 2 as published by the free software foundation", "gnu", 1.0),
+    ("gpl-3.0", "gnu general public license version 3 as published by the free software foundation", "gnu", 1.0),
+    ("gpl-classpath", "linking this library statically or dynamically with other modules is making a combined work", "statically", 0.95),
+    ("gpl-font", "as a special exception if you create a document which uses this font", "exception", 0.95),
+    ("gpl-bison", "as a special exception you may create a larger work that contains part or all of the bison parser skeleton", "bison", 0.95),
+    ("gpl-autoconf", "as a special exception (?:\\S+ ){1,12}configuration script generated by autoconf", "autoconf", 0.9),
+    ("gcc-exception", "gcc runtime library exception", "gcc", 0.95),
+    ("lgpl", "this library is distributed in the hope that it will be useful but without any warranty", "hope", 0.9),
+    ("agpl", "if you modify the program your modified version must prominently offer all users interacting with it remotely", "remotely", 0.95),
+    ("sspl-1.0", "if you make the functionality of the program or a modified version available to third parties as a service", "functionality", 0.95),
+    ("mpl-2.0", "you can obtain one at (?:https? )?mozilla org mpl 2 0", "mozilla", 0.95),
+    ("mpl-2.0", "this source code form is incompatible with secondary licenses", "incompatible", 0.9),
+    ("mpl-1.1", "software distributed under the license is distributed on an as is basis without warranty of any kind either express or implied see the license for the specific language governing rights", "governing", 0.9),
+    ("npl-1.1", "the contents of this file are subject to the netscape public license", "netscape", 1.0),
+    ("cpal-1.0", "the contents of this file are subject to the common public attribution license", "attribution", 1.0),
+    ("epl", "this (?:program|content) (?:and the accompanying materials )?(?:is|are) (?:made available|provided) under the terms of the eclipse public license", "eclipse", 0.9),
+    ("epl-2.0", "this source code may also be made available under the following secondary licenses", "secondary", 0.9),
+    ("edl-1.0", "eclipse distribution license", "eclipse", 0.9),
+    ("cpl-1.0", "this program and the accompanying materials are made available under the terms of the common public license", "common", 1.0),
+    ("ipl-1.0", "the accompanying program is provided under the terms of this ibm public license", "ibm", 1.0),
+    ("cddl-1.0", "you can obtain a copy of the license at (?:\\S+ ){1,8}cddl", "cddl", 0.9),
+    ("cddl-1.0", "when distributing (?:covered code|the software) include this cddl header notice", "cddl", 0.95),
+    ("eupl-1.2", "licensed under the eupl (?:version |v )?1 2", "eupl", 1.0),
+    ("cecill-2.1", "this software is governed by the cecill license under french law", "cecill", 1.0),
+    ("cecill-b", "governed by the cecill b license", "cecill", 1.0),
+    ("unlicense", "in jurisdictions that recognize copyright laws the author or authors of this software dedicate", "jurisdictions", 0.95),
+    ("unlicense", "for more information please refer to (?:https? )?unlicense org", "unlicense", 0.9),
+    ("wtfpl", "this program is free software it comes without any warranty to the extent permitted by applicable law", "permitted", 0.8),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", "beer", 1.0),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications", "anyone", 0.9),
+    ("zlib", "altered source versions must be plainly marked as such", "altered", 1.0),
+    ("libpng", "the png reference library is supplied as is", "png", 1.0),
+    ("libtiff", "the names of sam leffler and silicon graphics may not be used", "leffler", 1.0),
+    ("ijg", "this software is based in part on the work of the independent jpeg group", "jpeg", 1.0),
+    ("freetype", "portions of this software are copyright (?:\\S+ ){1,8}the freetype project", "freetype", 0.95),
+    ("curl", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is", "appear", 0.7),
+    ("openssl", "this product includes software developed by the openssl project for use in the openssl toolkit", "openssl", 1.0),
+    ("ssleay", "this product includes cryptographic software written by eric young", "cryptographic", 1.0),
+    ("php-3.01", "this product includes php software freely available from", "php", 0.95),
+    ("python-2.0", "psf is making python available to licensee on an as is basis", "licensee", 1.0),
+    ("python-cnri", "cnri is making python (?:\\S+ ){0,6}available to licensee", "cnri", 1.0),
+    ("ruby", "you may make and give away verbatim copies of the source form of the software without restriction", "verbatim", 0.9),
+    ("artistic-1.0", "the intent of this document is to state the conditions under which a package may be copied", "intent", 1.0),
+    ("perl", "you can redistribute it and or modify it under the same terms as perl itself", "perl", 1.0),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "organization", 1.0),
+    ("busl-1.1", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work", "licensor", 1.0),
+    ("elastic-2.0", "you may not provide the software to third parties as a hosted or managed service", "hosted", 0.95),
+    ("commons-clause", "without limiting other conditions in the license the grant of rights under the license will not include", "grant", 0.95),
+    ("polyform", "polyform (?:noncommercial|small business|shield|strict|perimeter) license", "polyform", 1.0),
+    ("ncsa", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction", "associated", 0.9),
+    ("ms-pl", "this license governs use of the accompanying software if you use the software you accept this license", "governs", 0.95),
+    ("ms-eula", "these license terms are an agreement between microsoft corporation", "microsoft", 0.95),
+    ("jdom", "this software consists of voluntary contributions made by many individuals on behalf of", "voluntary", 0.8),
+    ("json", "the software shall be used for good not evil", "evil", 1.0),
+    ("unicode", "permission is hereby granted free of charge to any person obtaining a copy of the unicode data files", "unicode", 1.0),
+    ("icu", "copyright (?:c )?(?:\\d{4} )+international business machines corporation and others", "machines", 0.9),
+    ("w3c", "this software or document includes material copied from or derived from", "derived", 0.9),
+    ("w3c", "by obtaining using and or copying this work you the licensee agree", "licensee", 0.9),
+    ("ofl-1.1", "the font software may be sold as part of a larger software package but no copy", "font", 0.8),
+    ("ofl-1.1", "this license is copied below and is also available with a faq at", "faq", 0.95),
+    ("lppl", "this work may be distributed and or modified under the conditions of the latex project public license", "latex", 1.0),
+    ("lppl", "this work has the lppl maintenance status", "lppl", 0.95),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "gnu", 1.0),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts", "invariant", 1.0),
+    ("opl", "this material may be distributed only subject to the terms and conditions set forth in the open publication license", "publication", 1.0),
+    ("odbl-1.0", "is made available under the open database license", "database", 1.0),
+    ("odbl-1.0", "any rights in individual contents of the database are licensed under the database contents license", "database", 0.95),
+    ("openstreetmap", "(?:c )?openstreetmap contributors", "openstreetmap", 0.6),
+    ("pddl-1.0", "made available under the public domain dedication and license", "dedication", 1.0),
+    ("open-government", "contains public sector information licensed under the open government licen[cs]e", "sector", 1.0),
+    ("us-government", "work of the (?:united states|u s) government", "government", 0.8),
+    ("us-government", "is not subject to copyright protection (?:in|within) the united states", "protection", 0.8),
+    ("public-domain", "no rights reserved", "rights", 0.6),
+    ("public-domain", "(?:has|have) waived all copyright and related or neighboring rights", "neighboring", 0.95),
+    ("public-domain", "the authors? disclaims? (?:all )?copyright (?:to|in) this (?:source code|software|work)", "disclaims disclaim", 0.95),
+    ("gutenberg", "this ebook is for the use of anyone anywhere", "ebook", 0.95),
+    ("gutenberg", "you may copy it give it away or re use it under the terms of the project gutenberg license", "gutenberg", 1.0),
+    ("cc-by", "this is an open access article distributed under the terms of the creative commons attribution", "commons", 0.95),
+    ("cc-by-sa", "text is available under the creative commons attribution share ?alike", "commons", 0.95),
+    ("cc", "some rights reserved", "reserved", 0.4),
+    ("proprietary", "(?:trade secrets?|confidential information) of (?:\\S+ ){1,8}(?:and|is) (?:protected|strictly confidential)", "trade confidential", 0.8),
+    ("proprietary", "you may not (?:reverse engineer|decompile|disassemble)", "reverse decompile disassemble", 0.8),
+    ("proprietary", "this (?:software|program) is (?:licensed|licenced) not sold", "sold", 0.9),
+    ("proprietary", "end user licen[cs]e agreement", "agreement", 0.6),
+    ("proprietary", "(?:reproduction|duplication|republication) (?:in whole or in part )?without (?:prior |written |express )*permission is (?:strictly )?prohibited", "prohibited", 0.9),
+    ("personal-use", "free for (?:personal|non ?commercial|private|educational) use", "free", 0.6),
+    ("academic-use", "for (?:academic|research|educational) (?:use|purposes) only", "academic research educational", 0.6),
+    ("evaluation", "for evaluation (?:use|purposes) only", "evaluation", 0.8),
+    ("copyright", "all trademarks (?:and registered trademarks )?are (?:the )?property of their respective owners", "respective", 0.3),
     ("terms", "by using this (?:site|website|service) you agree to (?:the|our) terms", "terms", 0.3),
 )
 
-# Licenses that texts name: label, name as words (a pattern), the keyword in it.
+# Licenses that texts name: label, name as words (a pattern), the keywords in it.
 NAMES = (
     ("apache-2.0", "apache (?:software )?license (?:version |v )?2(?: 0)?", "apache"),
     ("apache-1.1", "apache (?:software )?license (?:version |v )?1 1", "apache"),
     ("mit", "(?:mit|expat) license", "license"),
-    ("bsd-2-clause", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd)(?: license)?", "bsd"),
-    ("bsd-2-clause", "freebsd license", "freebsd"),
+    ("bsd-2-clause", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd)(?: license)?", "bsd freebsd"),
     ("bsd-3-clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)(?: license)?", "bsd"),
     ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd)(?: license)?", "bsd"),
     ("gpl-2.0", "(?:gnu )?general public license (?:version |v )?2(?: 0)?", "general"),
@@ -178,11 +292,11 @@ def rules() -> list[Rule]:
         Rule(label_of(i), f"spdx license identifier {i}(?: only| or later)?", ("spdx",), 1.0)
         for i in sorted(IDENTIFIERS, key=len, reverse=True)
     ]
-    out += [Rule(label, pattern, (keyword,), weight) for label, pattern, keyword, weight in NOTICES]
+    out += [Rule(label, pattern, tuple(keywords.split()), weight) for label, pattern, keywords, weight in NOTICES]
     grant = "(?:licensed|released|distributed|available|published|provided) under (?:the terms of )?(?:the )?(?:gnu )?"
-    out += [Rule(label, grant + name, (keyword,), 0.95) for label, name, keyword in NAMES]
+    out += [Rule(label, grant + name, tuple(keywords.split()), 0.95) for label, name, keywords in NAMES]
     out += [Rule(label_of(i), grant + i + "(?: licen[cs]e)?", (i.split()[0],), 0.8) for i in sorted(IDENTIFIERS, key=len, reverse=True)]
-    out += [Rule(label, name, (keyword,), 0.6) for label, name, keyword in NAMES]
+    out += [Rule(label, name, tuple(keywords.split()), 0.6) for label, name, keywords in NAMES]
     out += [Rule(label_of(i), f"licen[cs]e {i}", (i.split()[0],), 0.5) for i in sorted(IDENTIFIERS, key=len, reverse=True)]
     sites = (
         ("apache-2.0", "apache org licenses license 2 0", "apache"), ("mit", "opensource org licenses mit(?: license php)?", "opensource"),
@@ -200,7 +314,7 @@ def rules() -> list[Rule]:
 
 class Scanner:
     def __init__(self, ordered: list[Rule]):
-        self.rules = [(r, re.compile(rf"(?<![^ ]){r.pattern}(?![^ ])".encode())) for r in ordered]
+        self.rules = [(r, re.compile(rf"(?<![^ ])(?:{r.pattern})(?![^ ])".encode())) for r in ordered]
         self.by_keyword: dict[bytes, list[int]] = {}
         for at, rule in enumerate(ordered):
             for keyword in rule.keywords:
