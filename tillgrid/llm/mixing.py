@@ -7,7 +7,10 @@ relative entropy) are exponentially tilted by the document's size: with at most
 convex dual. Its Newton steps run as aggregations over the table of distinct
 sizes per source; as a document belongs to one source, the Hessian is diagonal
 and every source takes its own step, kept in a bracket so that it cannot leave
-the side where the solution lies.
+the side where the solution lies. What is known of a source, its lambda and its
+bracket, is a row of a table that each step joins and writes anew, so nothing of
+the size of the number of sources comes to the driver or into one task. Sources
+that do not settle are an error.
 
 Rates are then rounded to whole copies. A source's documents are dealt into
 buckets by a hash, however large the source is; in a bucket they are taken from
@@ -24,19 +27,19 @@ from __future__ import annotations
 
 from math import ceil, floor
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillgrid.llm.common import WORD, stored
 from tillgrid.operators.joins import fits_broadcast
+from tillgrid.operators.ordinal import number_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
-STEPS, TOLERANCE = 60, 1e-9
+STEPS, TOLERANCE = 200, 1e-9
 BUCKET_ROWS = 20_000
-STEEPEST, MOST_EXPONENT = 700.0, 50.0
+STEEPEST, MOST_EXPONENT = 1e12, 50.0
 MOST_SOURCES = 10_000  # beyond so many sources their tables are joined by shuffle
 
 
@@ -53,13 +56,9 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
     the others until none is above. A step is one aggregate over the sources.
     """
     sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
     given = F.array(*map(F.lit, weights))
-    table = stored(
-        sums.withColumn("sid", F.row_number().over(order) - 1)
-        .withColumn("weight", F.element_at(given, (F.col("sid") % len(weights) + 1).cast("int"))),
-        "mix-sources",
-    )
+    numbered = number_rows(sums, [], F.col("source").asc_nulls_last(), "sid", start=0)
+    table = stored(numbered.withColumn("weight", F.element_at(given, (F.col("sid") % len(weights) + 1).cast("int"))), "mix-sources")
     limit = F.col("source_size") * F.lit(float(cap))
     total = float(table.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
     rate, capped = 0.0, -1
@@ -74,57 +73,57 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap:
 
 
 def tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
-    """sid, lam, scale for every source: rate = least(cap, exp(lam * size / scale)).
+    """sid, lam, scale for every source with tokens: rate = least(cap, exp(lam * size / scale)).
 
     Newton's method on the dual. Its data are the distinct sizes per source
-    with their counts; a source's values come to the driver as one row a step.
+    with their counts. A step reads the table of sources, adds up the tokens
+    taken and their slope for those that are open, and writes the table of the
+    next step; the driver learns how many are still open. A source is settled
+    when it meets its target, or when its bracket holds no number in between.
     """
     bins = stored(
         sizes.where("size > 0").groupBy("sid", "size").agg(F.sum("same").alias("n")).join(
-            small(targets.select("sid", "source_size", "target")), "sid"
+            small(targets.select("sid", "target")), "sid"
         ),
         "mix-sizes",
     )
-    info = bins.groupBy("sid").agg(F.sum(F.col("size") * F.col("n")).alias("all"), F.sum("n").alias("n"), F.first("target").alias("target")).collect()
-    state = {r.sid: [0.0, r["all"] / r.n, -STEEPEST, STEEPEST, float(r.target), float(r["all"])] for r in info}
-    for state_of in state.values():
-        target, everything = state_of[4:]
-        if target >= cap * everything:
-            state_of[0] = state_of[2] = STEEPEST
-        elif target <= 0:
-            state_of[0] = state_of[3] = -STEEPEST
-    active = {sid for sid, s in state.items() if 0 < s[4] < cap * s[5]}
-    spark = sizes.sparkSession
+    everything = F.sum(F.col("size") * F.col("n"))
+    start = bins.groupBy("sid").agg(everything.alias("all"), F.sum("n").alias("n"), F.first("target").alias("target"))
+    full, none = F.col("target") >= cap * F.col("all"), F.col("target") <= 0
+    state = stored(
+        start.select(
+            "sid", F.when(full, STEEPEST).when(none, -STEEPEST).otherwise(0.0).alias("lam"), (F.col("all") / F.col("n")).alias("scale"),
+            F.lit(-STEEPEST).alias("low"), F.lit(STEEPEST).alias("high"), (~full & ~none).alias("open"),
+        ),
+        "mix-tilts",
+    )
+    x = F.col("size") / F.col("scale")
+    free = F.exp(F.least(F.col("lam") * x, F.lit(MOST_EXPONENT)))
+    rate = F.least(free, F.lit(float(cap)))
+    known = ["lam", "scale", "low", "high", "target"]
+    miss = F.col("target") - F.col("taken")
+    met = F.abs(miss) <= F.lit(TOLERANCE) * F.col("target") + F.lit(1e-6)
+    newton = F.col("lam") + F.when(F.col("slope") > 0, miss / F.col("slope"))
+    reach = 1 + 8 * F.abs(F.col("lam"))  # a step goes no further, so that none has to be halved back from the bracket's ends
+    near, far = F.greatest("low", F.col("lam") - reach), F.least("high", F.col("lam") + reach)
     for _ in range(STEPS):
-        if not active:
-            break
-        now = spark.createDataFrame([(sid, state[sid][0], state[sid][1]) for sid in sorted(active)], "sid int, lam double, scale double")
-        x = F.col("size") / F.col("scale")
-        free = F.exp(F.least(F.col("lam") * x, F.lit(MOST_EXPONENT)))
-        rate = F.least(free, F.lit(float(cap)))
-        sums = (
-            bins.join(small(now), "sid").groupBy("sid")
-            .agg(
-                F.sum(F.col("n") * F.col("size") * rate).alias("taken"),
-                F.sum(F.when(free < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("slope"),
-            )
-            .collect()
+        left = state.where("open")
+        if left.isEmpty():
+            return state.select("sid", "lam", "scale")
+        sums = bins.join(small(left.drop("open")), "sid").groupBy("sid").agg(
+            F.sum(F.col("n") * F.col("size") * rate).alias("taken"),
+            F.sum(F.when(free < cap, F.col("n") * F.col("size") * x * rate).otherwise(0.0)).alias("slope"),
+            *[F.first(c).alias(c) for c in known],
         )
-        for row in sums:
-            lam, _, low, high, target, _ = state[row.sid]
-            miss = target - row.taken
-            if abs(miss) <= TOLERANCE * target + 1e-6:
-                active.discard(row.sid)
-                continue
-            low, high = (lam, high) if miss > 0 else (low, lam)
-            step = lam + miss / row.slope if row.slope > 0 else np.inf
-            if not low < step < high:
-                step = (low + high) / 2 if np.isfinite(low + high) else lam
-            state[row.sid][0], state[row.sid][2], state[row.sid][3] = float(step), low, high
-    return spark.createDataFrame([(sid, s[0], s[1]) for sid, s in state.items()], "sid int, lam double, scale double")
+        narrowed = sums.withColumns({"low": F.when(miss > 0, F.col("lam")).otherwise(F.col("low")), "high": F.when(miss > 0, F.col("high")).otherwise(F.col("lam"))})
+        stepped = narrowed.withColumn("step", F.when((newton > near) & (newton < far), newton).otherwise((near + far) / 2))
+        done = met | (F.col("step") == F.col("lam")) | (F.col("step") <= F.col("low")) | (F.col("step") >= F.col("high"))
+        after = stepped.select("sid", F.when(done, F.col("lam")).otherwise(F.col("step")).alias("lam"), "scale", "low", "high", (~done).alias("open"))
+        state = stored(after.unionByName(state.where("not open")), "mix-tilts")
+    raise RuntimeError(f"the rates of {state.where('open').count()} sources did not settle in {STEPS} steps")
 
 
-ROUNDED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("sid", pa.int32()), ("size", pa.int64()), ("same", pa.int64()), ("rate", pa.float64()), ("copies", pa.int32())])
+ROUNDED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("size", pa.int64()), ("same", pa.int64()), ("rate", pa.float64()), ("copies", pa.int32())])
 
 
 def rounded(bucket: pa.Table) -> pa.Table:
@@ -166,7 +165,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP)
         "row", "doc_id", "sid", "size", "same", F.when(F.col("size") > 0, F.coalesce(tilt, F.lit(0.0))).otherwise(1.0).alias("rate"),
         F.pmod("row", F.ceil(F.col("_n") / BUCKET_ROWS).cast("long")).alias("bucket"),
     )
-    copies = dealt.groupBy("sid", "bucket").applyInArrow(rounded, "row long, doc_id long, sid int, size long, same long, rate double, copies int")
+    copies = dealt.groupBy("sid", "bucket").applyInArrow(rounded, "row long, doc_id long, sid long, size long, same long, rate double, copies int")
     return copies.join(small(targets.select("sid", "source_size", "target")), "sid")
 
 
