@@ -81,6 +81,31 @@ def test_rates_are_tilted_by_size(spark, mixture):
         assert ordered in (sorted(ordered), sorted(ordered, reverse=True)) and max(ordered) <= 3
 
 
+def test_sizes_far_apart_meet_their_targets(spark):
+    """Targets near the cap need steep rates for the smallest; the bracket holds them."""
+    rows = [(i, "w " * n, s) for i, (n, s) in enumerate([(1, "a")] * 300 + [(200_000, "a")] + [(7, "b")] * 9000 + [(40_000, "c")] * 20)]
+    got = mixing.report(frame(spark, rows)).collect()
+    want, taken = targets_by_force(rows), {}
+    for row in got:
+        taken[rows[row.doc_id][2]] = taken.get(rows[row.doc_id][2], 0) + row.rate * row.size
+    for source, (_, target) in want.items():
+        assert taken[source] == pytest.approx(target, rel=1e-6), source
+
+
+def test_more_sources_than_are_broadcast(spark, monkeypatch):
+    """A source a row: their table is joined by shuffle, and none is lost."""
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 50)
+    count = 600
+    docs = spark.range(count).selectExpr(
+        "id doc_id", "repeat('w ', cast(1 + id % 7 as int)) text", "cast(id as string) source", "'x' size", "'y' row", "'z' sid", "1 copies"
+    )
+    got = {r.doc_id: r for r in mixing.report(docs).collect()}
+    want = targets_by_force([(i, "w " * (1 + i % 7), str(i)) for i in range(count)])
+    assert len(got) == count
+    for i, row in got.items():
+        assert (row.source_size, pytest.approx(row.target)) == want[str(i)] and row.rate * row.size == pytest.approx(row.target, rel=1e-6)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None)], [(1, "", "a"), (2, None, "b")], [(1, "one", "a")]])
 def test_small_mixes(spark, rows):
     got = mixing.report(frame(spark, rows)).collect()
@@ -280,6 +305,36 @@ def test_spans_of_mixed_text(model):
     assert abs(spans[0][1] - len(LANGS["en"])) <= 1
 
 
+def test_words_end_where_the_script_changes():
+    assert language.words_of("Это<b>mixedтекст</b>語の") == ["это", "b", "mixed", "текст", "b", "語", "の"]
+    assert language.words_of("l'été") == ["l", "été"] and language.words_of("12--") == []
+    assert "".join(language.words_of("ʰabʰгдeʰ")) == "ʰabʰгдeʰ" and language.words_of("ʰabʰгд") == ["ʰabʰ", "гд"]
+    source = random.Random(5)
+    for _ in range(300):
+        run = "".join(chr(source.choice([source.randrange(0x21, 0x600), source.randrange(0x3000, 0x3200), 0x20000])) for _ in range(12))
+        words = language.words_of(run)
+        assert "".join(words) == "".join(language.LETTERS.findall(run.lower()))
+        for word in words:
+            assert len({s for c in word if (s := language.script_of(c))}) <= 1
+
+
+def test_spans_of_text_without_blanks(spark):
+    """Languages of three scripts, and two of one script parted by markup, without one blank between them."""
+    han = ["的一是不了人我在有他", "这中大来上国个到说们"]
+    rows = [*((" ".join(LANGS[x]), x) for x in LANGS), *((t, "zh") for t in han), ("のにはをたがでてとし", "ja")] * 20
+    learned = language.learn(spark.createDataFrame([(i, *r, "x", "y") for i, r in enumerate(rows)], LABELLED))
+    own = language.Labeller(learned)
+    text = han[0] + "".join(LANGS["ru"]) + han[1] + "のにはをたがでてとし" + "<b>" + "</b><b>".join(LANGS["en"] + LANGS["fr"]) + "</b>"
+    assert " " not in text
+    assert [s[2] for s in own.spans(text)][:4] == ["zh", "ru", "zh", "ja"]
+    assert {"en", "fr"} <= {s[2] for s in own.spans(text)[4:]} <= {"en", "fr"}
+    spaced = own.spans("".join(LANGS["ru"]) + " " + "".join(LANGS["ru"]))
+    assert [s[:2] for s in spaced] == [(0, 2)]
+    before = own(["the of and", text])
+    own.forget()
+    assert own(["the of and", text]) == before and own([""]) == [("und", 0.0)]
+
+
 def test_shortcut_gives_the_best_path(model):
     """The path of the labeller against the best of all, by plain dynamic programming."""
     import numpy as np

@@ -6,10 +6,12 @@ language nor a large sign inventory loses any to the others, and the scripts
 that each language uses. It takes 8 bytes a pair of trigram and language and 16
 a trigram, in the driver and in every Python worker.
 
-A word's script leaves the languages written in it as candidates. Its score for
-a language is the sum of the smoothed log probabilities of its trigrams, and
-Viterbi with a penalty for each switch gives every word a language; runs of one
-language are the text's spans. The document's language is the one whose spans
+A word is a stretch of letters of one script: it ends at signs that are no
+letters and where the script changes, so text without blanks has words too. Its
+script leaves the languages written in it as candidates. Its score for a language
+is the sum of the smoothed log probabilities of its trigrams, and Viterbi with a
+penalty for each switch gives every word a language; runs of one language are
+the text's spans. The document's language is the one whose spans
 hold the most letters. Its score is their share of the letters, times the share
 of the trigrams that the model knows, so text like no learned language scores
 low.
@@ -63,10 +65,24 @@ def script_of(word: str) -> str:
     return next((name for c in word if (name := NAMES[bisect_right(STARTS, ord(c)) - 1])), "")
 
 
+def _pieces() -> regex.Pattern:
+    """Stretches of one script; signs without a script of their own go with the letters before them."""
+    ranges: dict[str, str] = {}
+    for start, end, name in zip(STARTS, [*STARTS[1:], 0x110000], NAMES):
+        ranges[name] = ranges.get(name, "") + f"\\U{start:08X}-\\U{end - 1:08X}"
+    neutral = ranges.pop("")
+    return regex.compile(f"[{neutral}]*(?:" + "|".join(f"[{own}][{own}{neutral}]*" for own in ranges.values()) + f")|[{neutral}]+")
+
+
+PIECES = _pieces()
+
+
 def words_of(run: str) -> list[str]:
-    """Words of letters in a run without blanks."""
+    """The words in a run without blanks: letters, cut where the script changes."""
     lowered = run.lower()
-    return [lowered] if lowered.isalpha() else LETTERS.findall(lowered)
+    if lowered.isascii():
+        return [lowered] if lowered.isalpha() else LETTERS.findall(lowered)
+    return [piece for word in LETTERS.findall(lowered) for piece in PIECES.findall(word)]
 
 
 def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -91,11 +107,9 @@ def learned_counts(docs: DataFrame) -> DataFrame:
             for lang, found in words.items():
                 each, scripts = Counter(), Counter()
                 for run, n in found.items():
-                    parts = words_of(run)
-                    for word in parts:
+                    for word in words_of(run):
                         each[word] += n
-                    if parts:
-                        scripts[script_of(parts[0])] += n * sum(map(len, parts))
+                        scripts[script_of(word)] += n * len(word)
                 codes, lengths = codes_of(list(each))
                 grams, at = np.unique(codes, return_inverse=True)
                 sums = np.zeros(len(grams), np.int64)
@@ -163,44 +177,37 @@ def learn(docs: DataFrame) -> Model:
 
 
 class Labeller:
-    """Scores of runs without blanks, remembered for ``REMEMBERED`` of them, and the best path through a text."""
+    """Scores of the words of runs without blanks, remembered for ``REMEMBERED`` words or runs, and the best path through a text."""
 
     def __init__(self, model: Model, switch: float = SWITCH):
         self.model, self.switch = model, switch
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # a run's place in ``ends``
+        self.ends = np.zeros(1, np.int64)  # the words of run i: ``rows`` from ends[i] to ends[i + 1]
         self.rows = np.zeros((0, len(self.model.langs)), np.float32)
-        self.facts = np.zeros((0, 3), np.int64)  # letters, trigrams, trigrams that are known
+        self.facts = np.zeros((0, 2), np.int64)  # trigrams (a letter each), trigrams that are known
 
     def meet(self, texts: list[str | None]) -> list[list[str]]:
-        """The runs of some texts; those not known yet are scored together."""
-        if len(self.known) > REMEMBERED:
+        """The runs of some texts; the words of those not known yet are scored together."""
+        if max(len(self.known), len(self.rows)) > REMEMBERED:
             self.forget()
         runs = [t.split() if t else [] for t in texts]
         new = list({r for own in runs for r in own if r not in self.known})
-        ends, letters, scripts, flat = [0], [], [], []
-        for run in new:
-            words = words_of(run)
-            flat += words
-            ends.append(len(flat))
-            letters.append(sum(map(len, words)))
-            scripts.append("latin" if words and words[0][0] < "\u02b0" else script_of("".join(words)))
-        if new:
-            scores, each, hits = self.scored(flat)
-            at = np.array(ends)
-            before = [np.concatenate([np.zeros((1, *x.shape[1:]), x.dtype), np.cumsum(x, axis=0)]) for x in (scores, each, hits)]
-            rows, grams, known = (x[at[1:]] - x[at[:-1]] for x in before)
+        parts = [words_of(run) for run in new]
+        flat = [word for words in parts for word in words]
+        self.known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
+        self.ends = np.concatenate([self.ends, len(self.rows) + np.cumsum([len(words) for words in parts], dtype=np.int64)])
+        if flat:
+            rows, each, hits = self.scored(flat)
             rows = rows.astype(np.float32)
-            for script in set(scripts):
-                written = self.model.scripts.get(script)
-                if written is not None and not written.all():
-                    chosen = (np.array(scripts) == script) & (grams > 0)
-                    rows[np.ix_(chosen, ~written)] += FLOOR
-            self.known.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+            scripts = np.array(["latin" if word[0] < "\u02b0" else script_of(word) for word in flat])
+            for script, written in self.model.scripts.items():
+                if not written.all():
+                    rows[np.ix_(scripts == script, ~written)] += FLOOR
             self.rows = np.concatenate([self.rows, rows])
-            self.facts = np.concatenate([self.facts, np.stack([letters, grams, known], axis=1)])
+            self.facts = np.concatenate([self.facts, np.stack([each, hits], axis=1)])
         return runs
 
     def scored(self, words: list[str]) -> list[np.ndarray]:
@@ -243,15 +250,15 @@ class Labeller:
             out.append(step[out[-1]])
         return np.array(out[::-1], np.int64)
 
-    def places(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, runs: list[str]) -> np.ndarray:
+        """The rows of the runs' words, in order."""
         at = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
-        facts = self.facts[at]
-        lettered = facts[:, 1] > 0
-        return at[lettered], facts[lettered]
+        first, counts = self.ends[at], self.ends[at + 1] - self.ends[at]
+        return np.arange(counts.sum()) + np.repeat(first - (np.cumsum(counts) - counts), counts)
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
-        """(first word, word after the last, language) over the words between blanks that have letters."""
-        places, _ = self.places(self.meet([text])[0])
+        """(first word, word after the last, language) over the words of the text."""
+        places = self.places(self.meet([text])[0])
         if not len(places) or not self.model.langs:
             return []
         path = self.path(self.rows[places])
@@ -259,13 +266,13 @@ class Labeller:
         return [(a, b, self.model.langs[path[a]]) for a, b in zip(cuts, cuts[1:])]
 
     def label(self, runs: list[str]) -> tuple[str, float]:
-        places, facts = self.places(runs)
+        places = self.places(runs)
         if not len(places) or not self.model.langs:
             return "und", 0.0
-        path = self.path(self.rows[places])
+        path, facts = self.path(self.rows[places]), self.facts[places]
         letters = np.bincount(path, facts[:, 0], len(self.model.langs))
         best = int(letters.argmax())
-        return self.model.langs[best], float(letters[best] / letters.sum() * facts[:, 2].sum() / facts[:, 1].sum())
+        return self.model.langs[best], float(letters[best] / letters.sum() * facts[:, 1].sum() / facts[:, 0].sum())
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         return [self.label(runs) for runs in self.meet(texts)]
