@@ -6,6 +6,9 @@ import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
 
+from tillgrid.operators import header, joins
+from tillgrid.testbed import tables
+
 
 @pytest.fixture(scope="module")
 def idle(spark, tmp_path_factory):
@@ -28,3 +31,34 @@ def idle(spark, tmp_path_factory):
 @pytest.mark.parametrize("name", ["kpi_extract", "kpi_categories", "kpi_long_labels", "kpi_flatten", "kpi_message"])
 def test_days_without_turnover(spark, idle, name):
     assert difference(spark, connect(idle), name, idle) == ""
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_are_built_in_one_pass(spark):
+    """The lines are read once, and what is shuffled has no cells yet."""
+    plan = plan_of(tables.report_grid(spark, "/root/testdata/sf0.001"))
+    assert plan.count("l_extendedprice") and plan.count("FileScan parquet [l_") == 1
+    assert plan.count("Exchange hashpartitioning(file_id") == 1
+
+
+def test_preview_takes_the_rows_that_matter(spark):
+    cells = [["x", "y", str(i)] for i in range(30)]
+    cells[3], cells[5], cells[9], cells[25] = ["Business Dates", "1/1/2026", "z"], [" Business Dates ", "2/1/2026", "z"], ["Menu Item Name", "a", "b"], ["Menu Item Name"]
+    grid = spark.createDataFrame([("f", "f.csv", i, c) for i, c in enumerate(cells)], "file_id string, file_name string, row_idx bigint, cells array<string>")
+    kept = header.preview_by_file(grid).first().preview
+    assert [(r.row_idx, len(r.cells)) for r in kept] == [(0, 3), (3, 2), (5, 2), (9, 3)]
+    meta = header.file_meta(grid).first()
+    assert (meta.header_row, meta.business_date, meta.header) == (9, "2/1/2026", cells[9])
+    other = header.file_meta(grid.where("row_idx not in (9, 25)")).first()
+    assert (other.header_row, other.business_date, other.header) == (0, "2/1/2026", ["x", "y", "0"])
+
+
+def test_join_without_hot_keys_is_plain(spark):
+    facts = spark.range(300).select((F.col("id") % 50).alias("key"), "id")
+    dim = spark.range(40).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    joined = joins.spread_join(facts, dim, ["key"])
+    assert joined.columns == ["key", "id", "v"] and joined.where("v is null").count() == 60 and joined.count() == 300
+    assert "_join_salt" not in plan_of(joined) and "_join_salt" in plan_of(joins.spread_join(facts, dim, ["key"], hot_rows=2))
