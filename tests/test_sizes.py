@@ -7,6 +7,7 @@ from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tillgrid.operators import header, joins
+from tillgrid.sources import csv_grid
 from tillgrid.testbed import tables
 
 
@@ -62,3 +63,12 @@ def test_join_without_hot_keys_is_plain(spark):
     joined = joins.spread_join(facts, dim, ["key"])
     assert joined.columns == ["key", "id", "v"] and joined.where("v is null").count() == 60 and joined.count() == 300
     assert "_join_salt" not in plan_of(joined) and "_join_salt" in plan_of(joins.spread_join(facts, dim, ["key"], hot_rows=2))
+
+
+def test_starts_of_splits(spark):
+    """Quotes carry over from split to split of a file; no Python group per file."""
+    rows = [("a", 0, True, False, 3, 9), ("a", 20, False, True, 4, 5), ("a", 10, True, True, 1, 2), ("b", 0, False, True, 7, 7)]
+    kinds = "file_id string, block_start bigint, out_end boolean, in_end boolean, out_records bigint, in_records bigint"
+    starts = csv_grid.split_starts(spark.createDataFrame(rows, kinds))
+    assert sorted(map(tuple, starts.collect())) == [("a", 0, False, True, 0), ("a", 10, True, True, 3), ("a", 20, True, True, 5), ("b", 0, False, False, 0)]
+    assert "Pandas" not in plan_of(starts)
