@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillgrid.operators.spec import ITEM_SALES
 from tillgrid.plans import item_sales as plan
 from tillgrid.plans import status_report
+from tillgrid.session import LISTING_TASKS
 from tillgrid.operators import status
 from tillgrid.sinks import store
 from tillgrid.sinks.tables import append_audit, write_digest, write_kpi, write_report, write_status, write_upload_csv
@@ -343,3 +344,20 @@ def test_outcome_of_a_store(spark, run, dim, tmp_path):
     ]
     lines = [r.value for r in spark.read.text(str(tmp_path / "out" / "digest" / RUN)).collect()]
     assert lines[-1].startswith("Hill 1 ") and lines[-1].endswith("❌  missing column: Menu Item #")
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(150):
+        (tmp_path / f"file_id={i}").mkdir()
+        (tmp_path / f"file_id={i}" / "report.txt").write_text(f"a,{i}")
+    before, context = spark.conf.get(LISTING_TASKS), spark.sparkContext
+    context.setJobGroup("listing", "folders of landed files")
+    try:
+        files = csv_grid.whole_files(spark, str(tmp_path), "*.txt")
+        tracker = context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+        tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 4 * context.defaultParallelism
+    assert files.count() == 150 and spark.conf.get(LISTING_TASKS) == before
