@@ -346,6 +346,25 @@ def test_outcome_of_a_store(spark, run, dim, tmp_path):
     assert lines[-1].startswith("Hill 1 ") and lines[-1].endswith("❌  missing column: Menu Item #")
 
 
+def test_locations_are_worked_out_once_for_all_batches(spark, dim, tmp_path):
+    landing, asked = tmp_path / "landing", spark.sparkContext.accumulator(0)
+    landing.mkdir()
+    for i, place in enumerate(["Hill", "Bay_North", "Nowhere"]):
+        path = write_csv(landing / f"{RUN}_{place}_raw.csv", report())
+        os.utime(path, (1000 + i, 1000 + i))
+
+    def look(batches):
+        asked.add(1)
+        yield from batches
+
+    looked_up = dim.coalesce(1).mapInArrow(look, dim.schema)
+    place = str(tmp_path / "store")
+    incremental.ingest(spark, str(landing), looked_up, place, str(tmp_path / "checkpoint"), max_files=1).awaitTermination()
+    assert sorted(r.outcome for r in store.read_decisions(spark, place).collect()) == ["accepted", "accepted", "unmatched"]
+    assert len(os.listdir(f"{place}/audit")) == 3
+    assert asked.value == 1
+
+
 def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
     for i in range(150):
         (tmp_path / f"file_id={i}").mkdir()
