@@ -141,3 +141,21 @@ def test_columnar_encoder_equals_the_library():
         assert got == want
     flat, sizes = encoder(pa.array([], pa.string()))
     assert len(flat) == len(sizes) == 0
+
+
+def test_words_are_remembered_as_numbers_within_a_bound(monkeypatch, library):
+    """The memory holds ids as arrays, one entry a word, and starts anew above its bound."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_orc, "REMEMBERED", 20)
+    monkeypatch.setattr(token_orc, "JOINED", 3)
+    encoder = token_orc.Encoder(bpe.read_vocabulary(PATH))
+    for i in range(30):
+        texts = [f"Word{chr(97 + i % 26)} again, ß {chr(97 + i % 26) * j}!? x{j}" for j in range(5)]
+        flat, sizes = encoder(pa.array(texts))
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert flat.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+        assert len(encoder.sizes) == len(encoder.words) + 1 <= 31 and encoder.sizes.sum() == len(encoder.flat)
+        some = next(w for w in encoder.words if len(w) > 1)
+        at = encoder.sizes[: encoder.words[some]].sum()
+        assert encoder.flat[at : at + encoder.sizes[encoder.words[some]]].tolist() == library.encode(some, add_special_tokens=False).ids

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tillgrid.llm.bpe import SPACE, packed_ids
 from tillgrid.llm.common import LONGEST, Batches, Remembered, batch_of, in_batches
 
-JOINED = 2_000  # runs encoded in one call
+JOINED = 500  # words encoded in one call
 REMEMBERED = 500_000  # words that a worker remembers
 # White space that the library knows beside ASCII's.
 WIDE_SPACE = "[\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
@@ -39,6 +39,19 @@ PLAIN = rf"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]{{1,{LONGEST}}})(?P<marks>[!-/:-@\[-
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 COLUMNS = "doc_id long, segment int, local_start long, n_tokens long, ids array<int>"
+NO_IDS = np.zeros(0, "<u4")
+
+
+def listed(texts: pa.Array) -> list[str]:
+    """Texts as Python strings; a list by way of NumPy takes a tenth of ``to_pylist``'s time."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def taken(flat: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of ``flat``, which has them one after the other, in the order chosen, and the edges of those taken."""
+    starts, counts = (np.cumsum(lengths) - lengths)[chosen], lengths[chosen]
+    edges = np.concatenate([[0], np.cumsum(counts)])
+    return flat[np.repeat(starts - edges[:-1], counts) + np.arange(edges[-1])], edges
 
 
 class Encoder:
@@ -65,61 +78,62 @@ class Encoder:
         self.ends = np.zeros(1 + max(model["vocab"].values()), bool)
         self.ends[[i for token, i in model["vocab"].items() if suffix and token.endswith(suffix)]] = True
         self.runs = re.compile(f"[^{SPACE}]+")
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, int] = {}  # the numbers of words among the units
+        self.flat, self.sizes = NO_IDS, np.zeros(1, np.int64)  # ids of the units; unit 0 is empty
         self.others = Remembered(self.ids)  # marks, and runs that are no word with marks
 
     def ids(self, text: str) -> bytes:
         return packed_ids(self.own.encode(text, add_special_tokens=False).ids)
 
-    def ask(self, words: list[str]) -> None:
-        ids = self.own.encode(" ".join(words), add_special_tokens=False).ids
-        cuts = [0, *(4 * (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1)).tolist()]
-        if len(cuts) == len(words) + 1:
-            packed = packed_ids(ids)
-            self.words.update((w, packed[a:b]) for w, a, b in zip(words, cuts, cuts[1:]))
-        else:  # the ends do not tell
-            self.words.update((w, self.ids(w)) for w in words)
-
-    def of_words(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words in lower case."""
-        if len(self.words) > REMEMBERED:
+    def ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words one after the other, and how many each has."""
+        ids = np.array(self.own.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(words):
+            return ids, np.diff(cuts, prepend=0)
+        each = [np.frombuffer(self.ids(w), "<u4") for w in words]  # the ends do not tell
+        return np.concatenate(each), np.array([len(e) for e in each], np.int64)
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct words in lower case among the units."""
+        if not self.words or len(self.words) > REMEMBERED:
             self.words.clear()
+            self.flat, self.sizes = NO_IDS, np.zeros(1, np.int64)
         found = list(map(self.words.get, words))
         absent = list(compress(range(len(words)), map(is_, found, repeat(None))))
-        for at in range(0, len(absent), JOINED):
-            self.ask([words[i] for i in absent[at : at + JOINED]])
-        for i in absent:
-            found[i] = self.words[words[i]]
-        return found
-
-    def of_runs(self, runs: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Ids of the units that runs are made of, and of each run its two units; the first unit is empty."""
+        if absent:
+            new = [words[i] for i in absent]
+            told = [self.ask(new[at : at + JOINED]) for at in range(0, len(new), JOINED)]
+            numbers = range(len(self.sizes), len(self.sizes) + len(new))
+            self.words.update(zip(new, numbers))
+            self.flat, self.sizes = (np.concatenate([have, *more]) for have, more in zip((self.flat, self.sizes), zip(*told)))
+            for i, number in zip(absent, numbers):
+                found[i] = number
+        return np.array(found, np.int64)
+
+    def of_runs(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and sizes of the units that runs are made of, and of each run its two units; the first unit is empty."""
         split = pc.extract_regex(runs, PLAIN)
         plain = split.is_valid().to_numpy(zero_copy_only=False)
         words = pc.utf8_lower(split.field(0).filter(pa.array(plain))).dictionary_encode()
         marks = split.field(1).filter(pa.array(plain)).dictionary_encode()
-        units = [b"", *self.of_words(words.dictionary.to_pylist())]
         first, second = np.zeros(len(runs), np.int64), np.zeros(len(runs), np.int64)
-        first[plain] = words.indices.to_numpy() + 1
-        second[plain] = marks.indices.to_numpy() + len(units)
-        units += map(self.others.__getitem__, marks.dictionary.to_pylist())
-        first[~plain] = np.arange(len(units), len(units) + len(runs) - plain.sum())
-        units += map(self.others.__getitem__, runs.filter(pa.array(~plain)).to_pylist())
-        return units, first, second
+        first[plain] = self.of_words(listed(words.dictionary))[words.indices.to_numpy()]
+        second[plain] = marks.indices.to_numpy() + len(self.sizes)
+        first[~plain] = np.arange(len(runs) - plain.sum()) + len(self.sizes) + len(marks.dictionary)
+        others = [self.others[text] for text in (*listed(marks.dictionary), *listed(runs.filter(pa.array(~plain))))]
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join(others), "<u4")])
+        return flat, np.concatenate([self.sizes, np.fromiter(map(len, others), np.int64, len(others)) // 4]), first, second
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
         odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, WIDE_SPACE)).fill_null(False)
         parted = pc.ascii_split_whitespace(pc.if_else(odd, "", texts.fill_null("")))
         coded = parted.flatten().dictionary_encode()
-        units, first, second = self.of_runs(coded.dictionary)
-        of_run = coded.indices.to_numpy()
-        unit = np.stack([first[of_run], second[of_run]], axis=1).ravel()
-        lengths = np.fromiter(map(len, units), np.int64, len(units)) // 4
-        starts, counts = (np.cumsum(lengths) - lengths)[unit], lengths[unit]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        flat = np.frombuffer(b"".join(units), "<u4")[np.repeat(starts - ends[:-1], counts) + np.arange(ends[-1])]
-        edges = ends[2 * np.concatenate([[0], np.cumsum(parted.value_lengths().to_numpy())])]
+        known, lengths, first, second = self.of_runs(coded.dictionary)
+        of_each, cuts = taken(known, lengths, np.stack([first, second], axis=1).ravel())  # the ids of each distinct run
+        flat, ends = taken(of_each, np.diff(cuts[::2]), coded.indices.to_numpy())
+        edges = ends[np.concatenate([[0], np.cumsum(parted.value_lengths().to_numpy())])]
         sizes = np.diff(edges)
         rest = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if len(rest):  # texts with marks of special tokens or white space beyond ASCII
