@@ -72,3 +72,16 @@ def test_starts_of_splits(spark):
     starts = csv_grid.split_starts(spark.createDataFrame(rows, kinds))
     assert sorted(map(tuple, starts.collect())) == [("a", 0, False, True, 0), ("a", 10, True, True, 3), ("a", 20, True, True, 5), ("b", 0, False, False, 0)]
     assert "Pandas" not in plan_of(starts)
+
+
+def test_listed_rows_are_made_once(spark):
+    """No filter on the size of a report's listed rows, which would build them a second time."""
+    plan = plan_of(tables.report_grid(spark, "/root/testdata/sf0.001"))
+    assert "Generate inline(" in plan and "Filter (size(" not in plan
+
+
+def test_money_text_names_its_input_once(spark):
+    cents = [0, 5, -5, 99, -100, 123456, -987654321, 2**62, None]
+    df = spark.createDataFrame([(c,) for c in cents], "c bigint").select(tables.money_text(F.col("c")).alias("m"))
+    assert [r.m for r in df.collect()] == ["0.00", "0.05", "-0.05", "0.99", "-1.00", "1234.56", "-9876543.21", "46116860184273879.04", None]
+    assert plan_of(df).count("cast(c#") == 1
