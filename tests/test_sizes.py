@@ -85,3 +85,10 @@ def test_money_text_names_its_input_once(spark):
     df = spark.createDataFrame([(c,) for c in cents], "c bigint").select(tables.money_text(F.col("c")).alias("m"))
     assert [r.m for r in df.collect()] == ["0.00", "0.05", "-0.05", "0.99", "-1.00", "1234.56", "-9876543.21", "46116860184273879.04", None]
     assert plan_of(df).count("cast(c#") == 1
+
+
+def test_names_of_a_header_are_made_once(spark):
+    headers = [["a ", "b", "a", "a.1", "a", ""], ["x", " y", "", "", "Unnamed: 4"], [], None, ["", None, "z", "z"]]
+    df = spark.createDataFrame([(h,) for h in headers], "h array<string>").select(header.clean_header(F.col("h")).alias("n"))
+    assert [r.n for r in df.collect()] == [["a", "b", "a.2", "a.1", "a.3", None], ["x", "y", None, None, None], [], None, [None, None, "z", "z.1"]]
+    assert plan_of(df.limit(1)).count("regexp_replace") == 1
