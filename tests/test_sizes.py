@@ -7,6 +7,8 @@ from compare import connect, difference
 from pyspark.sql import functions as F
 
 from tillgrid.operators import header, joins
+from tillgrid.operators.spec import ITEM_SALES, target_columns
+from tillgrid.plans import item_sales
 from tillgrid.sources import csv_grid
 from tillgrid.testbed import tables
 
@@ -92,3 +94,29 @@ def test_names_of_a_header_are_made_once(spark):
     df = spark.createDataFrame([(h,) for h in headers], "h array<string>").select(header.clean_header(F.col("h")).alias("n"))
     assert [r.n for r in df.collect()] == [["a", "b", "a.2", "a.1", "a.3", None], ["x", "y", None, None, None], [], None, [None, None, "z", "z.1"]]
     assert plan_of(df.limit(1)).count("regexp_replace") == 1
+
+
+def test_a_shuffled_grid_takes_only_the_wanted_cells_along(spark):
+    """Other places per file, a file without the column, long and short rows; the same items as with all cells."""
+    heads = {"f": ["Menu Item Name", "Menu Item #", "x", "Qty Sold"], "g": ["Menu Item Name", "Qty Sold", "y", "z", "Menu Item #"], "h": ["Menu Item Name", "q"], None: ["Menu Item Name", "Menu Item #"]}
+    rows = []
+    for file, head in heads.items():
+        body = [["n", str(i), "7", str(i + 1), str(i + 2), "more"][: len(head) + i - 2] for i in range(4)]
+        rows += [(file, "r.csv", i, c) for i, c in enumerate([["Business Dates", "1/1/2026"], head, *body])]
+    grid = spark.createDataFrame(rows, "file_id string, file_name string, row_idx bigint, cells array<string>").withColumn("modified_at", F.lit(None).cast("timestamp"))
+    wanted = ["Menu Item #", "Qty Sold"]
+    targets = ["POS Item ID *", "Sold QTY *"]
+
+    def items(**how):
+        found = item_sales.rows_of_grid(grid, **how)
+        shown = item_sales.item_rows(found).select("file_id", "row_idx", *target_columns(ITEM_SALES, targets))
+        return sorted(map(tuple, shown.collect())), sorted((r.file_id, r.row_idx) for r in item_sales.rejected_rows(found).collect()), found
+
+    whole, narrow = items(), items(max_rows=0, only=wanted)
+    assert whole[:2] == narrow[:2] and whole[0] and whole[1]
+    assert narrow[2].selectExpr("max(size(cells))").first()[0] == 3  # places 1, 3 and 4
+    monkey, item_sales.MOST_PLACES = item_sales.MOST_PLACES, 2
+    try:
+        assert items(max_rows=0, only=wanted)[:2] == whole[:2]
+    finally:
+        item_sales.MOST_PLACES = monkey
