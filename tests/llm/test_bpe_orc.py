@@ -64,6 +64,15 @@ def test_memory_of_words_is_bounded(monkeypatch):
     assert len(own.chunk_ids) <= 10 and len(own.chunk_ids.older) <= 10
 
 
+def test_words_are_remembered_no_longer_than_the_task():
+    content = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    with bpe.codec(content) as own:
+        assert own.encode("some words, some more") and own.chunk_ids and own.word_ids
+    assert not own.chunk_ids and not own.word_ids
+    with bpe.codec(content) as again:
+        assert again is own
+
+
 def test_round_trip(spark, library, texts):
     rows = [(i, t, "x", "y") for i, t in enumerate(texts)] + [(None, "ab", "x", "y"), (3, texts[3], "x", "y")]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -298,6 +300,39 @@ def test_scores_are_those_of_plain_counts(spark):
         assert row == pytest.approx(want, abs=1e-5) and (n, k) == (len(own), sum(g in grams for g in own))
 
 
+def test_texts_of_a_batch_are_labelled_in_parts(model, monkeypatch):
+    texts = [t for _, t, _ in labelled_rows(120, 5)] + [None, "", "123", "the " * 300]
+    want, whole = language.Labeller(model)(texts), language.Labeller.meet
+    met = []
+    monkeypatch.setattr(language.Labeller, "meet", lambda self, own: met.append([len(t or "") for t in own]) or whole(self, own))
+    for name, value in (("TEXTS", 500), ("PART", 40), ("REMEMBERED", 30)):
+        monkeypatch.setattr(language, name, value)
+    own = language.Labeller(model)
+    assert own(texts) == want
+    assert sum(map(len, met)) == len(texts) and all(sum(sizes[:-1]) <= 500 for sizes in met) and len(met) > 10
+
+
+def test_counts_of_a_batch_are_passed_on_in_parts(spark, monkeypatch):
+    rows = [(lang, text) for _, text, lang in labelled_rows(200, 6)] + [("ru", "слово" * 50), ("en", "12 --"), ("fr", "")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["lang", "text"])
+    runs = []
+    docs, none = spark.createDataFrame(rows, "lang string, text string"), spark.createDataFrame([], "lang string, script string, gram long, n long")
+    monkeypatch.setattr(language, "in_batches", lambda df, run, schema: runs.append(run) or none)
+    language.learned_counts(docs)
+
+    def counts():
+        parts, sums = list(runs[0](iter([batch]))), Counter()
+        for row in (r for p in parts for r in p.to_pylist()):
+            sums[row["lang"], row["script"], row["gram"]] += row["n"]
+        return parts, sums
+
+    _, want = counts()
+    monkeypatch.setattr(language, "COUNTED", 20)
+    monkeypatch.setattr(language, "PART", 60)
+    parts, got = counts()
+    assert got == want and len(parts) > 10 and max(p.num_rows for p in parts) <= 60 + 250
+
+
 def test_spans_of_mixed_text(model):
     text = " ".join(LANGS["en"] + LANGS["fr"] + LANGS["ru"] + LANGS["en"])
     spans = language.Labeller(model).spans(text)

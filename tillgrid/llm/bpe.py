@@ -20,6 +20,8 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from tillgrid.llm.common import Batches, Remembered, batch_of, in_batches
 
 SHORT = 128
+KNOWN = 100_000  # of runs and of words, at most twice as many are remembered
 # Fixed values of the tokenizer format: Unicode's white space, and how words are taken from a text.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -68,8 +71,11 @@ class Codec:
         self.tokens = {i: t for t, i in {**self.vocab, **self.special}.items()}
         self.chunks = re.compile(f"[^{SPACE}]+")
         self.pieces = regex.compile(PIECES)
-        self.chunk_ids = Remembered(self.encode_chunk)
-        self.word_ids = Remembered(self.encode_word)
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunk_ids = Remembered(self.encode_chunk, KNOWN)
+        self.word_ids = Remembered(self.encode_word, KNOWN)
 
     def parts(self, word: str) -> list[int]:
         signs = [self.signs[b] for b in word.encode()]
@@ -154,13 +160,17 @@ class Codec:
 _codecs: dict[int, Codec] = {}
 
 
-def codec(content: str) -> Codec:
-    """The codec of a vocabulary, kept for the life of the worker so that its memory of words is used again."""
+@contextmanager
+def codec(content: str) -> Iterator[Codec]:
+    """The codec of a vocabulary, kept for the life of the worker; the words it remembers go with the task, so no later stage holds them."""
     key = hash(content)
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(content)
-    return _codecs[key]
+    try:
+        yield _codecs[key]
+    finally:
+        _codecs[key].forget()
 
 
 def read_vocabulary(path: str) -> str:
@@ -176,10 +186,10 @@ def encoded(docs: DataFrame, content: str, keep: str = "doc_id", text: str = "te
     kind = rows.schema[keep].dataType.simpleString()
 
     def run(batches: Batches) -> Batches:
-        own = codec(shared.value)
-        for batch in batches:
-            ids = [own.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[keep, "ids"])
+        with codec(shared.value) as own:
+            for batch in batches:
+                ids = [own.encode(t) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[keep, "ids"])
 
     return in_batches(rows, run, f"`{keep}` {kind}, ids binary")
 
@@ -191,10 +201,10 @@ def decoded(ids: DataFrame, content: str, keep: str = "doc_id") -> DataFrame:
     kind = rows.schema[keep].dataType.simpleString()
 
     def run(batches: Batches) -> Batches:
-        own = codec(shared.value)
-        for batch in batches:
-            texts = [own.decode(i or b"") for i in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[keep, "text"])
+        with codec(shared.value) as own:
+            for batch in batches:
+                texts = [own.decode(i or b"") for i in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[keep, "text"])
 
     return in_batches(rows, run, f"`{keep}` {kind}, text string")
 
@@ -210,15 +220,15 @@ def round_trip(docs: DataFrame, content: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def run(batches: Batches) -> Batches:
-        own = codec(shared.value)
-        for batch in batches:
-            count, ids_hash, text_hash = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = own.encode(text)
-                count.append(len(ids) // 4)
-                ids_hash.append(sha256(ids).hexdigest())
-                text_hash.append(sha256(own.decode(ids).encode()).hexdigest())
-            yield batch_of(DIGEST, [batch.column(0), count, ids_hash, text_hash])
+        with codec(shared.value) as own:
+            for batch in batches:
+                count, ids_hash, text_hash = [], [], []
+                for text in batch.column(1).to_pylist():
+                    ids = own.encode(text)
+                    count.append(len(ids) // 4)
+                    ids_hash.append(sha256(ids).hexdigest())
+                    text_hash.append(sha256(own.decode(ids).encode()).hexdigest())
+                yield batch_of(DIGEST, [batch.column(0), count, ids_hash, text_hash])
 
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return in_batches(docs.selectExpr("cast(doc_id as long) doc_id", "text"), run, kind)

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillgrid.llm.common import REMEMBERED, Batches, batch_of, in_batches, stored
+from tillgrid.llm.common import Batches, batch_of, in_batches, stored
 
 SWITCH = 12.0
 SMOOTH = 0.5
-COUNTED = 400_000  # distinct runs that a task counts before it passes on their trigrams
-PART = 200_000  # letters whose trigrams are looked up at once
+COUNTED = 100_000  # distinct runs that a task counts before it passes on their trigrams
+PART = 200_000  # letters whose trigrams are taken at once
+TEXTS = 500_000  # characters of texts that are labelled at once, or a longer text
+REMEMBERED = 150_000  # words or runs that a worker remembers
 USED = 0.01  # a language is written in a script that has at least this share of its letters
 FLOOR = -30.0  # the score of a word for a language that is not written in its script
 
@@ -85,6 +88,19 @@ def words_of(run: str) -> list[str]:
     return [piece for word in LETTERS.findall(lowered) for piece in PIECES.findall(word)]
 
 
+def in_parts(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """The texts in order, so many at once that all but the last make up at most ``size`` characters."""
+    part, held = [], 0
+    for text in texts:
+        if held > size:
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text or "")
+    if part:
+        yield part
+
+
 def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The trigrams of ``^word$`` for each word, a number each, and how many each word has: its length."""
     each = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -110,20 +126,22 @@ def learned_counts(docs: DataFrame) -> DataFrame:
                     for word in words_of(run):
                         each[word] += n
                         scripts[script_of(word)] += n * len(word)
-                codes, lengths = codes_of(list(each))
-                grams, at = np.unique(codes, return_inverse=True)
-                sums = np.zeros(len(grams), np.int64)
-                np.add.at(sums, at, np.repeat(np.fromiter(each.values(), np.int64, len(each)), lengths))
-                k, m = len(scripts), len(grams)
-                columns = [[lang] * (k + m), [*scripts, *[None] * m], [*[None] * k, *grams.tolist()], [*scripts.values(), *sums.tolist()]]
-                yield batch_of(COUNTS, columns)
+                k = len(scripts)
+                yield batch_of(COUNTS, [[lang] * k, list(scripts), [None] * k, list(scripts.values())])
+                for part in in_parts(list(each), PART):
+                    codes, lengths = codes_of(part)
+                    grams, at = np.unique(codes, return_inverse=True)
+                    sums = np.zeros(len(grams), np.int64)
+                    np.add.at(sums, at, np.repeat(np.fromiter(map(each.__getitem__, part), np.int64, len(part)), lengths))
+                    m = len(grams)
+                    yield batch_of(COUNTS, [[lang] * m, [None] * m, grams, sums])
             words.clear()
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 words.setdefault(lang, Counter()).update(text.split())
-            if sum(map(len, words.values())) > COUNTED:
-                yield from out()
+                if sum(map(len, words.values())) > COUNTED:
+                    yield from out()
         yield from out()
 
     return in_batches(rows, run, "lang string, script string, gram long, n long").groupBy("lang", "script", "gram").agg(F.sum("n").alias("n"))
@@ -212,14 +230,7 @@ class Labeller:
 
     def scored(self, words: list[str]) -> list[np.ndarray]:
         """The model's scores of words, taken in parts of some letters."""
-        parts, held = [[]], 0
-        for word in words:
-            if held > PART:
-                parts.append([])
-                held = 0
-            parts[-1].append(word)
-            held += len(word)
-        return [np.concatenate(x) for x in zip(*map(self.model.scores, parts))]
+        return [np.concatenate(x) for x in zip(*map(self.model.scores, in_parts(words, PART)))]
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The best sequence of languages.
@@ -275,7 +286,7 @@ class Labeller:
         return self.model.langs[best], float(letters[best] / letters.sum() * facts[:, 1].sum() / facts[:, 0].sum())
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        return [self.label(runs) for runs in self.meet(texts)]
+        return [self.label(runs) for part in in_parts(texts, TEXTS) for runs in self.meet(part)]
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
