@@ -380,3 +380,28 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
         context.setLocalProperty("spark.jobGroup.id", None)
     assert tasks and max(tasks) <= 4 * context.defaultParallelism
     assert files.count() == 150 and spark.conf.get(LISTING_TASKS) == before
+
+
+def test_tables_have_folders_by_day_and_replace_by_key(spark, tmp_path):
+    """Folders do not grow with locations or codes; a rerun replaces its keys, also undated and missing ones, and leaves their neighbours."""
+    day = F.when(F.col("id") % 5 == 0, F.concat(F.lit("undated_"), "id")).otherwise(F.lit("2026-04-15"))
+    place = F.when(F.col("id") != 77, F.concat(F.lit("L_"), "id"))
+    rows = spark.range(100).select("id", day.alias("business_day"), place.alias("location_key"), F.lit(1).alias("n"))
+    table, kpi = str(tmp_path / "table"), str(tmp_path / "kpi")
+    as_kpi = rows.select(F.col("business_day").alias("Date"), F.col("location_key").alias("Code"), "id", "n").where("id % 5 > 0")
+    write_report(rows.where("id < 0"), table)
+    write_report(rows, table)
+    write_kpi(as_kpi, kpi)
+    leaves = [d for d, below, _ in os.walk(table) if not below]
+    assert len(leaves) <= 8 and len([d for d, below, _ in os.walk(kpi) if not below]) <= 4
+    again = rows.where("id in (1, 5, 77)").withColumn("n", F.lit(2)).withColumn("more", F.lit("x"))
+    write_report(again, table)
+    write_kpi(as_kpi.where("id in (1, 77)").withColumn("n", F.lit(2)), kpi)
+    back = spark.read.option("mergeSchema", True).parquet(table)
+    assert sorted((r.id, r.n, r.more) for r in back.collect()) == [(i, 2, "x") if i in (1, 5, 77) else (i, 1, None) for i in range(100)]
+    assert sorted((r.id, r.n) for r in spark.read.parquet(kpi).collect()) == [(i, 2 if i in (1, 77) else 1) for i in range(100) if i % 5]
+    write_report(rows.selectExpr("id + 200 id", "if(id < 2, '007', '2026-4-5') business_day", "location_key", "n").where("id < 210"), table)
+    write_report(spark.read.parquet(table).where("id = 201").withColumn("n", F.lit(4)), table)
+    assert spark.read.parquet(table).where("n = 4").count() == 1 and spark.read.parquet(table).count() == 110
+    write_report(spark.read.parquet(table).where("id = 2").withColumn("n", F.lit(3)), table)
+    assert spark.read.parquet(table).where("n = 3").count() == 1 and spark.read.parquet(table).count() == 110
