@@ -120,3 +120,48 @@ def test_a_shuffled_grid_takes_only_the_wanted_cells_along(spark):
         assert items(max_rows=0, only=wanted)[:2] == whole[:2]
     finally:
         item_sales.MOST_PLACES = monkey
+
+
+def test_rows_of_reports_are_numbered_without_a_sort_of_all(spark, tmp_path):
+    """Several reports, a supplier with all kinds of heads; lines without a key and parts below zero go by the sort of places."""
+    def grid(lines):
+        rows = [(i, p, s, 1, 2.0, 100.0 + i, 0.1, day) for i, (s, p, day) in enumerate(lines)]
+        names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp"
+        folder = str(tmp_path / str(len(list(tmp_path.iterdir()))))
+        spark.createDataFrame(rows, names).write.parquet(f"{folder}/lineitem.parquet")
+        spark.range(0, 20_100, 3).selectExpr("id p_partkey", "concat('part ', id) p_name").write.parquet(f"{folder}/part.parquet")
+        return tables.report_grid(spark, folder)
+
+    def by_place(df):
+        return sorted((r.file_id, r.row_idx, tuple(r.cells), r.file_name) for r in df.where("file_id is not null").collect())
+
+    from datetime import datetime
+
+    day = datetime(1998, 8, 2)
+    lines = [(s, p, day) for s in (0, 7, 16, 18, 29) for p in (0, 1, 25, 50, 9_999, 10_000, 20_000)] + [(7, 25, day)]
+    plain = grid(lines)
+    assert plan_of(plain).count("Sort [file_id") == 1
+    got = by_place(plain)
+    files = {f for f, *_ in got}
+    assert len(files) == 15 and all([i for f, i, *_ in got if f == file] == list(range(sum(f == file for f, *_ in got))) for file in files)
+    sold = tables.sold_items(spark, str(tmp_path / "0")).repartition("file_id")
+    assert sorted((r.file_id, r.row_idx, r.place) for r in tables._rows_by_place(sold).collect()) == sorted(
+        (r.file_id, r.row_idx, r.place) for r in tables._rows_by_part(sold).collect())
+    odd = grid([*lines, (None, 4, day), (5, None, day), (None, None, day), (None, 5, day)])
+    assert by_place(odd) == got and sorted(r.row_idx for r in odd.where("file_id is null").collect()) == list(range(odd.where("file_id is null").count()))
+    below = grid([*lines, (2, -60, day), (2, 3, day)])
+    assert [r.cells[1] for r in below.where("file_id = 'loc2-0' and row_idx = 4").collect()] == ["-60"]
+
+
+def test_rows_that_nobody_wants_are_not_shuffled(spark):
+    """Rows whose key cell fails the test stay behind, and those above every header; the same items."""
+    head = ["Menu Item Name", "Menu Item #", "Till"]
+    rows = [(f, "r.csv", i, c) for f in ("f", "g") for i, c in enumerate([["Business Dates", "1/1/2026"], ["x", "7"], head, ["Totals:", "", ""], ["a", "5", "t"], ["-- b --", "Section"]])]
+    grid = spark.createDataFrame(rows, "file_id string, file_name string, row_idx bigint, cells array<string>").withColumn("modified_at", F.lit(None).cast("timestamp"))
+    whole, kept = item_sales.rows_of_grid(grid), item_sales.rows_of_grid(grid, max_rows=0, only=["Menu Item #"], keyed=item_sales.is_number)
+    assert item_sales.item_rows(kept).count() == item_sales.item_rows(whole).count() == 2 and kept.count() == 2
+    with_key = item_sales.rows_of_grid(grid, max_rows=0, only=["Menu Item #"], keyed=item_sales.has_key)
+    assert with_key.count() == 4 and item_sales.strip_totals(with_key).count() == item_sales.strip_totals(whole).count()
+    extras = item_sales.rows_of_grid(grid, extras=["Till"], max_rows=0, only=["Menu Item #"], keyed=item_sales.is_number)
+    assert [r.Till for r in item_sales.item_sales(extras, extras=["Till"]).collect()] == ["t", "t"]
+    assert "Till" in item_sales.item_sales_with_extras(grid).columns
