@@ -165,3 +165,13 @@ def test_rows_that_nobody_wants_are_not_shuffled(spark):
     extras = item_sales.rows_of_grid(grid, extras=["Till"], max_rows=0, only=["Menu Item #"], keyed=item_sales.is_number)
     assert [r.Till for r in item_sales.item_sales(extras, extras=["Till"]).collect()] == ["t", "t"]
     assert "Till" in item_sales.item_sales_with_extras(grid).columns
+
+
+def test_differences_bring_rows_together_once(spark):
+    left = spark.createDataFrame([("f", "a"), ("f", "a"), ("f", None), ("g", "b"), (None, "c")], "file_id string, name string")
+    right = spark.createDataFrame([("f", "a"), ("g", "b"), ("g", "d"), ("g", "d")], "file_id string, name string")
+    from tillgrid.operators import sets
+
+    found = sets.both_differences(left, right, "l", "r")
+    assert sorted(map(str, (tuple(r) for r in found.collect()))) == sorted(map(str, [("f", "a", "l"), ("f", None, "l"), (None, "c", "l"), ("g", "d", "r"), ("g", "d", "r")]))
+    assert plan_of(sets.both_differences(left, right, "l", "r")).count("Exchange hashpartitioning") == 1
