@@ -147,6 +147,9 @@ def test_rows_of_reports_are_numbered_without_a_sort_of_all(spark, tmp_path):
     sold = tables.sold_items(spark, str(tmp_path / "0")).repartition("file_id")
     assert sorted((r.file_id, r.row_idx, r.place) for r in tables._rows_by_place(sold).collect()) == sorted(
         (r.file_id, r.row_idx, r.place) for r in tables._rows_by_part(sold).collect())
+    twice = sold.union(sold.where("p in (0, 25, 9999)"))
+    assert sorted((r.file_id, r.row_idx, r.place) for r in tables._rows_by_place(twice).collect()) == sorted(
+        (r.file_id, r.row_idx, r.place) for r in tables._rows_by_part(twice.repartition("file_id")).collect())
     odd = grid([*lines, (None, 4, day), (5, None, day), (None, None, day), (None, 5, day)])
     assert by_place(odd) == got and sorted(r.row_idx for r in odd.where("file_id is null").collect()) == list(range(odd.where("file_id is null").count()))
     below = grid([*lines, (2, -60, day), (2, 3, day)])
